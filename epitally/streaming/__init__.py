@@ -1,0 +1 @@
+"""Empty on purpose: every operator of this toolkit is a batch operator."""
