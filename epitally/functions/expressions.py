@@ -44,13 +44,13 @@ def epoch_millis(df: DataFrame, name: str) -> Column:
     """Milliseconds since 1970 of a timestamp column, whatever the session time zone.
 
     A TIMESTAMP is an instant already. A TIMESTAMP_NTZ is wall-clock time and is taken as
-    UTC, so it must not be cast through the session zone.
+    UTC, so it must not be cast through the session zone; its distance from 1970 is an
+    interval, which casts to whole seconds.
     """
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        day_millis = F.unix_date(F.to_date(name)).cast("long") * 86_400_000
-        clock = F.hour(name) * 3600 + F.minute(name) * 60
-        second = F.floor(F.expr(f"extract(SECOND FROM `{name}`)") * 1000)
-        return day_millis + clock.cast("long") * 1000 + second.cast("long")
+        return F.expr(
+            f"CAST((`{name}` - TIMESTAMP_NTZ '1970-01-01 00:00:00') * 1000 AS BIGINT)"
+        )
     return F.unix_millis(name)
 
 

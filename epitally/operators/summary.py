@@ -86,14 +86,19 @@ def trend(
         .drop("_at")
         .withColumn("_piece", F.col("_piece").cast("int"))
     )
-    state = F.struct("updated", *measures)
     inside = W.partitionBy("country", "_piece").orderBy("updated")
+    state = F.struct("updated", *measures)
     looked_back = pieces.withColumn("_before", F.lag(state).over(inside))
 
-    ends = pieces.groupBy("country", "_piece").agg(F.max(state).alias("_end"))
+    # One row per country and piece. Separate max_by columns hash-aggregate before the
+    # shuffle; a max over the struct would have to sort.
+    ends = pieces.groupBy("country", "_piece").agg(
+        F.max("updated").alias("updated"),
+        *[F.max_by(m, "updated").alias(m) for m in measures],
+    )
     across = W.partitionBy("country").orderBy("_piece")
     carried = ends.select(
-        "country", "_piece", F.lag("_end").over(across).alias("_carried")
+        "country", "_piece", F.lag(state).over(across).alias("_carried")
     ).where(F.col("_carried").isNotNull())
 
     joined = looked_back.join(carried, ["country", "_piece"], "left").withColumn(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from epitally.schema import CASES, KEYS
@@ -89,6 +90,13 @@ ALL_COLUMNS = all_columns_rule()
 ON_DUPLICATE = ("error", "latest")
 
 
+def _no_null_keys(rule: MergeRule) -> Column:
+    null_key = F.lit(False)
+    for k in rule.keys:
+        null_key = null_key | F.col(k).isNull()
+    return F.when(null_key, F.raise_error("Staged row with a null key").cast("boolean"))
+
+
 def one_per_key(
     staging: DataFrame,
     rule: MergeRule = MYSQL,
@@ -97,28 +105,32 @@ def one_per_key(
 ) -> DataFrame:
     """The staged columns with one row per key; null keys fail.
 
-    ``error`` fails on a repeated key. ``latest`` keeps the row greatest by ``order_by``;
-    rows equal in that are told apart by their other values, so the choice never depends on
-    partitioning. Copies are reduced before the shuffle, and the shuffle is by the merge
-    key, so the join that follows reuses it.
+    ``error`` fails on a repeated key. It numbers the rows of a key in the partitioning and
+    order that the merge join needs anyway, so the check costs no shuffle or sort.
+
+    ``latest`` keeps the row greatest by ``order_by``; rows equal in that are told apart by
+    their other values, so the choice never depends on partitioning. Copies of a key are
+    reduced before the shuffle, which the join reuses.
+
+    The checks are filters, which leave the key columns and their partitioning alone.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"Unsupported on_duplicate={on_duplicate} ({'|'.join(ON_DUPLICATE)})")
-    if on_duplicate == "latest" and not order_by:
-        raise ValueError("on_duplicate=latest needs order_by columns")
     values = [c for c in rule.insert if c not in rule.keys]
-    ranked = F.struct(*order_by, *[F.col(c).alias(f"v_{c}") for c in values])
-    grouped = staging.groupBy(*rule.keys).agg(
-        F.max(ranked).alias("_row"), F.count(F.lit(1)).alias("_copies")
-    )
-    null_key = F.lit(False)
-    for k in rule.keys:
-        null_key = null_key | F.col(k).isNull()
-    # As a filter, the check leaves the key columns and with them the partitioning alone.
-    valid = F.when(null_key, F.raise_error("Staged row with a null key").cast("boolean"))
+    valid = _no_null_keys(rule)
     if on_duplicate == "error":
+        within_key = W.partitionBy(*rule.keys).orderBy(*rule.keys)
         repeated = F.raise_error("Staged key occurs more than once").cast("boolean")
-        valid = valid.when(F.col("_copies") > 1, repeated)
+        return (
+            staging.select(*rule.keys, *values)
+            .withColumn("_copy", F.row_number().over(within_key))
+            .where(valid.when(F.col("_copy") > 1, repeated).otherwise(F.lit(True)))
+            .drop("_copy")
+        )
+    if not order_by:
+        raise ValueError("on_duplicate=latest needs order_by columns")
+    ranked = F.struct(*order_by, *[F.col(c).alias(f"v_{c}") for c in values])
+    grouped = staging.groupBy(*rule.keys).agg(F.max(ranked).alias("_row"))
     return grouped.where(valid.otherwise(F.lit(True))).select(
         *rule.keys, *[F.col(f"_row.v_{c}").alias(c) for c in values]
     )

@@ -52,7 +52,8 @@ ORDERED = f"""
 ordered_counts AS (
   SELECT 'C' || CAST(o_custkey AS VARCHAR) AS country,
     CAST(epoch_ms(date_trunc('month', o_orderdate)) AS BIGINT) AS updated,
-    MIN(o_orderstatus) AS iso2, SUBSTR(MIN(o_orderpriority), 1, 5) AS iso3,
+    MIN(o_orderstatus) AS iso2,
+    CASE WHEN BOOL_OR(o_orderpriority = '1-URGENT') THEN 'URGENT' ELSE 'NORMAL' END AS iso3,
     CAST(1000 + o_custkey AS BIGINT) AS population, COUNT(*) AS cases,
     CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS deaths,
     CAST(SUM(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS recovered,
@@ -110,7 +111,7 @@ series AS (
 PREDICTED = """
 predicted AS (
   SELECT country, deaths AS label,
-    CAST(cases AS DOUBLE) * 0.35E0 - 1.0E0 AS prediction
+    CAST(cases AS DOUBLE) * 0.35E0 - 9.0E0 AS prediction
   FROM snap WHERE deaths IS NOT NULL)"""
 
 
