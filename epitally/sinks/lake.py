@@ -183,7 +183,7 @@ def export(
     After ``timeout_seconds`` the Spark jobs of this export are cancelled, which raises;
     nothing is left writing in the background.
     """
-    spark = df.sparkSession
+    context = df.sparkSession.sparkContext
     tag = f"lake-export-{time.time_ns()}"
     ended = Event()
 
@@ -191,17 +191,17 @@ def export(
         # Again each second, since a cancelled write may have a further job to submit.
         wait = timeout_seconds
         while not ended.wait(wait):
-            spark.interruptTag(tag)
+            context.cancelJobsWithTag(tag)
             wait = 1.0
 
-    spark.addTag(tag)
+    context.addJobTag(tag)
     try:
         if timeout_seconds is not None:
             Thread(target=cancel_late, daemon=True).start()
         return dual_write(df, config, dataset, batch_micros)
     finally:
         ended.set()
-        spark.removeTag(tag)
+        context.removeJobTag(tag)
 
 
 def export_in_background(
