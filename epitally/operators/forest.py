@@ -17,7 +17,11 @@ from epitally.schema import FEATURES
 
 @dataclass(frozen=True)
 class ForestParams:
-    """Hyperparameters; the defaults are fixed values."""
+    """Hyperparameters; the defaults are fixed values.
+
+    ``max_memory_mb`` bounds the histograms of one pass over the data: with more of it a
+    deep forest needs fewer passes. It changes the cost of a fit, not its settings.
+    """
 
     num_trees: int = 100
     max_depth: int = 10
@@ -25,6 +29,7 @@ class ForestParams:
     min_instances_per_node: int = 1
     feature_subset_strategy: str = "auto"
     seed: int = 42
+    max_memory_mb: int = 256
 
 
 @dataclass(frozen=True)
@@ -58,6 +63,7 @@ def fit_forest(
         minInstancesPerNode=params.min_instances_per_node,
         featureSubsetStrategy=params.feature_subset_strategy,
         seed=params.seed,
+        maxMemoryInMB=params.max_memory_mb,
     )
     return Pipeline(stages=[assembler(features), forest]).fit(train)
 

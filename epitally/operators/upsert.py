@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epitally.schema import CASES, KEYS
 
@@ -136,6 +137,24 @@ def one_per_key(
     )
 
 
+def _staged_columns(staging: DataFrame, rule: MergeRule) -> DataFrame:
+    return staging.select(*[F.col(c).alias(f"s_{c}") for c in rule.insert])
+
+
+def _same_key(rule: MergeRule) -> list[Column]:
+    return [F.col(k) == F.col(f"s_{k}") for k in rule.keys]
+
+
+def _check_target(target: DataFrame, rule: MergeRule) -> None:
+    absent = [c for c in rule.insert if c not in target.columns]
+    if absent:
+        raise ValueError(f"Target lacks merge columns: {', '.join(absent)}")
+
+
+def _typed(target: DataFrame, picked: dict[str, Column]) -> list[Column]:
+    return [picked[f.name].cast(f.dataType).alias(f.name) for f in target.schema]
+
+
 def merge(
     target: DataFrame,
     staging: DataFrame,
@@ -152,32 +171,76 @@ def merge(
     A single full outer join on the whole key. The key is unique on both sides, so a
     country with very many rows spreads over all join tasks.
     """
-    absent = [c for c in rule.insert if c not in target.columns]
-    if absent:
-        raise ValueError(f"Target lacks merge columns: {', '.join(absent)}")
-    values = [c for c in rule.insert if c not in rule.keys]
-    staged = one_per_key(staging, rule, on_duplicate, order_by).select(
-        *[F.col(k).alias(f"s_{k}") for k in rule.keys],
-        *[F.col(c).alias(f"s_{c}") for c in values],
-        F.lit(True).alias("_staged"),
+    _check_target(target, rule)
+    staged = _staged_columns(one_per_key(staging, rule, on_duplicate, order_by), rule)
+    joined = target.withColumn("_known", F.lit(True)).join(
+        staged.withColumn("_staged", F.lit(True)), _same_key(rule), "full_outer"
     )
-    known = target.withColumn("_known", F.lit(True))
-    condition = [F.col(k) == F.col(f"s_{k}") for k in rule.keys]
-    joined = known.join(staged, condition, "full_outer")
+    is_staged, is_new = F.col("_staged").isNotNull(), F.col("_known").isNull()
+    picked = {}
+    for name in target.columns:
+        take = is_staged if name in rule.update else is_new
+        kept = F.col(name)
+        staged_value = F.col(f"s_{name}") if name in rule.insert else kept
+        picked[name] = F.when(take, staged_value).otherwise(kept)
+    return joined.select(*_typed(target, picked))
 
-    is_staged = F.col("_staged").isNotNull()
-    is_new = F.col("_known").isNull()
 
-    def pick(name: str) -> Column:
-        kept = F.col(name)
-        if name in rule.keys:
-            taken = F.when(is_new, F.col(f"s_{name}")).otherwise(kept)
-        elif name in rule.update:
-            taken = F.when(is_staged, F.col(f"s_{name}")).otherwise(kept)
-        elif name in values:
-            taken = F.when(is_new, F.col(f"s_{name}")).otherwise(kept)
-        else:
-            taken = kept
-        return taken.cast(target.schema[name].dataType).alias(name)
-
-    return joined.select(*[pick(c) for c in target.columns])
+def merge_broadcast(
+    target: DataFrame,
+    staging: DataFrame,
+    rule: MergeRule = MYSQL,
+    on_duplicate: str = "error",
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """The result of :func:`merge` without a shuffle of the target.
+
+    For a batch known to be small; :func:`fits_broadcast` tells. The batch goes to every
+    task of the target, which updates its rows in place; the staged keys it meets are
+    collected by a second scan of the target's keys, and the rest of the batch is inserted.
+    ``staging`` should be a written table, since it is read three times.
+    """
+    _check_target(target, rule)
+    staged = _staged_columns(one_per_key(staging, rule, on_duplicate, order_by), rule)
+    staged_keys = [f"s_{k}" for k in rule.keys]
+
+    changes = F.broadcast(staged.withColumn("_staged", F.lit(True)))
+    is_staged = F.col("_staged").isNotNull()
+    updated = target.join(changes, _same_key(rule), "left").select(
+        *_typed(
+            target,
+            {
+                c: F.when(is_staged, F.col(f"s_{c}")).otherwise(F.col(c))
+                if c in rule.update
+                else F.col(c)
+                for c in target.columns
+            },
+        )
+    )
+    met = target.select(*rule.keys).join(
+        F.broadcast(staged.select(*staged_keys)), _same_key(rule), "left_semi"
+    )
+    fresh = staged.join(met, _same_key(rule), "left_anti").select(
+        *_typed(
+            target,
+            {
+                c: F.col(f"s_{c}") if c in rule.insert else F.lit(None)
+                for c in target.columns
+            },
+        )
+    )
+    return updated.unionByName(fresh)
+
+
+def fits_broadcast(
+    staging: DataFrame, rule: MergeRule = MYSQL, max_bytes: int = 64 * 1024 * 1024
+) -> bool:
+    """Whether the merge columns of a batch, uncompressed, stay within ``max_bytes``."""
+    fixed = texts = 0
+    for field in staging.select(*rule.insert).schema:
+        if isinstance(field.dataType, T.StringType):
+            texts = texts + F.coalesce(F.octet_length(field.name), F.lit(0)).cast("long")
+        fixed += 16
+    row_bytes = F.lit(fixed) + texts
+    total = staging.agg(F.sum(row_bytes)).first()[0] or 0
+    return total <= max_bytes

@@ -45,7 +45,7 @@ from epitally.schema import (
 from epitally.sinks import lake, models, runlog
 from epitally.sources import landing
 from epitally.sources import tables as tb
-from epitally.workspace import new_path, written
+from epitally.workspace import new_path, spread, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -234,9 +234,9 @@ def lake_save_modes(spark: SparkSession, base: str) -> DataFrame:
         copies.append(lake.read_main(spark, path, CASES).count())
     last = lake.read_main(spark, path, CASES)
     return last.agg(
-        F.lit(copies[0]).alias("after_first"),
-        F.lit(copies[1]).alias("after_append"),
-        F.lit(copies[2]).alias("after_overwrite"),
+        F.lit(copies[0]).cast("long").alias("after_first"),
+        F.lit(copies[1]).cast("long").alias("after_append"),
+        F.lit(copies[2]).cast("long").alias("after_overwrite"),
         F.count(F.lit(1)).alias("at_the_end"),
         F.sum("cases").alias("cases_at_the_end"),
     )
@@ -445,7 +445,7 @@ def minimal_forest_check(spark: SparkSession, base: str) -> DataFrame:
         written(tb.snapshot(spark, base), "cases").dropna(subset=["deaths"]), keep=KEYS
     )
     train, test = hash_split(prepared, KEYS)
-    model = fit_forest_on_vectors(train)
+    model = fit_forest_on_vectors(spread(train))
     low, high = _label_range(train)
     return model.transform(test).select(
         *KEYS, "label", F.col("prediction").between(low, high).alias("in_label_range")
@@ -456,14 +456,14 @@ def cross_validation_grid(spark: SparkSession, base: str) -> DataFrame:
     rows = written(tb.snapshot(spark, base), "cases")
     train, _ = train_and_test(rows, HASHED)
     grid = GridParams(num_trees=(5, 20), max_depth=(3, 5), min_instances_per_node=(1,), folds=2)
-    return grid_results(cross_validate(train, grid), spark)
+    return grid_results(cross_validate(spread(train), grid), spark)
 
 
 def model_registry(spark: SparkSession, base: str) -> DataFrame:
     """Test rows, and that a model saved and loaded by name predicts the same."""
     folder = new_path(spark, "models")
     train, test = train_and_test(written(tb.snapshot(spark, base), "cases"), HASHED)
-    model = fit_forest(train, SMALL_FOREST)
+    model = fit_forest(spread(train), SMALL_FOREST)
     models.save_model(model, folder)
     loaded = models.load_model(spark, folder)
     first = predict(model, test).withColumnRenamed("prediction", "saved").drop("features")

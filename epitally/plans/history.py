@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.operators.upsert import MYSQL, MergeRule, merge
+from epitally.operators.upsert import (
+    MYSQL,
+    MergeRule,
+    fits_broadcast,
+    merge,
+    merge_broadcast,
+)
 from epitally.schema import CASES
 from epitally.workspace import written
 
@@ -34,7 +40,8 @@ def read_history(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        # The filter lets the optimizer see that there is nothing to join with.
+        return spark.createDataFrame([], full).where(F.lit(False))
 
 
 def _in_touched_days(staging: DataFrame) -> Column:
@@ -61,7 +68,8 @@ def merge_into_history(
 ) -> DataFrame:
     """Merge a batch into the history at ``path``; returns the history.
 
-    Only the days in the batch are read, merged and rewritten. The merged days are first
+    Only the days in the batch are read, merged and rewritten; a batch of checked, small
+    size is broadcast to them instead of shuffling them. The merged days are first
     written to the shared folder and then swapped in, so nothing is read while it is being
     replaced, and after a failure the same call can be repeated: merging a batch twice
     changes nothing.
@@ -69,7 +77,8 @@ def merge_into_history(
     spark = staging.sparkSession
     batch = written(with_day(staging), "batch")
     target = read_history(spark, path, schema).where(_in_touched_days(batch))
-    merged = merge(target.drop(DAY), batch, rule, on_duplicate, order_by)
+    merging = merge_broadcast if fits_broadcast(batch, rule) else merge
+    merged = merging(target.drop(DAY), batch, rule, on_duplicate, order_by)
     ready = written(with_day(merged), "merged")
     (
         ready.hint("rebalance", DAY)

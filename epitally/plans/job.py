@@ -35,7 +35,7 @@ class JobConfig:
     top: int = 20
     sample: int = 10
     learning: LearningConfig = field(
-        default_factory=lambda: LearningConfig(split="hash", keys=KEYS)
+        default_factory=lambda: LearningConfig(split="hash", keys=KEYS, materialize=False)
     )
     model_name: str = MODEL_NAME
     overwrite_model: bool = True

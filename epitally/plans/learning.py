@@ -20,14 +20,19 @@ from epitally.operators.forest import (
 )
 from epitally.operators.split import hash_split, random_split
 from epitally.schema import FEATURES, TARGET
-from epitally.workspace import written
+from epitally.workspace import spread, written
 
 SPLITS = ("random", "hash")
 
 
 @dataclass(frozen=True)
 class LearningConfig:
-    """Settings of a run; ``keys`` identify rows for the hash split and are kept."""
+    """Settings of a run; ``keys`` identify rows for the hash split and are kept.
+
+    ``materialize`` writes the usable rows once before the split. A fit reads its input
+    several times, so turn it off only for input that is a plain scan of files already; the
+    random split needs such a table in any case.
+    """
 
     features: tuple[str, ...] = FEATURES
     target: str = TARGET
@@ -35,6 +40,7 @@ class LearningConfig:
     seed: int = 42
     split: str = "random"
     keys: tuple[str, ...] = ()
+    materialize: bool = True
     forest: ForestParams = field(default_factory=ForestParams)
     cross_validation: bool = False
     grid: GridParams = field(default_factory=GridParams)
@@ -42,6 +48,8 @@ class LearningConfig:
     def __post_init__(self) -> None:
         if self.split not in SPLITS:
             raise ValueError(f"Unsupported split={self.split} ({'|'.join(SPLITS)})")
+        if self.split == "random" and not self.materialize:
+            raise ValueError("the random split needs a written table")
 
 
 @dataclass(frozen=True)
@@ -56,29 +64,28 @@ def train_and_test(
 ) -> tuple[DataFrame, DataFrame]:
     """Usable rows in two parts: keys, feature columns and ``label``."""
     rows = usable_rows(df, config.features, config.target, config.keys)
+    if config.materialize:
+        rows = written(rows, "usable")
     if config.split == "hash":
         keys: Sequence[str] = config.keys or rows.columns
         return hash_split(rows, keys, config.train_ratio, config.seed)
-    return random_split(written(rows, "usable"), config.train_ratio, config.seed)
+    return random_split(rows, config.train_ratio, config.seed)
 
 
 def run_learning(df: DataFrame, config: LearningConfig = LearningConfig()) -> LearningResult:
     """Fit on one part of the rows and predict the other.
 
     Predictions have the keys, ``features``, ``label`` and ``prediction``; they are
-    persisted, and the caller unpersists them. The training rows are persisted for the fit
-    only: every tree level passes over them.
+    persisted, and the caller unpersists them. Training rows are not persisted: they are a
+    narrow columnar scan, and the forest keeps its own binned copy for the tree levels.
     """
     check_columns(df, config.features, config.target)
     train, test = train_and_test(df, config)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if config.cross_validation:
-            model = cross_validate(train, config.grid, config.features).bestModel
-        else:
-            model = fit_forest(train, config.forest, config.features)
-    finally:
-        train.unpersist()
+    train = spread(train)
+    if config.cross_validation:
+        model = cross_validate(train, config.grid, config.features).bestModel
+    else:
+        model = fit_forest(train, config.forest, config.features)
     predictions = (
         predict(model, test)
         .select(*config.keys, "features", "label", "prediction")

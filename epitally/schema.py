@@ -26,8 +26,26 @@ CASES = T.StructType(
     ]
 )
 
-# The day counters some feeds carry on top of CASES.
+# The day counters a feed carries on top of CASES, and the full record with them.
 DAY_COUNTERS = ("todayCases", "todayDeaths")
+FULL_COLUMNS = (
+    "updated",
+    "country",
+    "iso2",
+    "iso3",
+    "continent",
+    "population",
+    "cases",
+    "todayCases",
+    "deaths",
+    "todayDeaths",
+    "recovered",
+    "active",
+    "critical",
+    "tests",
+    "casesPerOneMillion",
+    "deathsPerOneMillion",
+)
 
 # The narrow record of the text-column parse.
 NARROW = T.StructType(
@@ -116,7 +134,6 @@ RAW = T.StructType(
         _json_field("updated"),
         _json_field("country"),
         T.StructField("countryInfo", T.StructType([_json_field("iso2"), _json_field("iso3")])),
-        *(_json_field(c) for c in COLUMNS if c not in ("updated", "country", "iso2", "iso3")),
-        *(_json_field(c) for c in DAY_COUNTERS),
+        *(_json_field(c) for c in FULL_COLUMNS[4:]),
     ]
 )

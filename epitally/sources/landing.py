@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epitally.functions.expressions import whole
-from epitally.schema import CASES, COLUMNS, DAY_COUNTERS, NARROW, RAW, STRINGS
+from epitally.schema import CASES, COLUMNS, DAY_COUNTERS, FULL_COLUMNS, NARROW, RAW, STRINGS
 
 LAYOUTS = ("documents", "lines")
 SCHEMAS = ("declared", "infer")
@@ -45,7 +45,7 @@ def flatten(raw: DataFrame, day_counters: bool = False) -> DataFrame:
 
     A contract column that the scan does not have is an error that names it.
     """
-    names = (*COLUMNS, *DAY_COUNTERS) if day_counters else COLUMNS
+    names = FULL_COLUMNS if day_counters else COLUMNS
     nested = {"iso2": "countryInfo.iso2", "iso3": "countryInfo.iso3"}
     info = raw.schema["countryInfo"].dataType if "countryInfo" in raw.columns else None
     inner = info.fieldNames() if isinstance(info, T.StructType) else []

@@ -40,3 +40,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of few files dealt out over all cores; one of many files as it is.
+
+    For CPU-bound passes over data that is small on disk. With fewer partitions than cores
+    there is little to move, so the shuffle stays small however large the cluster.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -101,12 +101,17 @@ def test_merge_equals_a_dictionary(spark, target, staging, rule):
     assert table_of(merged) == expected(old, new, rule)
     again = up.merge(merged, case_rows(spark, new), rule)
     assert table_of(again) == table_of(merged)
+    broadcast = up.merge_broadcast(case_rows(spark, old), case_rows(spark, new), rule)
+    assert broadcast.schema.fieldNames() == list(COLUMNS)
+    assert table_of(broadcast) == table_of(merged)
 
 
 def test_repeated_or_null_keys_fail(spark):
     target = case_rows(spark, [OLD])
     with pytest.raises(Exception, match="Staged key occurs more than once"):
         up.merge(target, case_rows(spark, [NEW, NEW])).collect()
+    with pytest.raises(Exception, match="Staged key occurs more than once"):
+        up.merge_broadcast(target, case_rows(spark, [NEW, NEW])).collect()
     for bad in ({**NEW, "country": None}, {**NEW, "updated": None}):
         with pytest.raises(Exception, match="Staged row with a null key"):
             up.merge(target, case_rows(spark, [bad])).collect()
@@ -162,6 +167,40 @@ def test_the_check_adds_no_shuffle(spark, base):
     assert plan.count("+- Sort [") + plan.count(":- Sort [") == 2
 
 
+def test_broadcast_merge_leaves_the_target_in_place(spark, base):
+    from epitally.sources.tables import order_history, shipment_batch
+    from epitally.workspace import written
+
+    target = written(order_history(spark, base), "t")
+    staging = written(shipment_batch(spark, base), "s")
+    merged = up.merge_broadcast(target, staging)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # Every shuffle is of staged rows, for the check of their keys.
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "tests" not in line
+    assert table_of(merged) == table_of(up.merge(target, staging))
+
+
+def test_batch_size_check(spark):
+    rows = case_rows(spark, [{"country": "x" * 1000, "updated": i} for i in range(10)])
+    assert up.fits_broadcast(rows)
+    assert up.fits_broadcast(rows, max_bytes=11_760)
+    assert not up.fits_broadcast(rows, max_bytes=11_759)
+    assert up.fits_broadcast(case_rows(spark, []), max_bytes=0)
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_history_merges_large_and_small_batches_alike(spark, shared, monkeypatch, fits):
+    monkeypatch.setattr("epitally.plans.history.fits_broadcast", lambda *_: fits)
+    first = [{**OLD, "updated": u} for u in (1, DAY_MS, 3 * DAY_MS)]
+    second = [{**NEW, "updated": u} for u in (1, 2, 3 * DAY_MS)]
+    merge_into_history(case_rows(spark, first), shared, up.ALL_COLUMNS)
+    history = merge_into_history(case_rows(spark, second), shared, up.POSTGRES)
+    assert table_of(history.drop(DAY)) == expected(first, second, up.POSTGRES)
+
+
 def test_statement_agrees_with_the_merge(spark):
     """The staged statement, run by DuckDB, and the Spark merge give the same table."""
     target = JdbcTarget("jdbc:postgresql://host/db", "org.postgresql.Driver")
