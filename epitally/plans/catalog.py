@@ -52,8 +52,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # 2024-06-01 12:00:00 UTC, the moment stamped on exported batches.
 BATCH_MICROS = 1_717_243_200_000_000
 
-# Documents hold the customers of one key range, so at most this many rows.
-DOCUMENT_ROWS = 1000
+# Documents hold the customers of one key range, so at most this many rows: one page in a
+# line of text, and a whole file.
+PAGE_ROWS = 1000
+FILE_ROWS = 20_000
 
 HASHED = LearningConfig(split="hash", keys=KEYS)
 SMALL_FOREST = ForestParams(num_trees=20, max_depth=5)
@@ -141,11 +143,11 @@ def key_checks(spark: SparkSession, base: str) -> DataFrame:
 # --- Landed JSON -------------------------------------------------------------------------
 
 
-def _pages(cases: DataFrame) -> DataFrame:
-    """Documents of at most DOCUMENT_ROWS elements: ``population`` is unique per row."""
+def _pages(cases: DataFrame, rows: int = PAGE_ROWS) -> DataFrame:
+    """Documents of at most ``rows`` elements: ``population`` is unique per row."""
     raw = landing.to_raw(cases)
     element = F.struct(*raw.columns)
-    page = F.floor(F.col("population") / DOCUMENT_ROWS).alias("page")
+    page = F.floor(F.col("population") / rows).alias("page")
     return raw.groupBy(page).agg(F.to_json(F.collect_list(element)).alias("body"))
 
 
@@ -163,7 +165,7 @@ def landing_array_lines(spark: SparkSession, base: str) -> DataFrame:
 
 def landing_documents(spark: SparkSession, base: str) -> DataFrame:
     path = new_path(spark, "landing")
-    pages = _pages(tb.snapshot(spark, base))
+    pages = _pages(tb.snapshot(spark, base), FILE_ROWS)
     pages.write.partitionBy("page").text(path)
     return landing.read_cases(spark, path, layout="documents")
 

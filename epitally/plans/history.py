@@ -17,7 +17,7 @@ from epitally.operators.upsert import (
     merge_broadcast,
 )
 from epitally.schema import CASES
-from epitally.workspace import written
+from epitally.workspace import discard, written
 
 DAY = "updated_day"
 MAX_LISTED_DAYS = 10_000
@@ -72,7 +72,8 @@ def merge_into_history(
     size is broadcast to them instead of shuffling them. The merged days are first
     written to the shared folder and then swapped in, so nothing is read while it is being
     replaced, and after a failure the same call can be repeated: merging a batch twice
-    changes nothing.
+    changes nothing. If the swap itself was broken off, the merged days are still whole in
+    the shared folder; they are deleted only after it.
     """
     spark = staging.sparkSession
     batch = written(with_day(staging), "batch")
@@ -87,4 +88,6 @@ def merge_into_history(
         .partitionBy(DAY)
         .parquet(path)
     )
+    discard(spark, batch)
+    discard(spark, ready)
     return read_history(spark, path, schema)

@@ -43,7 +43,7 @@ class JobConfig:
     database: jdbc.JdbcTarget | None = None
     jdbc_required: bool = False
     batch_micros: int | None = None
-    export_timeout_seconds: float | None = 600.0
+    export_timeout_seconds: float | None = None
 
 
 @dataclass(frozen=True)

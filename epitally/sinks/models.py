@@ -41,7 +41,7 @@ def save_model(
     path = model_path(base, name, version)
     writer = model.write()
     (writer.overwrite() if overwrite else writer).save(path)
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()
     spark.createDataFrame(
         [(name, version, path, datetime.now(timezone.utc), dict(metrics or {}))],
         REGISTRY_SCHEMA,

@@ -42,6 +42,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, table: DataFrame) -> None:
+    """Delete a table of :func:`written` that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(shared_dir(spark)).toUri().getPath()
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() != root:
+            raise ValueError(f"Not a table of the shared folder: {folder}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan of few files dealt out over all cores; one of many files as it is.
 

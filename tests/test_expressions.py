@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from epitally.functions.expressions import epoch_millis, hash_bucket, null_flag, per_million
 from epitally.sources.tables import TABLES, table
-from epitally.workspace import new_path, shared_dir, written
+from epitally.workspace import discard, new_path, shared_dir, spread, written
 
 
 def test_epoch_millis_ignores_the_session_zone(spark):
@@ -59,3 +60,22 @@ def test_written_tables_live_in_the_shared_folder(spark):
     folder = shared_dir(spark).removeprefix("file:")
     assert all(folder in f for f in back.inputFiles())
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_discard_deletes_only_written_tables(spark, shared):
+    table = written(spark.range(3), "t")
+    discard(spark, table)
+    with pytest.raises(Exception, match="(?i)does not exist|not found"):
+        table.collect()
+    spark.range(3).write.parquet(f"{shared}/deeper")
+    with pytest.raises(ValueError, match="Not a table of the shared folder"):
+        discard(spark, spark.read.parquet(f"{shared}/deeper"))
+    with pytest.raises(ValueError, match="Not a table of the shared folder"):
+        discard(spark, spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
+
+
+def test_spread_only_deals_out_few_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    many = spark.range(10, numPartitions=cores + 1)
+    assert spread(many) is many

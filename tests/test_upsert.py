@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from epitally.operators import upsert as up
+from epitally.plans import history
 from epitally.plans.history import DAY, merge_into_history, read_history
 from epitally.schema import CASES, COLUMNS
 from epitally.sinks.jdbc import JdbcTarget, merge_statement
@@ -197,8 +198,8 @@ def test_history_merges_large_and_small_batches_alike(spark, shared, monkeypatch
     first = [{**OLD, "updated": u} for u in (1, DAY_MS, 3 * DAY_MS)]
     second = [{**NEW, "updated": u} for u in (1, 2, 3 * DAY_MS)]
     merge_into_history(case_rows(spark, first), shared, up.ALL_COLUMNS)
-    history = merge_into_history(case_rows(spark, second), shared, up.POSTGRES)
-    assert table_of(history.drop(DAY)) == expected(first, second, up.POSTGRES)
+    merged = merge_into_history(case_rows(spark, second), shared, up.POSTGRES)
+    assert table_of(merged.drop(DAY)) == expected(first, second, up.POSTGRES)
 
 
 def test_statement_agrees_with_the_merge(spark):
@@ -235,8 +236,8 @@ def test_history_keeps_untouched_days(spark, shared):
     merge_into_history(case_rows(spark, first), shared)
     untouched = spark.read.parquet(f"{shared}/{DAY}=1970-01-02").inputFiles()
     second = day_rows([("A", 0, 9), ("C", 2, 7), ("D", 5, 8)])
-    history = merge_into_history(case_rows(spark, second), shared)
-    found = table_of(history.drop(DAY))
+    merged = merge_into_history(case_rows(spark, second), shared)
+    found = table_of(merged.drop(DAY))
     assert found == expected(first, second, up.MYSQL)
     assert spark.read.parquet(f"{shared}/{DAY}=1970-01-02").inputFiles() == untouched
     repeated = merge_into_history(case_rows(spark, second), shared)
@@ -248,8 +249,8 @@ def test_history_with_more_days_than_are_listed(spark, shared, monkeypatch):
     first = day_rows([("A", d, d) for d in range(6)])
     merge_into_history(case_rows(spark, first), shared)
     second = day_rows([("A", 1, 50), ("A", 4, 60)])
-    history = merge_into_history(case_rows(spark, second), shared)
-    assert table_of(history.drop(DAY)) == expected(first, second, up.MYSQL)
+    merged = merge_into_history(case_rows(spark, second), shared)
+    assert table_of(merged.drop(DAY)) == expected(first, second, up.MYSQL)
 
 
 def test_history_reads_only_wanted_days(spark, shared):
@@ -260,5 +261,16 @@ def test_history_reads_only_wanted_days(spark, shared):
     assert f"PartitionFilters: [isnotnull({DAY}" in plan
 
 
+def test_merge_leaves_no_scratch_tables(spark, shared, monkeypatch):
+    seen = []
+    real = history.written
+    monkeypatch.setattr(history, "written", lambda *a: seen.append(real(*a)) or seen[-1])
+    merge_into_history(case_rows(spark, day_rows([("A", 0, 1)])), shared)
+    assert len(seen) == 2
+    for table in seen:
+        with pytest.raises(Exception, match="(?i)does not exist|not found"):
+            table.collect()
+
+
 def test_missing_history_is_empty(spark, shared):
     assert read_history(spark, shared).collect() == []
