@@ -65,7 +65,10 @@ def trend(
     measures: Sequence[str] = ("cases", "deaths", "recovered"),
     parts: int | None = None,
 ) -> DataFrame:
-    """Change of each measure since the country's previous ``updated``; keys must be unique.
+    """Change of each measure since the country's previous ``updated``.
+
+    Keys must be unique and present; a null in one fails. ``df`` should be a scan of files,
+    since it is read three times: for the quantiles, the rows and the ends of pieces.
 
     Adds ``previous_updated`` and ``<measure>_change``, null on a country's first row.
 
@@ -80,9 +83,12 @@ def trend(
         parts = min(max(2, shuffles), 4096)
     edges = time_edges(df, parts) or [0.0]
     splits = [float("-inf"), *edges, float("inf")]
+    no_key = F.raise_error("Row with a null key").cast("double")
+    keyless = F.col("country").isNull() | F.col("updated").isNull()
+    at = F.when(keyless, no_key).otherwise(F.col("updated"))
     pieces = (
         Bucketizer(splits=splits, inputCol="_at", outputCol="_piece")
-        .transform(df.withColumn("_at", F.col("updated").cast("double")))
+        .transform(df.withColumn("_at", at))
         .drop("_at")
         .withColumn("_piece", F.col("_piece").cast("int"))
     )

@@ -98,7 +98,7 @@ def per_million_rates(spark: SparkSession, base: str) -> DataFrame:
 
 
 def trend(spark: SparkSession, base: str) -> DataFrame:
-    return sm.trend(tb.event_history(spark, base))
+    return sm.trend(written(tb.event_history(spark, base), "series"))
 
 
 # --- Profile and checks ------------------------------------------------------------------
@@ -461,6 +461,18 @@ def cross_validation_grid(spark: SparkSession, base: str) -> DataFrame:
     return grid_results(cross_validate(spread(train), grid), spark)
 
 
+def cross_validation_check(spark: SparkSession, base: str) -> DataFrame:
+    """Each test row, and that the best model of a grid predicts a mean of labels."""
+    grid = GridParams(num_trees=(5, 10), max_depth=(3,), min_instances_per_node=(1, 5), folds=2)
+    config = LearningConfig(split="hash", keys=KEYS, cross_validation=True, grid=grid)
+    rows = written(tb.snapshot(spark, base), "cases")
+    result = run_learning(rows, config)
+    low, high = _label_range(train_and_test(rows, config)[0])
+    return result.predictions.select(
+        *KEYS, "label", F.col("prediction").between(low, high).alias("in_label_range")
+    )
+
+
 def model_registry(spark: SparkSession, base: str) -> DataFrame:
     """Test rows, and that a model saved and loaded by name predicts the same."""
     folder = new_path(spark, "models")
@@ -582,6 +594,7 @@ QUERIES: dict[str, Query] = {
         forest_check,
         minimal_forest_check,
         cross_validation_grid,
+        cross_validation_check,
         model_registry,
         run_log,
         whole_batch,

@@ -397,6 +397,9 @@ p AS (
     "minimal_forest_check": _snap(
         f"SELECT country, updated, deaths AS label, TRUE AS in_label_range {TEST_ROWS}"
     ),
+    "cross_validation_check": _snap(
+        f"SELECT country, updated, deaths AS label, TRUE AS in_label_range {TEST_ROWS}"
+    ),
     "model_registry": _snap(
         f"SELECT country, updated, deaths AS label, TRUE AS same_prediction {TEST_ROWS}"
     ),

@@ -119,3 +119,12 @@ def test_trend_equals_a_sorted_walk(spark, table, parts):
 def test_trend_of_nothing(spark):
     empty = spark.createDataFrame([], "country string, updated bigint, cases bigint")
     assert sm.trend(empty, ["cases"]).collect() == []
+
+
+def test_trend_needs_keys(spark):
+    for row in ((None, 1, 2), ("A", None, 2)):
+        bad = spark.createDataFrame(
+            [("B", 1, 1), row], "country string, updated bigint, cases bigint"
+        )
+        with pytest.raises(Exception, match="(?i)null"):
+            sm.trend(bad, ["cases"]).collect()
