@@ -90,6 +90,9 @@ ALL_COLUMNS = all_columns_rule()
 
 ON_DUPLICATE = ("error", "latest")
 
+# Largest batch that is sent whole to every task.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def _no_null_keys(rule: MergeRule) -> Column:
     null_key = F.lit(False)
@@ -186,19 +189,18 @@ def merge(
     return joined.select(*_typed(target, picked))
 
 
-def merge_broadcast(
+def _merge_broadcast(
     target: DataFrame,
     staging: DataFrame,
-    rule: MergeRule = MYSQL,
-    on_duplicate: str = "error",
-    order_by: Sequence[str] = (),
+    rule: MergeRule,
+    on_duplicate: str,
+    order_by: Sequence[str],
 ) -> DataFrame:
-    """The result of :func:`merge` without a shuffle of the target.
+    """The result of :func:`merge` without a shuffle of the target, for a small batch.
 
-    For a batch known to be small; :func:`fits_broadcast` tells. The batch goes to every
-    task of the target, which updates its rows in place; the staged keys it meets are
-    collected by a second scan of the target's keys, and the rest of the batch is inserted.
-    ``staging`` should be a written table, since it is read three times.
+    The batch goes to every task of the target, which updates its rows in place; the staged
+    keys it meets are found by a second scan of the target's keys, and the rest of the batch
+    is inserted.
     """
     _check_target(target, rule)
     staged = _staged_columns(one_per_key(staging, rule, on_duplicate, order_by), rule)
@@ -233,7 +235,7 @@ def merge_broadcast(
 
 
 def fits_broadcast(
-    staging: DataFrame, rule: MergeRule = MYSQL, max_bytes: int = 64 * 1024 * 1024
+    staging: DataFrame, rule: MergeRule = MYSQL, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Whether the merge columns of a batch, uncompressed, stay within ``max_bytes``."""
     fixed = texts = 0
@@ -244,3 +246,22 @@ def fits_broadcast(
     row_bytes = F.lit(fixed) + texts
     total = staging.agg(F.sum(row_bytes)).first()[0] or 0
     return total <= max_bytes
+
+
+def merge_batch(
+    target: DataFrame,
+    staging: DataFrame,
+    rule: MergeRule = MYSQL,
+    on_duplicate: str = "error",
+    order_by: Sequence[str] = (),
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The result of :func:`merge`, by broadcast if the batch is small enough.
+
+    One job sums the bytes of the batch. Up to ``max_bytes`` it is broadcast and the target
+    is not shuffled; beyond that both are joined by key. ``staging`` should be a written
+    table, since a broadcast merge reads it three times more.
+    """
+    if fits_broadcast(staging, rule, max_bytes):
+        return _merge_broadcast(target, staging, rule, on_duplicate, order_by)
+    return merge(target, staging, rule, on_duplicate, order_by)

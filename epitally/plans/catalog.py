@@ -320,6 +320,11 @@ def upsert_latest(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def upsert_written_batch(spark: SparkSession, base: str) -> DataFrame:
+    batch = written(tb.shipment_batch(spark, base), "batch")
+    return up.merge_batch(tb.order_history(spark, base), batch)
+
+
 def history_merge(spark: SparkSession, base: str) -> DataFrame:
     path = new_path(spark, "history")
     merge_into_history(tb.order_history(spark, base), path, up.ALL_COLUMNS)
@@ -575,6 +580,7 @@ QUERIES: dict[str, Query] = {
         upsert_all_columns,
         upsert_day_counters,
         upsert_latest,
+        upsert_written_batch,
         history_merge,
         assemble_features,
         assemble_strict,

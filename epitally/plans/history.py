@@ -9,13 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.operators.upsert import (
-    MYSQL,
-    MergeRule,
-    fits_broadcast,
-    merge,
-    merge_broadcast,
-)
+from epitally.operators.upsert import MYSQL, MergeRule, merge_batch
 from epitally.schema import CASES
 from epitally.workspace import discard, written
 
@@ -78,8 +72,7 @@ def merge_into_history(
     spark = staging.sparkSession
     batch = written(with_day(staging), "batch")
     target = read_history(spark, path, schema).where(_in_touched_days(batch))
-    merging = merge_broadcast if fits_broadcast(batch, rule) else merge
-    merged = merging(target.drop(DAY), batch, rule, on_duplicate, order_by)
+    merged = merge_batch(target.drop(DAY), batch, rule, on_duplicate, order_by)
     ready = written(with_day(merged), "merged")
     (
         ready.hint("rebalance", DAY)

@@ -351,6 +351,9 @@ p AS (
     "upsert_latest": _with(
         [ORDERED, FEED, LATEST], _merge("ordered", "latest", NINE, NINE, COLUMNS)
     ),
+    "upsert_written_batch": _with(
+        [ORDERED, SHIPPED], _merge("ordered", "shipped", NINE, NINE, COLUMNS)
+    ),
     "history_merge": _with(
         [ORDERED, SHIPPED], _merge("ordered", "shipped", NINE, NINE, COLUMNS)
     ),

@@ -38,6 +38,20 @@ def test_query_equals_its_twin(spark, db, name):
     assert normal(ours.columns, ours.collect()) == normal(columns, result.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name", ["top_countries", "trend", "history_merge", "lake_dual_write", "audit_columns"]
+)
+def test_results_do_not_depend_on_the_session_zone(spark, db, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ours = entry_points.queries()[name](spark, SMALL)
+        rows = normal(ours.columns, ours.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    result = db.execute(TWINS[name])
+    assert rows == normal([d[0] for d in result.description], result.fetchall())
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark)
     assert rows.count() == 20

@@ -102,7 +102,7 @@ def test_merge_equals_a_dictionary(spark, target, staging, rule):
     assert table_of(merged) == expected(old, new, rule)
     again = up.merge(merged, case_rows(spark, new), rule)
     assert table_of(again) == table_of(merged)
-    broadcast = up.merge_broadcast(case_rows(spark, old), case_rows(spark, new), rule)
+    broadcast = up.merge_batch(case_rows(spark, old), case_rows(spark, new), rule)
     assert broadcast.schema.fieldNames() == list(COLUMNS)
     assert table_of(broadcast) == table_of(merged)
 
@@ -112,7 +112,7 @@ def test_repeated_or_null_keys_fail(spark):
     with pytest.raises(Exception, match="Staged key occurs more than once"):
         up.merge(target, case_rows(spark, [NEW, NEW])).collect()
     with pytest.raises(Exception, match="Staged key occurs more than once"):
-        up.merge_broadcast(target, case_rows(spark, [NEW, NEW])).collect()
+        up.merge_batch(target, case_rows(spark, [NEW, NEW])).collect()
     for bad in ({**NEW, "country": None}, {**NEW, "updated": None}):
         with pytest.raises(Exception, match="Staged row with a null key"):
             up.merge(target, case_rows(spark, [bad])).collect()
@@ -174,7 +174,7 @@ def test_broadcast_merge_leaves_the_target_in_place(spark, base):
 
     target = written(order_history(spark, base), "t")
     staging = written(shipment_batch(spark, base), "s")
-    merged = up.merge_broadcast(target, staging)
+    merged = up.merge_batch(target, staging)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
     # Every shuffle is of staged rows, for the check of their keys.
@@ -182,6 +182,8 @@ def test_broadcast_merge_leaves_the_target_in_place(spark, base):
         if "Exchange hashpartitioning" in line:
             assert "tests" not in line
     assert table_of(merged) == table_of(up.merge(target, staging))
+    joined = up.merge_batch(target, staging, max_bytes=1000)
+    assert "FullOuter" in joined._jdf.queryExecution().executedPlan().toString()
 
 
 def test_batch_size_check(spark):
@@ -194,7 +196,7 @@ def test_batch_size_check(spark):
 
 @pytest.mark.parametrize("fits", [True, False])
 def test_history_merges_large_and_small_batches_alike(spark, shared, monkeypatch, fits):
-    monkeypatch.setattr("epitally.plans.history.fits_broadcast", lambda *_: fits)
+    monkeypatch.setattr(up, "fits_broadcast", lambda *_: fits)
     first = [{**OLD, "updated": u} for u in (1, DAY_MS, 3 * DAY_MS)]
     second = [{**NEW, "updated": u} for u in (1, 2, 3 * DAY_MS)]
     merge_into_history(case_rows(spark, first), shared, up.ALL_COLUMNS)
@@ -272,5 +274,14 @@ def test_merge_leaves_no_scratch_tables(spark, shared, monkeypatch):
             table.collect()
 
 
+def test_empty_batch_changes_nothing(spark, shared):
+    nothing = case_rows(spark, [])
+    assert merge_into_history(nothing, shared).collect() == []
+    first = day_rows([("A", 0, 1)])
+    merge_into_history(case_rows(spark, first), shared)
+    merged = merge_into_history(nothing, shared)
+    assert table_of(merged.drop(DAY)) == expected(first, [], up.MYSQL)
+
+
 def test_missing_history_is_empty(spark, shared):
     assert read_history(spark, shared).collect() == []
