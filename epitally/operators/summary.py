@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from epitally.schema import REPORT_COLUMNS
 
 VIEW = "epidemic"
+HOUR_MILLIS = 3_600_000
 
 
 def register_view(df: DataFrame, name: str = VIEW) -> None:
@@ -53,17 +55,25 @@ def continent_summary(df: DataFrame, wide: bool = False) -> DataFrame:
     return df.groupBy("continent").agg(*_summary(wide))
 
 
-def time_edges(df: DataFrame, parts: int) -> list[float]:
-    """At most ``parts - 1`` approximate quantiles of ``updated``, as cut points."""
+def time_edges(df: DataFrame, parts: int, resolution: int = HOUR_MILLIS) -> list[float]:
+    """At most ``parts - 1`` quantiles of ``updated``, to the ``resolution``, as cut points.
+
+    Rows are counted per hour (by default) before the quantiles are taken, so the task that
+    takes them sees one row for each hour of the history, whatever the size of the data.
+    """
     fractions = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx("updated", fractions, 20 * parts).alias("e")).first()["e"]
-    return sorted({float(e) for e in found or []})
+    hours = df.groupBy(F.floor(F.col("updated") / resolution).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    found = hours.agg(F.percentile("hour", fractions, F.col("n")).alias("e")).first()["e"]
+    return sorted({float(math.floor(e) * resolution) for e in found or []})
 
 
 def trend(
     df: DataFrame,
     measures: Sequence[str] = ("cases", "deaths", "recovered"),
     parts: int | None = None,
+    resolution: int = HOUR_MILLIS,
 ) -> DataFrame:
     """Change of each measure since the country's previous ``updated``.
 
@@ -74,14 +84,15 @@ def trend(
 
     One country may hold a large share of the rows, so its history is not sorted in one
     task. Time is cut at quantiles into ``parts`` pieces (default: the number of shuffle
-    partitions, at most 4096); rows look back inside their (country, piece), and the first row of a piece
-    takes the last row of the country's piece before it. Any cut points give the same
-    result; quantiles bound the share of rows a task gets.
+    partitions, at most 4096); rows look back inside their (country, piece), and the first
+    row of a piece takes the last row of the country's piece before it. Any cut points give
+    the same result. They bound a task's group: by a piece's share of all rows or, as keys
+    are unique, by the milliseconds of one ``resolution``, whichever is more.
     """
     if parts is None:
         shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         parts = min(max(2, shuffles), 4096)
-    edges = time_edges(df, parts) or [0.0]
+    edges = time_edges(df, parts, resolution) or [0.0]
     splits = [float("-inf"), *edges, float("inf")]
     no_key = F.raise_error("Row with a null key").cast("double")
     keyless = F.col("country").isNull() | F.col("updated").isNull()

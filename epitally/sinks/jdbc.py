@@ -120,10 +120,13 @@ def merge_statement(target: JdbcTarget, rule: MergeRule | None = None) -> str:
 
 
 def open_connection(spark: SparkSession, target: JdbcTarget) -> Any:
-    """A JDBC connection of the driver process, from the driver jar Spark itself uses."""
+    """A JDBC connection of the driver process.
+
+    The database's jar must be on the driver's class path (``spark.driver.extraClassPath``),
+    where ``DriverManager`` looks for it.
+    """
     jvm = spark.sparkContext._jvm
-    # Makes a driver from a jar given to the session visible to DriverManager.
-    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(target.driver)
+    jvm.java.lang.Class.forName(target.driver)
     return jvm.java.sql.DriverManager.getConnection(
         target.url, target.user or "", target.password or ""
     )

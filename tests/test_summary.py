@@ -87,7 +87,7 @@ def check_trend(spark, rows, parts):
     df = spark.createDataFrame(rows, "country string, updated bigint, cases bigint")
     found = {
         (r["country"], r["updated"]): (r["previous_updated"], r["cases_change"])
-        for r in sm.trend(df, ["cases"], parts).collect()
+        for r in sm.trend(df, ["cases"], parts, resolution=1).collect()
     }
     assert found == expected_trend(rows)
 
@@ -116,6 +116,13 @@ def test_trend_equals_a_sorted_walk(spark, table, parts):
     check_trend(spark, [(c, u, v) for (c, u), v in table.items()], parts)
 
 
+def test_pieces_follow_the_rows_not_the_range(spark):
+    rows = [("H", sm.HOUR_MILLIS * h) for h in range(400)] + [("X", 10**14)]
+    df = spark.createDataFrame(rows, "country string, updated bigint")
+    edges = sm.time_edges(df, 4)
+    assert [e / sm.HOUR_MILLIS for e in edges] == [100, 200, 300]
+
+
 def test_trend_of_nothing(spark):
     empty = spark.createDataFrame([], "country string, updated bigint, cases bigint")
     assert sm.trend(empty, ["cases"]).collect() == []

@@ -92,7 +92,7 @@ def rows_of(table: dict) -> list[dict]:
 
 
 @settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(tables, tables, st.sampled_from([up.MYSQL, up.POSTGRES, up.ALL_COLUMNS]))
 def test_merge_equals_a_dictionary(spark, target, staging, rule):
