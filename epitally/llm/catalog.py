@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import bpe, line_dedup, mixing, quality, simhash
+from epitally.llm import (
+    bpe,
+    hilbert,
+    imatch,
+    language,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+)
 from epitally.llm.common import documents, table
 
 
@@ -16,6 +27,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("found")
+
+
 def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight of each document's source and how often the mixture takes the document."""
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
@@ -35,6 +50,24 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.train(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    held_out = language.held_out(F.col("doc_id"))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(documents(spark, sf_dir))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    kept = substring_dedup.remove_repeats(docs)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir))
 
@@ -46,12 +79,43 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
 
 
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards by equal numbers of rows along the curve of size, source and language."""
+    docs = documents(spark, sf_dir)
+    dimensions = {
+        "size": F.octet_length("text"),
+        "source": hilbert.text_ordinal(F.col("source")),
+        "lang": hilbert.text_ordinal(F.col("lang")),
+    }
+    placed = hilbert.shard(docs, dimensions)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "hilbert",
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_mixture": op3_mixture,
     "op4_simhash": op4_simhash,
+    "op5_language": op5_language,
+    "op6_imatch": op6_imatch,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
+    "op10_hilbert_shards": op10_hilbert_shards,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.oracle_sql(),
+    "op2_license_scan": license_scan.oracle_sql(),
+    "op3_mixture": mixing.oracle_sql(),
+    "op6_imatch": imatch.oracle_sql(),
+}

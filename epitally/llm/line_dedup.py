@@ -184,3 +184,52 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.greatest(n_lines, F.lit(0)).cast("long").alias("n_lines"),
         F.greatest(n_lines - n_kept, F.lit(0)).cast("long").alias("n_dropped"),
     )
+
+
+def oracle_sql() -> str:
+    space, other = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
+    blank = " || ".join(["' '", "chr(9)", "chr(11)", "chr(12)", "chr(13)"])
+
+    def mask(line: str) -> str:
+        plain = f"regexp_replace(trim({line}, {blank}), '{space}+', ' ', 'g')"
+        return f"regexp_replace({plain}, '{other}*[0-9]{other}*', '{WILD}', 'g')"
+
+    return f"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+e AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(lines, lambda l: {mask('l')}))) AS line FROM d),
+m AS (
+  SELECT line, string_split(line, ' ') AS tokens, count(*) AS docs, min(doc_id) AS first
+  FROM e WHERE line <> '' GROUP BY line),
+l AS (SELECT *, len(tokens) AS n, tokens[1:{DEPTH}] AS lead FROM m),
+leaf AS (
+  SELECT n, lead, sum(docs) AS leaf_docs FROM l WHERE n >= {LEAST_TOKENS}
+  GROUP BY n, lead HAVING count(*) > 1),
+p AS (
+  SELECT line, docs, first, n, lead, leaf_docs, unnest(range(n)) AS i, unnest(tokens) AS token
+  FROM l JOIN leaf USING (n, lead)),
+s AS (SELECT n, lead, i, token, sum(docs) AS with_token FROM p GROUP BY n, lead, i, token),
+c AS (
+  SELECT line, docs, first, n, lead, i, CASE WHEN token <> '{WILD}' AND with_token >= 2
+      AND with_token * 10 >= leaf_docs * {TOKEN_TENTHS} THEN token ELSE '{WILD}' END AS token
+  FROM p JOIN s USING (n, lead, i, token)),
+t AS (
+  SELECT line, docs, first, string_agg(token, ' ' ORDER BY i) AS template
+  FROM c GROUP BY line, docs, first, n
+  HAVING count(*) FILTER (token <> '{WILD}') * 10 >= n * {CONSTANT_TENTHS}),
+g AS (
+  SELECT template, min(first) AS t_first FROM t GROUP BY template
+  HAVING max(docs) > 1 OR min(first) <> max(first)),
+r AS (
+  SELECT l.line, coalesce(t_first, l.first) AS stays
+  FROM l LEFT JOIN (SELECT line, t_first FROM t JOIN g USING (template)) x ON x.line = l.line
+  WHERE l.docs > 1 OR t_first IS NOT NULL),
+x AS (SELECT doc_id, list(e.line) AS gone FROM e JOIN r USING (line) WHERE doc_id <> stays GROUP BY doc_id),
+k AS (
+  SELECT doc_id, len(lines) AS n, list_filter(lines, lambda l:
+    NOT list_contains(coalesce(gone, []), {mask('l')})) AS kept
+  FROM d LEFT JOIN x USING (doc_id))
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(n - len(kept), 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM k"""

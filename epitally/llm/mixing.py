@@ -265,3 +265,46 @@ def realise(
     mixed = mix(docs, wanted, key, text, source)
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))
     return mixed.where("mix_copies > 0").withColumn("_mix_pass", times).select(*docs.columns)
+
+
+def oracle_sql(wanted: Mixture = Mixture()) -> str:
+    """The same by trying every exponent and by a running total over each whole source.
+
+    For the default budget.
+    """
+    blank = " || ".join(["' '", *[f"chr({c})" for c in range(9, 14)]])
+    return f"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN trim(coalesce(text, ''), {blank}) = '' THEN 0 ELSE
+    len(regexp_split_to_array(trim(text, {blank}), '{SPACE_RUN}')) END AS n_tokens
+  FROM documents),
+o AS (
+  SELECT *, md5('{wanted.seed}|' || CAST(doc_id AS VARCHAR) || '|' || CAST(n_tokens AS VARCHAR)) AS own
+  FROM d),
+b AS (SELECT *, CAST('0x' || substr(own, 1, 8) AS BIGINT) % {BLOCKS} AS block FROM o),
+t AS (SELECT *, md5('block {wanted.seed}|' || source || '|' || CAST(block AS VARCHAR)) AS turn FROM b),
+s AS (SELECT source, sum(n_tokens) AS tokens FROM d GROUP BY source HAVING sum(n_tokens) > 0),
+p AS (SELECT *, ln(tokens / CAST((SELECT sum(tokens) FROM s) AS DOUBLE)) AS lp FROM s),
+a AS (
+  SELECT k, count(*) AS n, sum(exp(k / {STEPS}.0E0 * lp)) AS z,
+    sum(exp(k / {STEPS}.0E0 * lp) * (k / {STEPS}.0E0) * lp) AS l,
+    max(exp(k / {STEPS}.0E0 * lp) / tokens) AS hi, min(exp(k / {STEPS}.0E0 * lp) / tokens) AS lo
+  FROM p, range({STEPS + 1}) AS r(k) GROUP BY k),
+x AS (
+  SELECT greatest(
+    coalesce(max(k) FILTER (n < 2 OR ln(z) - l / z >= {wanted.entropy} * ln(n) - 1e-9), 0),
+    coalesce(min(k) FILTER (hi / lo <= {wanted.repeats} + 1e-9), {STEPS})) / {STEPS}.0E0 AS alpha
+  FROM a),
+w AS (SELECT source, tokens, exp(alpha * lp) AS p FROM p, x),
+q AS (
+  SELECT source, tokens, p / (SELECT sum(p) FROM w) AS weight, CAST(round(p / (SELECT sum(p) FROM w)
+    * ((SELECT sum(p) FROM w) / (SELECT min(p / tokens) FROM w))) AS BIGINT) AS quota
+  FROM w),
+u AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY turn, own
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM t)
+SELECT doc_id, u.source, CAST(n_tokens AS BIGINT) AS n_tokens, round(coalesce(weight, 0.0E0), 9) AS weight,
+  CAST(coalesce(quota // tokens + CASE WHEN upto <= quota % tokens THEN 1 ELSE 0 END, 1) AS BIGINT) AS copies,
+  block
+FROM u LEFT JOIN q ON q.source IS NOT DISTINCT FROM u.source"""
