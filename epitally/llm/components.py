@@ -11,7 +11,7 @@ ROUNDS = 60
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, root)`` for every node of a link, ``root`` the smallest node it reaches.
+    """``(node, root)`` for every node that reaches a smaller one, ``root`` the smallest it reaches.
 
     Two steps in turn: every node's larger neighbours are linked to the smallest of its
     neighbours and itself, then its smaller neighbours are. Both keep what is connected; once

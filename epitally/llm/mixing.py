@@ -235,20 +235,23 @@ def mix(
     added = ["mix_tokens", "mix_weight", "mix_copies", "mix_block", "mix_place"]
     docs = docs.drop(*added)
     shares, _ = plan(docs, wanted, key, text, source)
-    counted = docs.withColumn("mix_tokens", token_count(F.col(text)))
-    places = order_keys(F.col(source), F.col(key), F.col("mix_tokens"), wanted.seed)
-    rows = counted.withColumns(
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(source).alias("source"),
+        F.col(key).alias("key"),
+        token_count(F.col(text)).alias("mix_tokens"),
+    )
+    places = order_keys(F.col("source"), F.col("key"), F.col("mix_tokens"), wanted.seed)
+    rows = rows.withColumns(
         {"mix_block": places["block"], "mix_place": F.concat(places["turn"], places["own"])}
     )
-    names = {c: f"_mix_{c}" for c in shares.columns}
-    shares = shares.withColumnsRenamed(names)
-    found = rows.join(shares, F.col(source).eqNullSafe(F.col("_mix_of")), "left")
-    extra = F.coalesce(F.col("mix_place") <= F.col("_mix_cut"), F.lit(False)).cast("long")
+    found = rows.join(shares, F.col("source").eqNullSafe(F.col("of")), "left")
+    extra = F.coalesce(F.col("mix_place") <= F.col("cut"), F.lit(False)).cast("long")
     return found.select(
-        *docs.columns,
+        "row.*",
         "mix_tokens",
-        F.coalesce("_mix_weight", F.lit(0.0)).alias("mix_weight"),
-        F.coalesce(F.col("_mix_passes") + extra, F.lit(1)).alias("mix_copies"),
+        F.coalesce("weight", F.lit(0.0)).alias("mix_weight"),
+        F.coalesce(F.col("passes") + extra, F.lit(1)).alias("mix_copies"),
         "mix_block",
         "mix_place",
     )
@@ -262,9 +265,9 @@ def realise(
     source: str = "source",
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it."""
-    mixed = mix(docs, wanted, key, text, source)
+    mixed = mix(docs, wanted, key, text, source).where("mix_copies > 0")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))
-    return mixed.where("mix_copies > 0").withColumn("_mix_pass", times).select(*docs.columns)
+    return mixed.select(F.struct(*docs.columns).alias("row"), times.alias("time")).select("row.*")
 
 
 def oracle_sql(wanted: Mixture = Mixture()) -> str:

@@ -244,13 +244,15 @@ def keep_one(
     that key, the one with the smallest text hash; of rows that agree in key and text, any one.
     Texts without a word form one group. An empty table stays empty.
     """
-    row = "_kept_row"
-    marked = docs.withColumn(row, F.xxhash64(text))
-    prints = fingerprints(marked.select(key, text, row), text, shingle)
-    found = _grouped(written(prints, "fingerprints"), key, most)
-    first = F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("k"), F.col(row)))
+    rows = docs.select(
+        F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"),
+        F.struct(*docs.columns).alias("row"),
+    )
+    prints = fingerprints(rows.select("k", "t", "h"), "t", shingle)
+    found = _grouped(written(prints, "fingerprints"), "k", most)
+    first = F.min(F.struct(F.col("k").isNull().alias("last"), "k", "h"))
     chosen = found.groupBy("root").agg(first.alias("first"))
-    chosen = chosen.select(F.col("first.k").alias("_kept_key"), F.col(f"first.{row}").alias("_kept"))
-    same = F.col(key).eqNullSafe(F.col("_kept_key")) & (F.col(row) == F.col("_kept"))
-    kept = marked.join(chosen, same, "left_semi")
-    return kept.dropDuplicates([key, row]).drop(row)
+    chosen = chosen.select(F.col("first.k").alias("kept_k"), F.col("first.h").alias("kept_h"))
+    same = F.col("k").eqNullSafe(F.col("kept_k")) & (F.col("h") == F.col("kept_h"))
+    kept = rows.join(chosen, same, "left_semi")
+    return kept.dropDuplicates(["k", "h"]).select("row.*")
