@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +11,7 @@ from pyspark.sql import functions as F
 from epitally.schema import REPORT_COLUMNS
 
 VIEW = "epidemic"
-HOUR_MILLIS = 3_600_000
+DAY_MILLIS = 86_400_000
 
 
 def register_view(df: DataFrame, name: str = VIEW) -> None:
@@ -55,54 +53,29 @@ def continent_summary(df: DataFrame, wide: bool = False) -> DataFrame:
     return df.groupBy("continent").agg(*_summary(wide))
 
 
-def time_edges(df: DataFrame, parts: int, resolution: int = HOUR_MILLIS) -> list[float]:
-    """At most ``parts - 1`` quantiles of ``updated``, to the ``resolution``, as cut points.
-
-    Rows are counted per hour (by default) before the quantiles are taken, so the task that
-    takes them sees one row for each hour of the history, whatever the size of the data.
-    """
-    fractions = [i / parts for i in range(1, parts)]
-    hours = df.groupBy(F.floor(F.col("updated") / resolution).alias("hour")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    found = hours.agg(F.percentile("hour", fractions, F.col("n")).alias("e")).first()["e"]
-    return sorted({float(math.floor(e) * resolution) for e in found or []})
-
-
 def trend(
     df: DataFrame,
     measures: Sequence[str] = ("cases", "deaths", "recovered"),
-    parts: int | None = None,
-    resolution: int = HOUR_MILLIS,
+    resolution: int = DAY_MILLIS,
 ) -> DataFrame:
     """Change of each measure since the country's previous ``updated``.
 
     Keys must be unique and present; a null in one fails. ``df`` should be a scan of files,
-    since it is read three times: for the quantiles, the rows and the ends of pieces.
+    since it is read twice: for the rows and for the ends of pieces.
 
     Adds ``previous_updated`` and ``<measure>_change``, null on a country's first row.
 
     One country may hold a large share of the rows, so its history is not sorted in one
-    task. Time is cut at quantiles into ``parts`` pieces (default: the number of shuffle
-    partitions, at most 4096); rows look back inside their (country, piece), and the first
-    row of a piece takes the last row of the country's piece before it. Any cut points give
-    the same result. They bound a task's group: by a piece's share of all rows or, as keys
-    are unique, by the milliseconds of one ``resolution``, whichever is more.
+    task. Time is cut into pieces of ``resolution`` milliseconds; rows look back inside their
+    (country, piece), and the first row of a piece takes the last row of the country's piece
+    before it. Any resolution gives the same result. As keys are unique, a piece has at most
+    ``resolution`` rows of a country, and a country at most one end for each piece of the time
+    covered; choose it so that both are small, a day for a feed of some rows a minute.
     """
-    if parts is None:
-        shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts = min(max(2, shuffles), 4096)
-    edges = time_edges(df, parts, resolution) or [0.0]
-    splits = [float("-inf"), *edges, float("inf")]
-    no_key = F.raise_error("Row with a null key").cast("double")
+    no_key = F.raise_error("Row with a null key").cast("bigint")
     keyless = F.col("country").isNull() | F.col("updated").isNull()
     at = F.when(keyless, no_key).otherwise(F.col("updated"))
-    pieces = (
-        Bucketizer(splits=splits, inputCol="_at", outputCol="_piece")
-        .transform(df.withColumn("_at", at))
-        .drop("_at")
-        .withColumn("_piece", F.col("_piece").cast("int"))
-    )
+    pieces = df.withColumn("_piece", F.floor(at / F.lit(resolution)))
     inside = W.partitionBy("country", "_piece").orderBy("updated")
     state = F.struct("updated", *measures)
     looked_back = pieces.withColumn("_before", F.lag(state).over(inside))

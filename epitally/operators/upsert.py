@@ -90,7 +90,9 @@ ALL_COLUMNS = all_columns_rule()
 
 ON_DUPLICATE = ("error", "latest")
 
-# Largest batch that is sent whole to every task.
+STRATEGIES = ("join", "broadcast")
+
+# Largest batch that may be sent whole to every task.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -121,23 +123,23 @@ def one_per_key(
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"Unsupported on_duplicate={on_duplicate} ({'|'.join(ON_DUPLICATE)})")
     values = [c for c in rule.insert if c not in rule.keys]
-    valid = _no_null_keys(rule)
+    # A filter of its own below the window and the shuffle: rows without a key fail where they
+    # are read instead of being hashed to one task first.
+    valid = staging.where(_no_null_keys(rule).otherwise(F.lit(True)))
     if on_duplicate == "error":
         within_key = W.partitionBy(*rule.keys).orderBy(*rule.keys)
         repeated = F.raise_error("Staged key occurs more than once").cast("boolean")
         return (
-            staging.select(*rule.keys, *values)
+            valid.select(*rule.keys, *values)
             .withColumn("_copy", F.row_number().over(within_key))
-            .where(valid.when(F.col("_copy") > 1, repeated).otherwise(F.lit(True)))
+            .where(F.when(F.col("_copy") > 1, repeated).otherwise(F.lit(True)))
             .drop("_copy")
         )
     if not order_by:
         raise ValueError("on_duplicate=latest needs order_by columns")
     ranked = F.struct(*order_by, *[F.col(c).alias(f"v_{c}") for c in values])
-    grouped = staging.groupBy(*rule.keys).agg(F.max(ranked).alias("_row"))
-    return grouped.where(valid.otherwise(F.lit(True))).select(
-        *rule.keys, *[F.col(f"_row.v_{c}").alias(c) for c in values]
-    )
+    grouped = valid.groupBy(*rule.keys).agg(F.max(ranked).alias("_row"))
+    return grouped.select(*rule.keys, *[F.col(f"_row.v_{c}").alias(c) for c in values])
 
 
 def _staged_columns(staging: DataFrame, rule: MergeRule) -> DataFrame:
@@ -254,14 +256,29 @@ def merge_batch(
     rule: MergeRule = MYSQL,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    strategy: str = "join",
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The result of :func:`merge`, by broadcast if the batch is small enough.
+    """The result of :func:`merge` by the strategy asked for; both give the same rows.
 
-    One job sums the bytes of the batch. Up to ``max_bytes`` it is broadcast and the target
-    is not shuffled; beyond that both are joined by key. ``staging`` should be a written
-    table, since a broadcast merge reads it three times more.
+    ``join`` shuffles both sides by key. ``broadcast`` sends the batch to every task and leaves
+    the target where it is, which pays for a batch far smaller than the target; the batch is
+    measured first, and one of more than ``max_bytes`` is refused. For a broadcast ``staging``
+    should be a written table, since it is read three times more.
     """
-    if fits_broadcast(staging, rule, max_bytes):
-        return _merge_broadcast(target, staging, rule, on_duplicate, order_by)
-    return merge(target, staging, rule, on_duplicate, order_by)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"Unsupported strategy={strategy} ({'|'.join(STRATEGIES)})")
+    if strategy == "join":
+        return merge(target, staging, rule, on_duplicate, order_by)
+    if not fits_broadcast(staging, rule, max_bytes):
+        raise ValueError(f"The batch is larger than the {max_bytes} bytes that may be broadcast")
+    return _merge_broadcast(target, staging, rule, on_duplicate, order_by)
+
+
+# The day counters as a landed feed names them, and as the merge rule does.
+DAY_COUNTER_NAMES = {"todayCases": "today_cases", "todayDeaths": "today_deaths"}
+
+
+def rename_day_counters(landed: DataFrame) -> DataFrame:
+    """Landed rows with day counters under the names that ``WITH_DAY_COUNTERS`` uses."""
+    return landed.withColumnsRenamed(DAY_COUNTER_NAMES)

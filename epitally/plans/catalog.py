@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,6 @@ from epitally.operators import quality as q
 from epitally.operators import summary as sm
 from epitally.operators import upsert as up
 from epitally.operators.forest import (
-    ForestParams,
-    GridParams,
-    cross_validate,
     fit_forest,
     fit_forest_on_vectors,
     grid_results,
@@ -32,20 +30,19 @@ from epitally.operators.forest import (
 from epitally.operators.split import hash_split, random_split
 from epitally.plans.history import merge_into_history
 from epitally.plans.job import JobConfig, run_job
-from epitally.plans.learning import LearningConfig, run_learning, train_and_test
+from epitally.plans.learning import LearningConfig, dealt_rows, run_learning, train_and_test
 from epitally.schema import (
     CASES,
     COLUMNS,
     FEATURES,
     KEYS,
-    NARROW,
     REPORT_COLUMNS,
     STRICT_FEATURES,
 )
 from epitally.sinks import lake, models, runlog
 from epitally.sources import landing
 from epitally.sources import tables as tb
-from epitally.workspace import new_path, spread, written
+from epitally.workspace import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +55,9 @@ PAGE_ROWS = 1000
 FILE_ROWS = 20_000
 
 HASHED = LearningConfig(split="hash", keys=KEYS)
-SMALL_FOREST = ForestParams(num_trees=20, max_depth=5)
+SEARCHED = LearningConfig(split="hash", keys=KEYS, cross_validation=True)
+# Fixed value: the largest rmse of an acceptable model.
+RMSE_BOUND = 10_000.0
 
 
 # --- Summaries ---------------------------------------------------------------------------
@@ -198,6 +197,26 @@ def landing_fractions(spark: SparkSession, base: str) -> DataFrame:
     return counts.withColumn("cases_total", F.lit(total).cast("long"))
 
 
+def landing_exact(spark: SparkSession, base: str) -> DataFrame:
+    """Counters beyond 2**53 land as they were written."""
+    path = new_path(spark, "landing")
+    huge = F.lit(2**53 + 1) + F.col("population")
+    landing.to_raw(tb.snapshot(spark, base).withColumn("cases", huge)).write.json(path)
+    return landing.read_cases(spark, path, layout="lines").select("country", "population", "cases")
+
+
+def landing_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """Rows read and lines rejected from a feed in which every seventh line is cut off."""
+    path = new_path(spark, "landing")
+    raw = landing.to_raw(tb.snapshot(spark, base))
+    line = F.to_json(F.struct(*raw.columns))
+    broken = F.concat(F.lit('{"country": "'), F.col("country"), F.lit('", "cases": '))
+    raw.select(F.when(F.col("population") % 7 == 0, broken).otherwise(line)).write.text(path)
+    good, bad = landing.read_with_rejects(spark, path, "lines")
+    read = good.select(F.lit("read").alias("kind"), F.col("country").alias("value"))
+    return read.unionByName(bad.select(F.lit("rejected").alias("kind"), F.col("document").alias("value")))
+
+
 def document_parse(spark: SparkSession, base: str) -> DataFrame:
     return landing.parse_documents(_pages(tb.snapshot(spark, base)))
 
@@ -310,6 +329,24 @@ def upsert_day_counters(spark: SparkSession, base: str) -> DataFrame:
     return up.merge(target, staging, up.WITH_DAY_COUNTERS)
 
 
+def upsert_landed_day_counters(spark: SparkSession, base: str) -> DataFrame:
+    """Day counters from a landed feed to the merge."""
+    path = new_path(spark, "landing")
+    rows = (
+        tb.shipment_batch(spark, base)
+        .withColumn("todayCases", F.col("cases") - F.col("deaths"))
+        .withColumn("todayDeaths", F.col("deaths"))
+    )
+    landing.to_raw(rows).write.json(path)
+    landed = landing.flatten(landing.scan_json(spark, path, layout="lines"), day_counters=True)
+    target = (
+        tb.order_history(spark, base)
+        .withColumn("today_cases", F.col("tests"))
+        .withColumn("today_deaths", F.col("critical"))
+    )
+    return up.merge(target, up.rename_day_counters(landed), up.WITH_DAY_COUNTERS)
+
+
 def upsert_latest(spark: SparkSession, base: str) -> DataFrame:
     return up.merge(
         tb.order_history(spark, base),
@@ -369,10 +406,22 @@ def hash_split_rows(spark: SparkSession, base: str) -> DataFrame:
 def random_split_parts(spark: SparkSession, base: str) -> DataFrame:
     rows = written(tb.event_history(spark, base).select(*KEYS), "rows")
     train, test = random_split(rows)
-    copies = train.union(test).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("copies"))
-    return copies.agg(
+    again, _ = random_split(rows)
+    sides = (
+        train.withColumn("side", F.lit(1))
+        .unionByName(test.withColumn("side", F.lit(2)))
+        .unionByName(again.withColumn("side", F.lit(4)))
+    )
+    per_row = sides.groupBy(*KEYS).agg(
+        F.sum(F.when(F.col("side") < 4, 1).otherwise(0)).alias("copies"), F.sum("side").alias("sides")
+    )
+    share = F.sum(F.when(F.col("sides").isin(1, 5), 1).otherwise(0)) / F.sum("copies")
+    return per_row.agg(
         F.sum("copies").alias("row_count"),
         F.sum(F.when(F.col("copies") > 1, 1).otherwise(0)).alias("repeated"),
+        share.between(0.75, 0.85).alias("share_as_asked"),
+        # On both draws of the training part, or on none.
+        F.bool_and(F.col("sides").isin(2, 5)).alias("same_on_repeat"),
     )
 
 
@@ -417,34 +466,114 @@ def negative_predictions(spark: SparkSession, base: str) -> DataFrame:
     return ev.negative_predictions(_predicted(spark, base))
 
 
+def missing_features(spark: SparkSession, base: str) -> DataFrame:
+    """Names of the model's columns that a frame lacks, one row each."""
+    rows = tb.snapshot(spark, base).drop("tests", "critical", "deaths")
+    lacking = [c for c in (*FEATURES, "deaths") if c not in rows.columns]
+    try:
+        ft.check_columns(rows)
+        said = ""
+    except ValueError as error:
+        said = str(error)
+    named = F.lit(said).contains(F.col("missing"))
+    return rows.select(F.explode(F.array(*[F.lit(c) for c in lacking])).alias("missing")).groupBy(
+        "missing"
+    ).agg(F.count(F.lit(1)).alias("row_count")).withColumn("named", named)
+
+
+def acceptance(spark: SparkSession, base: str) -> DataFrame:
+    """Whether the rule-made prediction passes at two thresholds of its rmse."""
+    found = ev.regression_metrics(_predicted(spark, base)).first().asDict()
+    totals = _predicted(spark, base).agg(F.count(F.lit(1)).alias("row_count"))
+    return totals.select(
+        "row_count",
+        F.lit(ev.accept_model(found, 1000.0)).alias("at_1000"),
+        F.lit(ev.accept_model(found, 0.1)).alias("at_a_tenth"),
+    )
+
+
+def refused_formats(spark: SparkSession, base: str) -> DataFrame:
+    """Each continent's name as a lake format, with the refusal it gets."""
+    rows = tb.snapshot(spark, base)
+    out = []
+    for r in rows.select("continent").distinct().orderBy("continent").collect():
+        for kind, write in (("main", lake.write_main), ("analyst", lake.write_analyst)):
+            try:
+                write(rows, new_path(spark, "refused"), r["continent"])
+                out.append((r["continent"], kind, False))
+            except ValueError as error:
+                out.append((r["continent"], kind, r["continent"] in str(error)))
+    return spark.createDataFrame(out, "format string, copy string, refused boolean")
+
+
 # --- Learning ----------------------------------------------------------------------------
 
 
-def _label_range(train: DataFrame) -> tuple[float, float]:
-    low, high = train.agg(F.min("label"), F.max("label")).first()
-    return float(low), float(high)
+def _quality(predictions: DataFrame) -> dict[str, object]:
+    """Facts about predictions that a wrong model would turn: it must follow the labels."""
+    found = ev.evaluate(predictions).first().asDict()
+    corr, spread = predictions.agg(
+        F.corr(F.col("label").cast("double"), "prediction"), F.stddev_pop("label")
+    ).first()
+    return {
+        "correlated": corr is not None and corr > 0.5,
+        "beats_the_mean": found["rmse"] is not None and found["rmse"] < spread,
+        "rmse_bounded": found["rmse"] is not None and found["rmse"] < RMSE_BOUND,
+    }
+
+
+def _forest_flags(forest, params, seeded: bool = True) -> dict[str, bool]:
+    """Whether the fitted stage has the settings asked for."""
+    want = {
+        "maxDepth": params.max_depth,
+        "maxBins": params.max_bins,
+        "minInstancesPerNode": params.min_instances_per_node,
+        "featureSubsetStrategy": params.feature_subset_strategy,
+    }
+    if seeded:
+        want["seed"] = params.seed
+    same = all(forest.getOrDefault(k) == v for k, v in want.items())
+    return {"settings_as_asked": same and forest.getNumTrees == params.num_trees}
+
+
+def _flagged(rows: DataFrame, flags: dict[str, object]) -> DataFrame:
+    return rows.withColumns({k: F.lit(bool(v)) for k, v in flags.items()})
 
 
 def forest_predictions(spark: SparkSession, base: str) -> DataFrame:
+    """Each test row, and whether the predictions follow the labels."""
     result = run_learning(tb.snapshot(spark, base), HASHED)
-    return result.predictions.select(*KEYS, "label", "prediction")
+    rows = result.predictions.select(*KEYS, "label", (F.col("prediction") >= 0).alias("not_negative"))
+    return _flagged(rows, _quality(result.predictions))
 
 
 def forest_evaluation(spark: SparkSession, base: str) -> DataFrame:
-    return run_learning(tb.snapshot(spark, base), HASHED).metrics
+    """The one-pass metrics against the library's own evaluator."""
+    result = run_learning(tb.snapshot(spark, base), HASHED)
+    found = result.metrics.first().asDict()
+    flags = {}
+    for name in ("rmse", "mae", "r2"):
+        theirs = RegressionEvaluator(metricName=name, labelCol="label").evaluate(result.predictions)
+        flags[f"{name}_agrees"] = abs(found[name] - theirs) <= 1e-9 * max(1.0, abs(theirs))
+    rows = result.predictions.agg(F.count(F.lit(1)).alias("tested"), F.sum("label").alias("labels"))
+    return _flagged(rows, {**flags, **_quality(result.predictions)})
 
 
 def forest_check(spark: SparkSession, base: str) -> DataFrame:
-    """Each test row, and that its prediction is a mean of training labels."""
+    """Each test row, and that the default forest has its settings and can be fitted again."""
     rows = written(tb.snapshot(spark, base), "cases")
     result = run_learning(rows, HASHED)
-    low, high = _label_range(train_and_test(rows, HASHED)[0])
-    return result.predictions.select(
+    again = run_learning(rows.repartition(3), HASHED)
+    second = again.predictions.select(*KEYS, F.col("prediction").alias("second"))
+    forest = result.model.stages[-1]
+    flags = {**_forest_flags(forest, HASHED.forest), **_quality(result.predictions)}
+    compared = result.predictions.join(second, list(KEYS)).select(
         *KEYS,
         "label",
         F.size(vector_to_array("features")).alias("dimensions"),
-        F.col("prediction").between(low, high).alias("in_label_range"),
+        (F.abs(F.col("prediction") - F.col("second")) <= 1e-9).alias("repeatable"),
     )
+    return _flagged(compared, flags)
 
 
 def minimal_forest_check(spark: SparkSession, base: str) -> DataFrame:
@@ -452,37 +581,40 @@ def minimal_forest_check(spark: SparkSession, base: str) -> DataFrame:
         written(tb.snapshot(spark, base), "cases").dropna(subset=["deaths"]), keep=KEYS
     )
     train, test = hash_split(prepared, KEYS)
-    model = fit_forest_on_vectors(spread(train))
-    low, high = _label_range(train)
-    return model.transform(test).select(
-        *KEYS, "label", F.col("prediction").between(low, high).alias("in_label_range")
-    )
+    vectors = dealt_rows(train.select(*KEYS, "features", "label"), HASHED)
+    model = fit_forest_on_vectors(vectors)
+    found = model.transform(test).select(*KEYS, "label", "prediction")
+    flags = {**_forest_flags(model, HASHED.forest, seeded=False), **_quality(found)}
+    return _flagged(found.drop("prediction"), flags)
 
 
 def cross_validation_grid(spark: SparkSession, base: str) -> DataFrame:
-    rows = written(tb.snapshot(spark, base), "cases")
-    train, _ = train_and_test(rows, HASHED)
-    grid = GridParams(num_trees=(5, 20), max_depth=(3, 5), min_instances_per_node=(1,), folds=2)
-    return grid_results(cross_validate(spread(train), grid), spark)
+    """Every setting of the default grid, and that exactly the one with least rmse is best."""
+    result = run_learning(tb.snapshot(spark, base), SEARCHED)
+    grid = grid_results(result.search, spark)
+    least, bests = grid.agg(
+        F.min("avg_metric"), F.sum(F.col("is_best").cast("int"))
+    ).first()
+    right = (F.col("avg_metric") == least) == F.col("is_best")
+    rows = grid.select("num_trees", "max_depth", "min_instances", right.alias("best_is_least"))
+    return _flagged(rows, {"one_best": bests == 1})
 
 
 def cross_validation_check(spark: SparkSession, base: str) -> DataFrame:
-    """Each test row, and that the best model of a grid predicts a mean of labels."""
-    grid = GridParams(num_trees=(5, 10), max_depth=(3,), min_instances_per_node=(1, 5), folds=2)
-    config = LearningConfig(split="hash", keys=KEYS, cross_validation=True, grid=grid)
-    rows = written(tb.snapshot(spark, base), "cases")
-    result = run_learning(rows, config)
-    low, high = _label_range(train_and_test(rows, config)[0])
-    return result.predictions.select(
-        *KEYS, "label", F.col("prediction").between(low, high).alias("in_label_range")
-    )
+    """Each test row, and that the best model of the default grid is one and follows the labels."""
+    result = run_learning(tb.snapshot(spark, base), SEARCHED)
+    forest, best = result.model.stages[-1], grid_results(result.search, spark).where("is_best").first()
+    same = (forest.getNumTrees, forest.getOrDefault("maxDepth"), forest.getOrDefault(
+        "minInstancesPerNode")) == (best["num_trees"], best["max_depth"], best["min_instances"])
+    rows = result.predictions.select(*KEYS, "label")
+    return _flagged(rows, {"best_setting_refitted": same, **_quality(result.predictions)})
 
 
 def model_registry(spark: SparkSession, base: str) -> DataFrame:
     """Test rows, and that a model saved and loaded by name predicts the same."""
     folder = new_path(spark, "models")
     train, test = train_and_test(written(tb.snapshot(spark, base), "cases"), HASHED)
-    model = fit_forest(spread(train), SMALL_FOREST)
+    model = fit_forest(dealt_rows(train, HASHED), HASHED.forest)
     models.save_model(model, folder)
     loaded = models.load_model(spark, folder)
     first = predict(model, test).withColumnRenamed("prediction", "saved").drop("features")
@@ -517,7 +649,6 @@ def whole_batch(spark: SparkSession, base: str) -> DataFrame:
         lake=lake.LakeConfig(f"{folder}/lake"),
         models=f"{folder}/models",
         run_log=f"{folder}/runs",
-        learning=LearningConfig(split="hash", keys=KEYS, forest=SMALL_FOREST),
         batch_micros=BATCH_MICROS,
     )
     result = run_job(spark, config)
@@ -526,21 +657,21 @@ def whole_batch(spark: SparkSession, base: str) -> DataFrame:
     analyst = lake.read_analyst(spark, config.lake.analyst_path(config.dataset), schema)
     analyst_rows, analyst_cases = analyst.agg(F.count(F.lit(1)), F.sum("cases")).first()
     tested = result.learning.predictions.count()
+    warnings, checks = len(result.warnings), result.checks.count()
+    flags = _forest_flags(result.learning.model.stages[-1], config.learning.forest)
+    result.close()
     return main.agg(
         F.count(F.lit(1)).alias("main_rows"),
         F.sum("cases").alias("main_cases"),
         F.lit(analyst_rows).cast("long").alias("analyst_rows"),
         F.lit(analyst_cases).cast("long").alias("analyst_cases"),
         F.lit(tested).cast("long").alias("tested_rows"),
-        F.lit(len(result.warnings)).cast("long").alias("warnings"),
-        F.lit(result.checks.count()).cast("long").alias("checks"),
+        F.lit(warnings).cast("long").alias("warnings"),
+        F.lit(checks).cast("long").alias("checks"),
+        F.lit(flags["settings_as_asked"]).alias("default_forest"),
     )
 
 
-def narrow_projection(spark: SparkSession, base: str) -> DataFrame:
-    return tb.snapshot(spark, base).select(*NARROW.fieldNames())
-
-
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -549,7 +680,6 @@ QUERIES: dict[str, Query] = {
         wide_summary,
         top_countries,
         epidemic_view,
-        narrow_projection,
         per_million_rates,
         trend,
         row_column_count,
@@ -565,6 +695,8 @@ QUERIES: dict[str, Query] = {
         landing_inferred,
         landing_day_counters,
         landing_fractions,
+        landing_exact,
+        landing_rejects,
         document_parse,
         lake_main_parquet,
         lake_main_orc,
@@ -579,6 +711,7 @@ QUERIES: dict[str, Query] = {
         upsert_postgres_rule,
         upsert_all_columns,
         upsert_day_counters,
+        upsert_landed_day_counters,
         upsert_latest,
         upsert_written_batch,
         history_merge,
@@ -595,6 +728,9 @@ QUERIES: dict[str, Query] = {
         label_prediction_corr,
         prediction_sample,
         negative_predictions,
+        missing_features,
+        acceptance,
+        refused_formats,
         forest_predictions,
         forest_evaluation,
         forest_check,

@@ -1,20 +1,31 @@
-"""Keyed history kept as a date-partitioned Parquet table."""
+"""Keyed history kept by day in Parquet, with versions and a manifest.
+
+Under the history's path, ``data/v=<version>/updated_day=<day>/`` holds the rows of a day as a
+batch left them, and ``manifests/<number>.json`` says which version of each day counts; the
+highest number is the one in force. A merge writes the days it touches to a new version and
+then publishes a manifest that names it, by one rename. Until then readers see the history as
+it was, from then on as it is; nothing that is read is ever overwritten.
+
+There may be one writer at a time; a second one fails when it publishes. The rename must be
+atomic and refuse an existing name, as on HDFS and local file systems.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.operators.upsert import MYSQL, MergeRule, merge_batch
+from epitally.operators.upsert import MYSQL, MergeRule, merge
 from epitally.schema import CASES
-from epitally.workspace import discard, written
+from epitally.workspace import delete, discard, file_system, written
 
 DAY = "updated_day"
-MAX_LISTED_DAYS = 10_000
+VERSION = "v"
 
 
 def with_day(df: DataFrame) -> DataFrame:
@@ -24,32 +35,97 @@ def with_day(df: DataFrame) -> DataFrame:
     )
 
 
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    files, path = file_system(spark, folder)
+    if not files.exists(path):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(path)]
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    found = [n.removesuffix(".json") for n in _names(spark, f"{path}/manifests")]
+    return sorted(int(n) for n in found if n.isdigit())
+
+
+def _manifest(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+    """Version by day. As many entries as the history has days."""
+    files, found = file_system(spark, f"{path}/manifests/{number:012}.json")
+    stream = files.open(found)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def current(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    """Number and content of the manifest in force; 0 and nothing without a history."""
+    numbers = _numbers(spark, path)
+    return (numbers[-1], _manifest(spark, path, numbers[-1])) if numbers else (0, {})
+
+
 def read_history(
-    spark: SparkSession, path: str, schema: T.StructType = CASES
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = CASES,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The history with its partition column; empty where none has been written."""
+    """The history with its partition column, or some of its days; empty where there is none."""
     full = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    _, versions = current(spark, path)
+    wanted = versions if days is None else {d: versions[d] for d in days if d in versions}
+    folders = [f"{path}/data/{VERSION}={v}/{DAY}={d}" for d, v in sorted(wanted.items())]
+    if not folders:
         # The filter lets the optimizer see that there is nothing to join with.
         return spark.createDataFrame([], full).where(F.lit(False))
+    version = T.StructField(VERSION, T.StringType())
+    rows = spark.read.schema(T.StructType([*full.fields, version]))
+    return rows.option("basePath", f"{path}/data").parquet(*folders).drop(VERSION)
+
+
+def _write_days(rows: DataFrame, path: str, version: str) -> None:
+    """The rows by day: few files for each, a large day split over tasks."""
+    rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{path}/data/{VERSION}={version}")
 
 
-def _in_touched_days(staging: DataFrame) -> Column:
-    """A partition filter for the days of the batch.
+def _publish(spark: SparkSession, path: str, number: int, versions: dict[str, str]) -> None:
+    """Put the manifest in force with one rename."""
+    files, folder = file_system(spark, f"{path}/manifests")
+    files.mkdirs(folder)
+    _, draft = file_system(spark, f"{path}/manifests/.draft-{uuid.uuid4().hex}")
+    stream = files.create(draft)
+    try:
+        stream.write(bytearray(json.dumps(versions, sort_keys=True).encode()))
+    finally:
+        stream.close()
+    _, final = file_system(spark, f"{path}/manifests/{number:012}.json")
+    if files.exists(final) or not files.rename(draft, final):
+        files.delete(draft, False)
+        raise RuntimeError(f"Another writer has published manifest {number} of {path}")
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    """Delete what neither the manifest in force nor the one before names.
 
-    The list has one entry per touched partition directory. A batch that touches more
-    days than can sensibly be listed is filtered by its first and last day instead, which
-    keeps every touched day and merges some others unchanged.
+    The one before is kept for readers that have begun with it. Also deletes what a merge left
+    that was broken off before it published.
     """
-    days = [r[0] for r in staging.select(DAY).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(days) <= MAX_LISTED_DAYS:
-        return F.col(DAY).isin(days)
-    first, last = staging.agg(F.min(DAY), F.max(DAY)).first()
-    return F.col(DAY).between(first, last)
+    numbers = _numbers(spark, path)
+    kept = numbers[-2:]
+    named = {(v, d) for n in kept for d, v in _manifest(spark, path, n).items()}
+    versions = {v for v, _ in named}
+    for folder in _names(spark, f"{path}/data"):
+        version = folder.removeprefix(f"{VERSION}=")
+        if version not in versions:
+            delete(spark, f"{path}/data/{folder}")
+            continue
+        for day in _names(spark, f"{path}/data/{folder}"):
+            if day.startswith(f"{DAY}=") and (version, day.removeprefix(f"{DAY}=")) not in named:
+                delete(spark, f"{path}/data/{folder}/{day}")
+    for n in numbers[:-2]:
+        delete(spark, f"{path}/manifests/{n:012}.json")
+    for name in _names(spark, f"{path}/manifests"):
+        if name.startswith(".draft-"):
+            delete(spark, f"{path}/manifests/{name}")
 
 
 def merge_into_history(
@@ -62,25 +138,25 @@ def merge_into_history(
 ) -> DataFrame:
     """Merge a batch into the history at ``path``; returns the history.
 
-    Only the days in the batch are read, merged and rewritten; a batch of checked, small
-    size is broadcast to them instead of shuffling them. The merged days are first
-    written to the shared folder and then swapped in, so nothing is read while it is being
-    replaced, and after a failure the same call can be repeated: merging a batch twice
-    changes nothing. If the swap itself was broken off, the merged days are still whole in
-    the shared folder; they are deleted only after it.
+    Only the days in the batch are read, merged and written, each once. Their names go
+    through the driver: as many as the batch touches partition folders. After a failure at
+    any point the same call can be repeated: before the manifest is published the history is
+    as it was, and after it merging the batch again changes nothing.
     """
     spark = staging.sparkSession
     batch = written(with_day(staging), "batch")
-    target = read_history(spark, path, schema).where(_in_touched_days(batch))
-    merged = merge_batch(target.drop(DAY), batch, rule, on_duplicate, order_by)
-    ready = written(with_day(merged), "merged")
-    (
-        ready.hint("rebalance", DAY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
-    discard(spark, batch)
-    discard(spark, ready)
+    try:
+        found = batch.select(F.col(DAY).cast("string")).distinct().collect()
+        days = sorted(r[0] for r in found if r[0] is not None)
+        number, versions = current(spark, path)
+        target = read_history(spark, path, schema, days)
+        merged = merge(target.drop(DAY), batch, rule, on_duplicate, order_by)
+        # A row without a key has no day; it fails in the merge.
+        if found:
+            version = uuid.uuid4().hex
+            _write_days(with_day(merged), path, version)
+            _publish(spark, path, number + 1, {**versions, **dict.fromkeys(days, version)})
+            _clean(spark, path)
+    finally:
+        discard(spark, batch)
     return read_history(spark, path, schema)

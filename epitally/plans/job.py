@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import uuid
+from contextlib import ExitStack
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,7 @@ from epitally.sinks.lake import LakeConfig, export
 from epitally.sinks.models import MODEL_NAME, save_model
 from epitally.sinks.runlog import log_run
 from epitally.sources.landing import read_cases
-from epitally.workspace import written
+from epitally.workspace import discard, written
 
 log = logging.getLogger(__name__)
 
@@ -59,15 +61,25 @@ class JobResult:
     metrics: dict[str, float | None]
     model_version: str | None
     exported: DataFrame
+    run_id: str
+    appended: bool | None
+    """Whether the database took all rows; None without a database. False may mean some."""
 
+    def close(self) -> None:
+        """Release caches and delete the batch's tables; the frames cannot be read any more."""
+        self.learning.close()
+        discard(self.cases.sparkSession, self.cases, self.checks)
 
-def _append_to_database(cases: DataFrame, config: JobConfig) -> None:
+
+def _append_to_database(cases: DataFrame, config: JobConfig) -> bool:
     try:
         jdbc.append(cases, config.database)
+        return True
     except Exception:
         if config.jdbc_required:
             raise
         log.exception("Append to the database failed; going on without it")
+        return False
 
 
 def run_job(
@@ -80,61 +92,76 @@ def run_job(
 
     Each step fails the batch, except the database append unless ``jdbc_required``. A model
     whose rmse is over ``rmse_threshold``, if one is set, is not saved.
+
+    The frames of the result read the batch's tables; ``close()`` it when they are no longer
+    needed. A batch that fails cleans up itself.
     """
     learning_config = config.learning
     if cross_validation is not None:
         learning_config = replace(learning_config, cross_validation=cross_validation)
 
-    cases = written(read_cases(spark, config.landing, layout=config.layout), "cases")
-    checks = written(validate(cases), "checks")
-    warnings = require(checks)
-    for name in warnings:
-        log.warning("Quality check failed: %s", name)
-
-    register_view(cases)
-    top, summary = top_countries(cases, config.top), global_summary(cases)
-
-    learning = run_learning(cases, learning_config)
-    metrics = learning.metrics.first().asDict()
-    version = None
-    if config.rmse_threshold is None or accept_model(metrics, config.rmse_threshold):
-        version = save_model(
-            learning.model,
-            config.models,
-            config.model_name,
-            overwrite=config.overwrite_model,
+    with ExitStack() as stack:
+
+        def keep(table: DataFrame) -> DataFrame:
+            stack.callback(discard, spark, table)
+            return table
+
+        run_id = uuid.uuid4().hex
+        cases = keep(written(read_cases(spark, config.landing, layout=config.layout), "cases"))
+        checks = keep(written(validate(cases), "checks"))
+        warnings = require(checks)
+        for name in warnings:
+            log.warning("Quality check failed: %s", name)
+
+        register_view(cases)
+        top, summary = top_countries(cases, config.top), global_summary(cases)
+
+        learning = run_learning(cases, learning_config)
+        stack.callback(learning.close)
+        metrics = learning.metrics.first().asDict()
+        version = None
+        if config.rmse_threshold is None or accept_model(metrics, config.rmse_threshold):
+            version = save_model(
+                learning.model,
+                config.models,
+                config.model_name,
+                overwrite=config.overwrite_model,
+                metrics=metrics,
+            )
+        else:
+            log.warning("Model rejected: rmse %s", metrics["rmse"])
+        log_run(
+            spark,
+            config.run_log,
+            run_id=run_id,
+            params={
+                "model_version": version,
+                "model_type": "RandomForestRegressor",
+                "enable_cv": learning_config.cross_validation,
+                "num_trees": learning_config.forest.num_trees,
+                "max_depth": learning_config.forest.max_depth,
+            },
             metrics=metrics,
         )
-    else:
-        log.warning("Model rejected: rmse %s", metrics["rmse"])
-    log_run(
-        spark,
-        config.run_log,
-        run_id=version or "rejected",
-        params={
-            "model_type": "RandomForestRegressor",
-            "enable_cv": learning_config.cross_validation,
-            "num_trees": learning_config.forest.num_trees,
-            "max_depth": learning_config.forest.max_depth,
-        },
-        metrics=metrics,
-    )
 
-    if config.database is not None:
-        _append_to_database(cases, config)
-    exported = export(
-        cases, config.lake, config.dataset, config.batch_micros, config.export_timeout_seconds
-    )
-    return JobResult(
-        cases=cases,
-        checks=checks,
-        warnings=warnings,
-        top=top,
-        summary=summary,
-        learning=learning,
-        sample=sample_predictions(learning.predictions, config.sample),
-        errors=error_stats(learning.predictions),
-        metrics=metrics,
-        model_version=version,
-        exported=exported,
-    )
+        appended = None if config.database is None else _append_to_database(cases, config)
+        exported = export(
+            cases, config.lake, config.dataset, config.batch_micros, config.export_timeout_seconds
+        )
+        result = JobResult(
+            cases=cases,
+            checks=checks,
+            warnings=warnings,
+            top=top,
+            summary=summary,
+            learning=learning,
+            sample=sample_predictions(learning.predictions, config.sample),
+            errors=error_stats(learning.predictions),
+            metrics=metrics,
+            model_version=version,
+            exported=exported,
+            run_id=run_id,
+            appended=appended,
+        )
+        stack.pop_all()
+        return result

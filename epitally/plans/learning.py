@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 
 from epitally.operators.evaluate import evaluate
@@ -20,7 +21,7 @@ from epitally.operators.forest import (
 )
 from epitally.operators.split import hash_split, random_split
 from epitally.schema import FEATURES, TARGET
-from epitally.workspace import spread, written
+from epitally.workspace import dealt, discard, written
 
 SPLITS = ("random", "hash")
 
@@ -32,6 +33,11 @@ class LearningConfig:
     ``materialize`` writes the usable rows once before the split. A fit reads its input
     several times, so turn it off only for input that is a plain scan of files already; the
     random split needs such a table in any case.
+
+    ``train_partitions`` is the number of partitions a fit works on. A forest draws its samples
+    by partition, so this number is part of the model's settings, like the seed: the same rows,
+    seed and number give the same model on any machine. Raise it for large training data, to
+    a few for each core and at most some hundred MB in each.
     """
 
     features: tuple[str, ...] = FEATURES
@@ -41,6 +47,7 @@ class LearningConfig:
     split: str = "random"
     keys: tuple[str, ...] = ()
     materialize: bool = True
+    train_partitions: int = 16
     forest: ForestParams = field(default_factory=ForestParams)
     cross_validation: bool = False
     grid: GridParams = field(default_factory=GridParams)
@@ -57,38 +64,67 @@ class LearningResult:
     model: PipelineModel
     predictions: DataFrame
     metrics: DataFrame
+    scratch: tuple[DataFrame, ...] = ()
+    search: CrossValidatorModel | None = None
 
+    def close(self) -> None:
+        """Release the cached predictions and delete the written rows."""
+        self.predictions.unpersist()
+        discard(self.predictions.sparkSession, *self.scratch)
 
-def train_and_test(
-    df: DataFrame, config: LearningConfig = LearningConfig()
-) -> tuple[DataFrame, DataFrame]:
-    """Usable rows in two parts: keys, feature columns and ``label``."""
+
+def dealt_rows(train: DataFrame, config: LearningConfig) -> DataFrame:
+    """Training rows where and in what order the fit finds them."""
+    return dealt(train, config.keys or train.columns, config.train_partitions)
+
+
+def _usable(df: DataFrame, config: LearningConfig) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     rows = usable_rows(df, config.features, config.target, config.keys)
-    if config.materialize:
-        rows = written(rows, "usable")
+    if not config.materialize:
+        return rows, ()
+    rows = written(rows, "usable")
+    return rows, (rows,)
+
+
+def _split(rows: DataFrame, config: LearningConfig) -> tuple[DataFrame, DataFrame]:
     if config.split == "hash":
         keys: Sequence[str] = config.keys or rows.columns
         return hash_split(rows, keys, config.train_ratio, config.seed)
     return random_split(rows, config.train_ratio, config.seed)
 
 
+def train_and_test(
+    df: DataFrame, config: LearningConfig = LearningConfig()
+) -> tuple[DataFrame, DataFrame]:
+    """Usable rows in two parts: keys, feature columns and ``label``."""
+    return _split(_usable(df, config)[0], config)
+
+
 def run_learning(df: DataFrame, config: LearningConfig = LearningConfig()) -> LearningResult:
     """Fit on one part of the rows and predict the other.
 
-    Predictions have the keys, ``features``, ``label`` and ``prediction``; they are
-    persisted, and the caller unpersists them. Training rows are not persisted: they are a
-    narrow columnar scan, and the forest keeps its own binned copy for the tree levels.
+    Predictions have the keys, ``features``, ``label`` and ``prediction``. They are
+    persisted; ``close()`` of the result releases them and deletes what was written. If the
+    run fails, it cleans up itself. Training rows are not persisted: they are a narrow columnar
+    scan, and the forest keeps its own binned copy for the tree levels.
     """
     check_columns(df, config.features, config.target)
-    train, test = train_and_test(df, config)
-    train = spread(train)
-    if config.cross_validation:
-        model = cross_validate(train, config.grid, config.features).bestModel
-    else:
-        model = fit_forest(train, config.forest, config.features)
-    predictions = (
-        predict(model, test)
-        .select(*config.keys, "features", "label", "prediction")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    return LearningResult(model, predictions, evaluate(predictions))
+    rows, scratch = _usable(df, config)
+    try:
+        train, test = _split(rows, config)
+        train = dealt_rows(train, config)
+        search = None
+        if config.cross_validation:
+            search = cross_validate(train, config.grid, config.features)
+            model = search.bestModel
+        else:
+            model = fit_forest(train, config.forest, config.features)
+        predictions = (
+            predict(model, test)
+            .select(*config.keys, "features", "label", "prediction")
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+    except BaseException:
+        discard(df.sparkSession, *scratch)
+        raise
+    return LearningResult(model, predictions, evaluate(predictions), scratch, search)

@@ -245,6 +245,9 @@ def _measured(columns: str) -> str:
 
 TEST_ROWS = f"FROM snap WHERE {USABLE} AND {BUCKET} >= 8000"
 
+# What holds of predictions that follow the labels.
+FOLLOWS = "TRUE AS correlated, TRUE AS beats_the_mean, TRUE AS rmse_bounded"
+
 ORACLE: dict[str, str] = {
     "global_summary": _snap(f"SELECT {SUMMARY} FROM snap"),
     "continent_summary": _snap(f"SELECT continent, {SUMMARY} FROM snap GROUP BY continent"),
@@ -258,7 +261,6 @@ ORACLE: dict[str, str] = {
         "ORDER BY cases DESC NULLS LAST, country LIMIT 20"
     ),
     "epidemic_view": _snap(f"SELECT {_list(REPORT_COLUMNS)} FROM snap"),
-    "narrow_projection": NARROW_ROWS,
     "per_million_rates": _with(
         [ORDERED],
         """SELECT country, updated,
@@ -308,6 +310,14 @@ p AS (
         CAST(0 AS BIGINT) AS deaths_fractions, CAST(SUM(cases) AS BIGINT) AS cases_total
         FROM snap"""
     ),
+    "landing_exact": _snap(
+        "SELECT country, population, CAST(9007199254740993 + population AS BIGINT) AS cases FROM snap"
+    ),
+    "landing_rejects": _snap(
+        """SELECT 'read' AS kind, country AS value FROM snap WHERE population % 7 <> 0
+        UNION ALL SELECT 'rejected', '{"country": "' || country || '", "cases": ' FROM snap
+        WHERE population % 7 = 0"""
+    ),
     "document_parse": NARROW_ROWS,
     "lake_main_parquet": ALL_ROWS,
     "lake_main_orc": ALL_ROWS,
@@ -348,6 +358,16 @@ p AS (
             (*COLUMNS, "today_cases", "today_deaths"),
         ),
     ),
+    "upsert_landed_day_counters": _with(
+        [ORDERED, SHIPPED, DAY_TABLES],
+        _merge(
+            "ordered_days",
+            "shipped_days",
+            FIVE,
+            (*NINE, "today_cases", "today_deaths"),
+            (*COLUMNS, "today_cases", "today_deaths"),
+        ),
+    ),
     "upsert_latest": _with(
         [ORDERED, FEED, LATEST], _merge("ordered", "latest", NINE, NINE, COLUMNS)
     ),
@@ -374,7 +394,9 @@ p AS (
         CASE WHEN {BUCKET} < 8000 THEN 'train' ELSE 'test' END AS part FROM snap"""
     ),
     "random_split_parts": _with(
-        [SERIES], "SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS repeated FROM series"
+        [SERIES],
+        """SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS repeated, TRUE AS share_as_asked,
+        TRUE AS same_on_repeat FROM series""",
     ),
     "regression_metrics": _measured(METRICS),
     "target_stats": _measured(TARGETS),
@@ -393,15 +415,42 @@ p AS (
     "negative_predictions": _snap(
         "SELECT country, label, prediction FROM predicted WHERE prediction < 0", PREDICTED
     ),
+    "missing_features": _snap(
+        """SELECT missing, COUNT(*) AS row_count, TRUE AS named
+        FROM snap, (VALUES ('tests'), ('critical'), ('deaths')) AS m(missing) GROUP BY missing"""
+    ),
+    "acceptance": _snap(
+        """SELECT COUNT(*) AS row_count,
+        SQRT(AVG((label - prediction) * (label - prediction))) <= 1000 AS at_1000,
+        SQRT(AVG((label - prediction) * (label - prediction))) <= 0.1 AS at_a_tenth
+        FROM predicted""",
+        PREDICTED,
+    ),
+    "refused_formats": _snap(
+        """SELECT DISTINCT continent AS format, copy, TRUE AS refused
+        FROM snap, (VALUES ('main'), ('analyst')) AS c(copy)"""
+    ),
+    "forest_predictions": _snap(
+        f"SELECT country, updated, deaths AS label, TRUE AS not_negative, {FOLLOWS} {TEST_ROWS}"
+    ),
+    "forest_evaluation": _snap(
+        f"""SELECT COUNT(*) AS tested, CAST(SUM(deaths) AS BIGINT) AS labels, TRUE AS rmse_agrees,
+        TRUE AS mae_agrees, TRUE AS r2_agrees, {FOLLOWS} {TEST_ROWS}"""
+    ),
     "forest_check": _snap(
         f"""SELECT country, updated, deaths AS label, {len(FEATURES)} AS dimensions,
-        TRUE AS in_label_range {TEST_ROWS}"""
+        TRUE AS repeatable, TRUE AS settings_as_asked, {FOLLOWS} {TEST_ROWS}"""
     ),
     "minimal_forest_check": _snap(
-        f"SELECT country, updated, deaths AS label, TRUE AS in_label_range {TEST_ROWS}"
+        f"SELECT country, updated, deaths AS label, TRUE AS settings_as_asked, {FOLLOWS} {TEST_ROWS}"
     ),
+    "cross_validation_grid": """
+SELECT num_trees, max_depth, min_instances, TRUE AS best_is_least, TRUE AS one_best
+FROM (VALUES (50), (100), (200)) AS t(num_trees), (VALUES (5), (10), (15)) AS d(max_depth),
+  (VALUES (1), (5), (10)) AS m(min_instances)""",
     "cross_validation_check": _snap(
-        f"SELECT country, updated, deaths AS label, TRUE AS in_label_range {TEST_ROWS}"
+        f"""SELECT country, updated, deaths AS label, TRUE AS best_setting_refitted, {FOLLOWS}
+        {TEST_ROWS}"""
     ),
     "model_registry": _snap(
         f"SELECT country, updated, deaths AS label, TRUE AS same_prediction {TEST_ROWS}"
@@ -423,6 +472,6 @@ p AS (
         COUNT(*) AS analyst_rows, CAST(SUM(cases) AS BIGINT) AS analyst_cases,
         CAST(SUM(CASE WHEN {USABLE} AND {BUCKET} >= 8000 THEN 1 ELSE 0 END) AS BIGINT)
           AS tested_rows, CAST(0 AS BIGINT) AS warnings,
-        CAST({2 + 2 * len(REQUIRED) + 3} AS BIGINT) AS checks FROM snap"""
+        CAST({2 + 2 * len(REQUIRED) + 3} AS BIGINT) AS checks, TRUE AS default_forest FROM snap"""
     ),
 }

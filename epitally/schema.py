@@ -121,11 +121,17 @@ STRINGS = tuple(f.name for f in CASES if isinstance(f.dataType, T.StringType))
 COUNTERS = tuple(f.name for f in CASES if isinstance(f.dataType, T.LongType))
 
 
+# Landed numbers. A BIGINT declaration turns 1.5 into null and marks every row of its document
+# corrupt; a double is exact only up to 2**53. This type takes every BIGINT exactly and ten
+# decimals; `flatten` cuts at the contract boundary.
+LANDED_NUMBER = T.DecimalType(38, 10)
+
+# The column of a scan that holds the text of a document that could not be read.
+CORRUPT = "_corrupt_record"
+
+
 def _json_field(name: str) -> T.StructField:
-    # Numbers are read as DOUBLE: a BIGINT declaration turns 1.5 into null and marks every
-    # row of its document corrupt. Doubles are exact up to 2**53, so counters and epoch
-    # milliseconds survive; `flatten` truncates them at the contract boundary.
-    return T.StructField(name, T.StringType() if name in STRINGS else T.DoubleType())
+    return T.StructField(name, T.StringType() if name in STRINGS else LANDED_NUMBER)
 
 
 # One element of a landed JSON document.

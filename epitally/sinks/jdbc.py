@@ -38,14 +38,12 @@ class JdbcTarget:
         return {**found, **self.extra}
 
     def write_options(self, df: DataFrame, table: str | None = None) -> dict[str, str]:
-        """``connections`` bounds how many tasks write at once, whatever the partitioning."""
         types = ", ".join(
             f"{c} VARCHAR({n})" for c, n in VARCHAR_LENGTHS.items() if c in df.columns
         )
         found = {
             **self.options(table),
             "batchsize": str(self.batch_size),
-            "numPartitions": str(self.connections),
         }
         return {**found, "createTableColumnTypes": types} if types else found
 
@@ -80,19 +78,28 @@ def read_table(spark: SparkSession, target: JdbcTarget, table: str | None = None
     return spark.read.format("jdbc").options(**read_options(target, table, **split)).load()
 
 
+def _dealt(df: DataFrame, target: JdbcTarget) -> DataFrame:
+    """Rows in as many partitions as may write at once.
+
+    A shuffle: Spark's own limit on the number of partitions would coalesce and so run all
+    that comes before the write, back to the last shuffle, in as few tasks.
+    """
+    return df.repartition(target.connections)
+
+
 def append(df: DataFrame, target: JdbcTarget) -> None:
     """Insert the rows; an existing primary key makes the database refuse its batch.
 
     Each task commits its own rows, so a failed append may be partial. For batches that can
     repeat keys use :func:`upsert`.
     """
-    df.write.format("jdbc").options(**target.write_options(df)).mode("append").save()
+    _dealt(df, target).write.format("jdbc").options(**target.write_options(df)).mode("append").save()
 
 
 def fill_staging(df: DataFrame, target: JdbcTarget) -> None:
     """Replace the rows of the staging table, keeping its definition."""
     options = target.write_options(df, target.staging_table)
-    writer = df.write.format("jdbc").options(**options).option("truncate", "true")
+    writer = _dealt(df, target).write.format("jdbc").options(**options).option("truncate", "true")
     writer.mode("overwrite").save()
 
 

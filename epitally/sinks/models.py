@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Default model name and the version format.
@@ -36,8 +38,12 @@ def save_model(
     overwrite: bool = True,
     metrics: Mapping[str, float | None] | None = None,
 ) -> str:
-    """Save one copy under a versioned path and add it to the registry; returns the version."""
-    version = version or new_version()
+    """Save one copy under a versioned path and add it to the registry; returns the version.
+
+    A version not given is the time to the second with a random ending, so no two saves
+    share a path. A version given again replaces the model, and its registry row with it.
+    """
+    version = version or f"{new_version()}_{uuid.uuid4().hex[:8]}"
     path = model_path(base, name, version)
     writer = model.write()
     (writer.overwrite() if overwrite else writer).save(path)
@@ -50,9 +56,11 @@ def save_model(
 
 
 def registry(spark: SparkSession, base: str) -> DataFrame:
-    """All registered versions; an empty frame where nothing has been registered."""
+    """All registered versions, each by its last row; empty where nothing has been registered."""
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{base}/registry")
+        rows = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{base}/registry")
+        last = W.partitionBy("name", "version").orderBy(F.desc("registered_at"))
+        return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

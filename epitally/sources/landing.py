@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epitally.functions.expressions import whole
-from epitally.schema import CASES, COLUMNS, DAY_COUNTERS, FULL_COLUMNS, NARROW, RAW, STRINGS
+from epitally.schema import (
+    CASES,
+    COLUMNS,
+    CORRUPT,
+    DAY_COUNTERS,
+    FULL_COLUMNS,
+    LANDED_NUMBER,
+    NARROW,
+    RAW,
+    STRINGS,
+)
+from epitally.workspace import written
 
 LAYOUTS = ("documents", "lines")
 SCHEMAS = ("declared", "infer")
@@ -19,6 +30,7 @@ def scan_json(
     layout: str = "documents",
     schema: str = "declared",
     mode: str = "FAILFAST",
+    corrupt: bool = False,
 ) -> DataFrame:
     """One row per element of the JSON arrays under ``path``.
 
@@ -28,7 +40,8 @@ def scan_json(
 
     ``declared`` reads the contract without a pass over the data. ``infer`` scans the files
     once more to find the types, which then depend on the data. A malformed document fails
-    the scan unless ``mode`` says otherwise (PERMISSIVE or DROPMALFORMED).
+    the scan unless ``mode`` says otherwise (PERMISSIVE or DROPMALFORMED). ``corrupt`` adds a
+    column with the text of what a PERMISSIVE scan could not read.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"Unsupported layout={layout} ({'|'.join(LAYOUTS)})")
@@ -36,7 +49,9 @@ def scan_json(
         raise ValueError(f"Unsupported schema={schema} ({'|'.join(SCHEMAS)})")
     reader = spark.read.option("multiLine", layout == "documents").option("mode", mode)
     if schema == "declared":
-        reader = reader.schema(RAW)
+        extra = [T.StructField(CORRUPT, T.StringType())] if corrupt else []
+        reader = reader.schema(T.StructType([*RAW.fields, *extra]))
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.json(path)
 
 
@@ -67,6 +82,22 @@ def read_cases(spark: SparkSession, path: str | list[str], **options) -> DataFra
     return flatten(scan_json(spark, path, **options))
 
 
+def read_with_rejects(
+    spark: SparkSession, path: str | list[str], layout: str = "documents"
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that can be read, and ``(document)``: the texts that cannot.
+
+    A document is rejected whole, a line in the layout of lines and a file in that of
+    documents; it does not fail the scan. The scan is written once, so that both frames, and
+    a count of either, read columns of one table and agree.
+    """
+    raw = written(scan_json(spark, path, layout, mode="PERMISSIVE", corrupt=True), "scanned")
+    bad = F.col(CORRUPT).isNotNull()
+    # Fields before the fault may have been read; no row of a rejected document is kept.
+    rejects = raw.where(bad).select(F.col(CORRUPT).alias("document")).distinct()
+    return flatten(raw.where(~bad)), rejects
+
+
 def parse_documents(documents: DataFrame, body: str = "body") -> DataFrame:
     """Narrow records from a text column holding one JSON array per row.
 
@@ -74,7 +105,7 @@ def parse_documents(documents: DataFrame, body: str = "body") -> DataFrame:
     """
     element = T.StructType(
         [
-            T.StructField(f.name, f.dataType if f.name in STRINGS else T.DoubleType())
+            T.StructField(f.name, f.dataType if f.name in STRINGS else LANDED_NUMBER)
             for f in NARROW
         ]
     )

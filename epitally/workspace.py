@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,7 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        # "local-cluster[...]" has executors of its own, as a cluster has.
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="epitally-"))
     return context.getCheckpointDir()
@@ -35,30 +38,41 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and return a scan of it.
 
     Later jobs read columns from files instead of repeating the plan, and a lost executor
-    costs only its running tasks. The scan has the schema of ``df``.
+    costs only its running tasks. The scan has the schema of ``df`` and remembers its path
+    for :func:`discard`.
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_path = path
+    return table
 
 
-def discard(spark: SparkSession, table: DataFrame) -> None:
-    """Delete a table of :func:`written` that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(shared_dir(spark)).toUri().getPath()
-    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if path.getParent().toUri().getPath() != root:
-            raise ValueError(f"Not a table of the shared folder: {folder}")
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(path, True)
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "_written_path", None)
+        if path is None:
+            raise ValueError("Not a table written to the shared folder")
+        delete(spark, path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of few files dealt out over all cores; one of many files as it is.
+def file_system(spark: SparkSession, path: str):
+    """Spark's file system for a path, and the path in its terms."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
-    For CPU-bound passes over data that is small on disk. With fewer partitions than cores
-    there is little to move, so the shuffle stays small however large the cluster.
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, found = file_system(spark, path)
+    files.delete(found, True)
+
+
+def dealt(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Rows dealt to ``partitions`` by a hash of their keys, in order inside each.
+
+    The same rows are in the same place whatever the files they come from and wherever it
+    runs. For operators that draw at random by partition and position, as a forest does.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    rows = df.repartition(partitions, F.xxhash64(*keys))
+    return rows.sortWithinPartitions(*keys, *[c for c in df.columns if c not in keys])

@@ -8,8 +8,10 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_points
 from compare import TABLES, normal
+from epitally.plans.catalog import QUERIES
+from epitally.plans.oracle import ORACLE
 
-TWINS = entry_points.oracle_sql()
+TWINS = ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +23,8 @@ def db():
 
 
 def test_every_twin_has_a_query():
-    assert set(TWINS) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(TWINS) == {
-        "forest_predictions",
-        "forest_evaluation",
-        "cross_validation_grid",
-    }
+    assert set(TWINS) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(TWINS))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from epitally.functions.expressions import epoch_millis, hash_bucket, null_flag, per_million
 from epitally.sources.tables import TABLES, table
-from epitally.workspace import discard, new_path, shared_dir, spread, written
+from epitally.workspace import dealt, discard, new_path, shared_dir, written
 
 
 def test_epoch_millis_ignores_the_session_zone(spark):
@@ -68,14 +68,37 @@ def test_discard_deletes_only_written_tables(spark, shared):
     with pytest.raises(Exception, match="(?i)does not exist|not found"):
         table.collect()
     spark.range(3).write.parquet(f"{shared}/deeper")
-    with pytest.raises(ValueError, match="Not a table of the shared folder"):
+    with pytest.raises(ValueError, match="Not a table written to the shared folder"):
         discard(spark, spark.read.parquet(f"{shared}/deeper"))
-    with pytest.raises(ValueError, match="Not a table of the shared folder"):
+    with pytest.raises(ValueError, match="Not a table written to the shared folder"):
         discard(spark, spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
 
 
-def test_spread_only_deals_out_few_partitions(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    many = spark.range(10, numPartitions=cores + 1)
-    assert spread(many) is many
+def test_rows_are_dealt_by_key_alone(spark):
+    rows = spark.range(500).selectExpr("id AS k", "id % 7 AS v")
+    layouts = [
+        dealt(rows.repartition(n), ["k"], 5).rdd.glom().collect()
+        for n in (1, 4, 9)
+    ]
+    assert layouts[0] == layouts[1] == layouts[2] and len(layouts[0]) == 5
+
+
+def test_only_local_sessions_get_a_temporary_folder():
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(*_):
+                return None
+
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        session = Session()
+        session.sparkContext = Context(master)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session)

@@ -38,7 +38,7 @@ def test_scan_options():
 
 def test_write_options(spark):
     options = MY.write_options(case_rows(spark, []))
-    assert options["batchsize"] == "10000" and options["numPartitions"] == "16"
+    assert options["batchsize"] == "10000" and "numPartitions" not in options
     assert options["createTableColumnTypes"] == (
         "country VARCHAR(100), iso2 VARCHAR(5), iso3 VARCHAR(5), continent VARCHAR(50)"
     )

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from unittest.mock import patch
 
 import pytest
@@ -14,6 +15,7 @@ from epitally.schema import CASES, KEYS
 from epitally.sinks import jdbc, lake, models, runlog
 from epitally.sources.landing import to_raw
 from epitally.sources.tables import snapshot
+from epitally.workspace import shared_dir
 
 SMALL_FOREST = LearningConfig(split="hash", keys=KEYS, forest=ForestParams(5, 3))
 
@@ -60,9 +62,26 @@ def test_whole_batch(spark, landed):
     assert float(logged["rmse"]) == result.metrics["rmse"]
 
 
+def test_a_closed_batch_leaves_nothing(spark, landed):
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    result = run_job(spark, config_for(landed))
+    result.close()
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
+    assert not result.learning.predictions.is_cached
+    with pytest.raises(OSError, match="full"), patch(
+        "epitally.plans.job.export", side_effect=OSError("full")
+    ):
+        run_job(spark, config_for(landed))
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
+
+
 def test_bad_model_is_not_saved(spark, landed):
-    result = run_job(spark, config_for(landed, rmse_threshold=0.0))
-    assert result.model_version is None
+    results = [run_job(spark, config_for(landed, rmse_threshold=0.0)) for _ in range(2)]
+    result = results[0]
+    assert result.model_version is None and result.appended is None
+    logged = runlog.read_log(spark, f"{landed}/runs").where("key = 'model_version'").collect()
+    assert {r["run_id"] for r in logged} == {r.run_id for r in results}
+    assert [r["value"] for r in logged] == [None, None]
     assert models.registry(spark, f"{landed}/models").count() == 0
 
 
@@ -75,7 +94,7 @@ def test_empty_landing_fails(spark, shared):
 def test_database_failure_is_fatal_only_if_required(spark, landed):
     target = jdbc.JdbcTarget("jdbc:postgresql://host/db", "org.postgresql.Driver")
     with patch.object(jdbc, "append", side_effect=OSError("refused")) as append:
-        run_job(spark, config_for(landed, database=target))
+        assert run_job(spark, config_for(landed, database=target)).appended is False
         append.assert_called_once()
         with pytest.raises(OSError, match="refused"):
             run_job(spark, config_for(landed, database=target, jdbc_required=True))

@@ -139,3 +139,29 @@ def test_a_document_is_a_task_each(spark, tmp_path):
     rows = landing.read_cases(spark, str(tmp_path))
     assert rows.count() == 40
     assert rows.select(F.input_file_name()).distinct().count() == 40
+
+
+def test_counters_are_exact(spark, tmp_path):
+    values = [2**53 + 1, 2**63 - 1, -(2**53) - 1, 0]
+    body = [element(f"C{i}", cases=v) for i, v in enumerate(values)] + [element("F", cases=1.5)]
+    (tmp_path / "d.json").write_text("\n".join(json.dumps(e) for e in body))
+    rows = landing.read_cases(spark, str(tmp_path), layout="lines").orderBy("country")
+    assert [r["cases"] for r in rows.collect()] == [*values, 1]
+    table = spark.createDataFrame([(json.dumps(body),)], "body string")
+    found = landing.parse_documents(table).orderBy("country").collect()
+    assert [r["cases"] for r in found] == [*values, 1]
+
+
+@pytest.mark.parametrize("layout", ["lines", "documents"])
+def test_bad_documents_are_set_aside(spark, tmp_path, layout):
+    good, bad = json.dumps([element("A"), element("B", cases=1.5)]), '[{"country": "Z", "cases": '
+    if layout == "lines":
+        (tmp_path / "d.json").write_text(f"{good}\n{bad}\n{json.dumps(element('C'))}")
+    else:
+        for i, text in enumerate((good, bad, json.dumps([element("C")]))):
+            (tmp_path / f"{i}.json").write_text(text)
+    rows, rejects = landing.read_with_rejects(spark, str(tmp_path), layout)
+    assert rows.schema == CASES
+    assert sorted(r["country"] for r in rows.collect()) == ["A", "B", "C"]
+    assert [r["document"].strip() for r in rejects.collect()] == [bad.strip()]
+    assert rejects.count() == 1

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from epitally.functions.expressions import null_where
 from epitally.operators import evaluate as ev
 from epitally.operators import features as ft
-from epitally.operators.forest import GridParams, fit_forest_on_vectors
+from epitally.operators.forest import ForestParams, GridParams, fit_forest_on_vectors
 from epitally.operators.split import hash_split, random_split
 from epitally.plans.learning import LearningConfig, run_learning, train_and_test
 from epitally.schema import FEATURES, STRICT_FEATURES
@@ -192,6 +192,40 @@ def test_cross_validation(spark):
     result.predictions.unpersist()
 
 
+def test_a_seeded_fit_depends_on_the_rows_alone(spark, shared):
+    valid_rows(spark, 120).coalesce(1).write.parquet(shared)
+    config = LearningConfig(split="hash", keys=("population",), forest=ForestParams(20, 5))
+    found = []
+    for parts in (1, 3, 16):
+        result = run_learning(spark.read.parquet(shared).repartition(parts), config)
+        rows = result.predictions.select("population", "prediction").orderBy("population")
+        found.append([tuple(r) for r in rows.collect()])
+        result.close()
+    for other in found[1:]:
+        assert [k for k, _ in other] == [k for k, _ in found[0]]
+        assert [p for _, p in other] == pytest.approx([p for _, p in found[0]], abs=1e-9)
+
+
+def test_close_releases_everything(spark):
+    result = run_learning(valid_rows(spark, 30), LearningConfig(forest=ForestParams(3, 2)))
+    result.metrics.collect()
+    assert result.predictions.is_cached and len(result.scratch) == 1
+    result.close()
+    assert not result.predictions.is_cached
+    with pytest.raises(Exception, match="(?i)does not exist|not found"):
+        result.scratch[0].collect()
+
+
+def test_versions_do_not_collide(two_hundred, spark, shared):
+    from epitally.sinks import models
+
+    a, b = (models.save_model(two_hundred.model, shared, "forest") for _ in range(2))
+    assert a != b and models.registry(spark, shared).count() == 2
+    models.save_model(two_hundred.model, shared, "forest", a, metrics={"rmse": 2.0})
+    rows = {r["version"]: r["metrics"] for r in models.registry(spark, shared).collect()}
+    assert rows == {a: {"rmse": 2.0}, b: {}}
+
+
 def test_default_grid():
     grid = GridParams()
     assert len(grid.num_trees) * len(grid.max_depth) * len(grid.min_instances_per_node) == 27

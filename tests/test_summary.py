@@ -83,21 +83,21 @@ def expected_trend(rows):
     return out
 
 
-def check_trend(spark, rows, parts):
+def check_trend(spark, rows, resolution):
     df = spark.createDataFrame(rows, "country string, updated bigint, cases bigint")
     found = {
         (r["country"], r["updated"]): (r["previous_updated"], r["cases_change"])
-        for r in sm.trend(df, ["cases"], parts, resolution=1).collect()
+        for r in sm.trend(df, ["cases"], resolution).collect()
     }
     assert found == expected_trend(rows)
 
 
-@pytest.mark.parametrize("parts", [2, 3, 16])
-def test_trend_with_one_hot_country(spark, parts):
+@pytest.mark.parametrize("resolution", [1, 7, 100, 10**6])
+def test_trend_with_one_hot_country(spark, resolution):
     rng = random.Random(5)
     hot = [("H", u, rng.randrange(100)) for u in range(400)]
     others = [(f"C{rng.randrange(30)}", 1000 * i + 7, rng.randrange(9)) for i in range(150)]
-    check_trend(spark, hot + others, parts)
+    check_trend(spark, hot + others, resolution)
 
 
 @settings(
@@ -105,22 +105,22 @@ def test_trend_with_one_hot_country(spark, parts):
 )
 @given(
     st.dictionaries(
-        st.tuples(st.sampled_from("ABC"), st.integers(0, 30)),
+        st.tuples(st.sampled_from("ABC"), st.integers(-9, 30)),
         st.one_of(st.none(), st.integers(-5, 5)),
         min_size=1,
         max_size=25,
     ),
-    st.integers(2, 6),
+    st.sampled_from([1, 3, 8, 50]),
 )
-def test_trend_equals_a_sorted_walk(spark, table, parts):
-    check_trend(spark, [(c, u, v) for (c, u), v in table.items()], parts)
+def test_trend_equals_a_sorted_walk(spark, table, resolution):
+    check_trend(spark, [(c, u, v) for (c, u), v in table.items()], resolution)
 
 
-def test_pieces_follow_the_rows_not_the_range(spark):
-    rows = [("H", sm.HOUR_MILLIS * h) for h in range(400)] + [("X", 10**14)]
-    df = spark.createDataFrame(rows, "country string, updated bigint")
-    edges = sm.time_edges(df, 4)
-    assert [e / sm.HOUR_MILLIS for e in edges] == [100, 200, 300]
+def test_trend_sorts_by_country_and_piece(spark):
+    rows = spark.createDataFrame([("H", 1, 1)], "country string, updated bigint, cases bigint")
+    plan = sm.trend(rows, ["cases"])._jdf.queryExecution().optimizedPlan().toString()
+    by_row = next(x for x in plan.splitlines() if "Window" in x and "updated" in x)
+    assert "country" in by_row and "_piece" in by_row
 
 
 def test_trend_of_nothing(spark):

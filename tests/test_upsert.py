@@ -102,7 +102,9 @@ def test_merge_equals_a_dictionary(spark, target, staging, rule):
     assert table_of(merged) == expected(old, new, rule)
     again = up.merge(merged, case_rows(spark, new), rule)
     assert table_of(again) == table_of(merged)
-    broadcast = up.merge_batch(case_rows(spark, old), case_rows(spark, new), rule)
+    broadcast = up.merge_batch(
+        case_rows(spark, old), case_rows(spark, new), rule, strategy="broadcast"
+    )
     assert broadcast.schema.fieldNames() == list(COLUMNS)
     assert table_of(broadcast) == table_of(merged)
 
@@ -112,7 +114,7 @@ def test_repeated_or_null_keys_fail(spark):
     with pytest.raises(Exception, match="Staged key occurs more than once"):
         up.merge(target, case_rows(spark, [NEW, NEW])).collect()
     with pytest.raises(Exception, match="Staged key occurs more than once"):
-        up.merge_batch(target, case_rows(spark, [NEW, NEW])).collect()
+        up.merge_batch(target, case_rows(spark, [NEW, NEW]), strategy="broadcast").collect()
     for bad in ({**NEW, "country": None}, {**NEW, "updated": None}):
         with pytest.raises(Exception, match="Staged row with a null key"):
             up.merge(target, case_rows(spark, [bad])).collect()
@@ -174,7 +176,7 @@ def test_broadcast_merge_leaves_the_target_in_place(spark, base):
 
     target = written(order_history(spark, base), "t")
     staging = written(shipment_batch(spark, base), "s")
-    merged = up.merge_batch(target, staging)
+    merged = up.merge_batch(target, staging, strategy="broadcast")
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
     # Every shuffle is of staged rows, for the check of their keys.
@@ -182,8 +184,26 @@ def test_broadcast_merge_leaves_the_target_in_place(spark, base):
         if "Exchange hashpartitioning" in line:
             assert "tests" not in line
     assert table_of(merged) == table_of(up.merge(target, staging))
-    joined = up.merge_batch(target, staging, max_bytes=1000)
+    joined = up.merge_batch(target, staging)
     assert "FullOuter" in joined._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="larger than the 1000 bytes"):
+        up.merge_batch(target, staging, strategy="broadcast", max_bytes=1000)
+    with pytest.raises(ValueError, match="Unsupported strategy=guess"):
+        up.merge_batch(target, staging, strategy="guess")
+
+
+def test_null_keys_fail_before_the_shuffle(spark, base):
+    from epitally.sources.tables import shipment_feed
+
+    for how, order in (("error", []), ("latest", ["sequence"])):
+        rows = up.one_per_key(shipment_feed(spark, base), up.MYSQL, how, order)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("null key") > plan.index("Window" if how == "error" else "Aggregate")
+
+
+def test_day_counters_are_renamed(spark):
+    landed = spark.createDataFrame([(1, 2)], "todayCases bigint, todayDeaths bigint")
+    assert up.rename_day_counters(landed).columns == ["today_cases", "today_deaths"]
 
 
 def test_batch_size_check(spark):
@@ -194,16 +214,6 @@ def test_batch_size_check(spark):
     assert up.fits_broadcast(case_rows(spark, []), max_bytes=0)
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_history_merges_large_and_small_batches_alike(spark, shared, monkeypatch, fits):
-    monkeypatch.setattr(up, "fits_broadcast", lambda *_: fits)
-    first = [{**OLD, "updated": u} for u in (1, DAY_MS, 3 * DAY_MS)]
-    second = [{**NEW, "updated": u} for u in (1, 2, 3 * DAY_MS)]
-    merge_into_history(case_rows(spark, first), shared, up.ALL_COLUMNS)
-    merged = merge_into_history(case_rows(spark, second), shared, up.POSTGRES)
-    assert table_of(merged.drop(DAY)) == expected(first, second, up.POSTGRES)
-
-
 def test_statement_agrees_with_the_merge(spark):
     """The staged statement, run by DuckDB, and the Spark merge give the same table."""
     target = JdbcTarget("jdbc:postgresql://host/db", "org.postgresql.Driver")
@@ -233,34 +243,72 @@ def day_rows(spec) -> list[dict]:
     return [{"country": c, "updated": d * DAY_MS + 5, "cases": n} for c, d, n in spec]
 
 
+def day_files(spark, path: str, day: str) -> set[str]:
+    return {f for f in read_history(spark, path).inputFiles() if f"{DAY}={day}" in f}
+
+
 def test_history_keeps_untouched_days(spark, shared):
     first = day_rows([("A", 0, 1), ("B", 0, 2), ("A", 1, 3), ("A", 2, 4)])
     merge_into_history(case_rows(spark, first), shared)
-    untouched = spark.read.parquet(f"{shared}/{DAY}=1970-01-02").inputFiles()
+    untouched = day_files(spark, shared, "1970-01-02")
     second = day_rows([("A", 0, 9), ("C", 2, 7), ("D", 5, 8)])
     merged = merge_into_history(case_rows(spark, second), shared)
     found = table_of(merged.drop(DAY))
     assert found == expected(first, second, up.MYSQL)
-    assert spark.read.parquet(f"{shared}/{DAY}=1970-01-02").inputFiles() == untouched
+    assert untouched and day_files(spark, shared, "1970-01-02") == untouched
     repeated = merge_into_history(case_rows(spark, second), shared)
     assert table_of(repeated.drop(DAY)) == found
 
 
-def test_history_with_more_days_than_are_listed(spark, shared, monkeypatch):
-    monkeypatch.setattr("epitally.plans.history.MAX_LISTED_DAYS", 1)
-    first = day_rows([("A", d, d) for d in range(6)])
+@pytest.mark.parametrize("step", ["_write_days", "_publish", "_clean"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_broken_merge_can_be_repeated(spark, shared, monkeypatch, step, after):
+    first = day_rows([("A", 0, 1), ("B", 0, 2), ("A", 1, 3)])
+    second = day_rows([("A", 0, 9), ("C", 1, 7), ("D", 5, 8)])
     merge_into_history(case_rows(spark, first), shared)
-    second = day_rows([("A", 1, 50), ("A", 4, 60)])
+    real = getattr(history, step)
+
+    def broken(*given):
+        if after:
+            real(*given)
+        raise OSError("stopped here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(history, step, broken)
+        with pytest.raises(OSError, match="stopped here"):
+            merge_into_history(case_rows(spark, second), shared)
+    seen = table_of(read_history(spark, shared).drop(DAY))
+    assert seen in (expected(first, [], up.MYSQL), expected(first, second, up.MYSQL))
     merged = merge_into_history(case_rows(spark, second), shared)
     assert table_of(merged.drop(DAY)) == expected(first, second, up.MYSQL)
 
 
+def test_a_reader_that_has_begun_can_finish(spark, shared):
+    first = day_rows([("A", 0, 1), ("B", 0, 2)])
+    begun = merge_into_history(case_rows(spark, first), shared)
+    merge_into_history(case_rows(spark, day_rows([("A", 0, 9)])), shared)
+    assert table_of(begun.drop(DAY)) == expected(first, [], up.MYSQL)
+    for n in range(3):
+        merge_into_history(case_rows(spark, day_rows([("A", 0, n)])), shared)
+    versions = {f.split("/data/v=")[1].split("/")[0] for f in spark.read.option(
+        "recursiveFileLookup", "true").parquet(f"{shared}/data").inputFiles()}
+    assert len(versions) == 2
+
+
+def test_a_second_writer_is_refused(spark, shared):
+    merge_into_history(case_rows(spark, day_rows([("A", 0, 1)])), shared)
+    with pytest.raises(RuntimeError, match="Another writer"):
+        history._publish(spark, shared, 1, {})
+    assert read_history(spark, shared).count() == 1
+
+
 def test_history_reads_only_wanted_days(spark, shared):
     merge_into_history(case_rows(spark, day_rows([("A", d, d) for d in range(4)])), shared)
     wanted = read_history(spark, shared).where(f"{DAY} = DATE '1970-01-03'")
     assert [r["cases"] for r in wanted.collect()] == [2]
     plan = wanted._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull({DAY}" in plan
+    assert len(read_history(spark, shared, days=["1970-01-02"]).inputFiles()) == 1
 
 
 def test_merge_leaves_no_scratch_tables(spark, shared, monkeypatch):
@@ -268,6 +316,8 @@ def test_merge_leaves_no_scratch_tables(spark, shared, monkeypatch):
     real = history.written
     monkeypatch.setattr(history, "written", lambda *a: seen.append(real(*a)) or seen[-1])
     merge_into_history(case_rows(spark, day_rows([("A", 0, 1)])), shared)
+    with pytest.raises(Exception, match="null key"):
+        merge_into_history(case_rows(spark, [{"country": "A"}]), shared)
     assert len(seen) == 2
     for table in seen:
         with pytest.raises(Exception, match="(?i)does not exist|not found"):
