@@ -1,14 +1,15 @@
 """Line deduplication by log templates, in DataFrame functions only.
 
 A line is cut at white space; a token with a digit becomes ``<*>``. The tree has a fixed
-depth: the number of tokens, then the first ``DEPTH`` tokens. In a leaf, a token stays
-constant at its place if at least two documents and a tenth of the leaf's lines have it there;
-any other becomes ``<*>``. What is left is the line's template. It counts if seven tenths of
-its tokens are constant; lines of fewer than ``LEAST_TOKENS`` tokens are only masked.
-
-A template found in two documents or more is dropped from all of them but one: it stays in the
-document that comes first, so text that many documents share is not lost altogether. Counts
-cover all documents and nothing depends on the order in which lines arrive.
+depth: the number of tokens, then the first ``DEPTH`` tokens. In a leaf the places behind these
+are cut into ``RANGES`` ranges of equal length, and a line has one template for each: itself
+with that range generalised. So lines of a leaf share a template if their fields vary in one
+range. A template counts if seven tenths of its tokens are constant; lines of fewer than
+``LEAST_TOKENS`` tokens have no template but themselves, masked.
+
+What is found in two documents or more, a masked line or a template, is dropped from all of
+them but one: it stays in the document that comes first, so text that many documents share is
+not lost altogether. Counts cover all documents and nothing depends on the order of lines.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from epitally.llm.common import hash_pair
 from epitally.workspace import written
 
 DEPTH = 3
+RANGES = 4
 LEAST_TOKENS = 6
 WILD = "<*>"
-# Shares as tenths: of a leaf's lines that make a token constant; of a template's tokens.
-TOKEN_TENTHS = 1
+# Share of a template's tokens, in tenths.
 CONSTANT_TENTHS = 7
 
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -31,117 +32,114 @@ OTHER = "[^\\x20\\x09-\\x0D]"
 _TRIMMED = " \t\x0b\x0c\r"
 
 
-def masked(line: Column) -> Column:
-    """The line's tokens joined by one space, those with a digit generalised."""
-    plain = F.regexp_replace(F.btrim(line, F.lit(_TRIMMED)), f"{SPACE}+", " ")
-    return F.when(
-        plain.rlike("[0-9]"), F.regexp_replace(plain, f"{OTHER}*[0-9]{OTHER}*", WILD)
-    ).otherwise(plain)
+def masked(each: DataFrame, line: str) -> DataFrame:
+    """``each`` with the line's tokens joined by one space and those with a digit generalised.
 
-
-def _masked_lines(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.split(text, "\n"), masked))
+    Lines without a token go. That is tested on the first step: a test of the finished line
+    would be pushed below it and work all steps out again. A column for each step, so that
+    none is worked out twice.
+    """
+    uneven = F.col("_trimmed").contains("  ")
+    for c in _TRIMMED[1:]:
+        uneven = uneven | F.col("_trimmed").contains(c)
+    spaced = F.when(uneven, F.regexp_replace("_trimmed", f"{SPACE}+", " "))
+    digits = F.when(
+        F.col("_even").rlike("[0-9]"), F.regexp_replace("_even", f"{OTHER}*[0-9]{OTHER}*", WILD)
+    )
+    return (
+        each.withColumn("_trimmed", F.btrim(line, F.lit(_TRIMMED)))
+        .where("_trimmed != ''")
+        .withColumn("_even", spaced.otherwise(F.col("_trimmed")))
+        .withColumn("_line", digits.otherwise(F.col("_even")))
+        .drop("_trimmed", "_even", line)
+    )
 
 
-def _lines(named: DataFrame) -> DataFrame:
-    """Each document's different masked lines: document, line hash, leaf hash, tokens."""
-    each = named.select("_d1", "_d2", "_key", F.explode(_masked_lines(F.col("_text"))).alias("_line"))
-    tokens = F.split("_line", " ")
-    leaf = F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
+def _templates(tokens: Column, line: Column) -> list[Column]:
+    """Hashes of the line's templates, without what the leaf says; null where one does not count."""
+    n = F.size(tokens)
+    wild = F.when(line.contains(WILD), F.size(F.filter(tokens, lambda t: t == WILD))).otherwise(0)
+    edges = [F.floor((n - DEPTH) * i / RANGES).cast("int") + DEPTH for i in range(RANGES + 1)]
+    # Each range is hashed once; a template is the hash of the other ranges' hashes.
+    parts = [F.xxhash64(F.slice(tokens, a + 1, b - a)) for a, b in zip(edges, edges[1:])]
+    out = []
+    for i in range(RANGES):
+        length = edges[i + 1] - edges[i]
+        constant = n - length - wild
+        counts = (n >= LEAST_TOKENS) & (length > 0) & (constant * 10 >= n * CONSTANT_TENTHS)
+        out.append(F.when(counts, F.xxhash64(F.lit(i), *[p for j, p in enumerate(parts) if j != i])))
+    return out
+
+
+def _lines(named: DataFrame, templates: bool) -> DataFrame:
+    """Each line with a token: document, place, hash, and its place in the tree: leaf hash and
+    template hashes."""
+    each = named.select("_d1", "_d2", "_key", F.posexplode(F.split("_text", "\n")).alias("pos", "_raw"))
+    each = masked(each, "_raw")
     m1, m2 = hash_pair(F.col("_line"))
-    return each.where("_line != ''").select(
-        "_d1", "_d2", "_key", m1.alias("m1"), m2.alias("m2"), leaf.alias("leaf"),
-        F.size(tokens).alias("n"),
+    if not templates:
+        return each.select("_d1", "_d2", "_key", "pos", m1.alias("m1"), m2.alias("m2"))
+    each = each.select("_key", "_line", m1.alias("m1"), m2.alias("m2"), F.split("_line", " ").alias("_tokens"))
+    tokens = F.col("_tokens")
+    leaf = F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
+    return each.select(
+        "_key", "m1", "m2", F.when(F.size(tokens) >= LEAST_TOKENS, leaf).alias("leaf"),
+        *[t.alias(f"f{i}") for i, t in enumerate(_templates(tokens, F.col("_line")))],
     )
 
 
-def _first() -> Column:
-    """The smallest key, nulls last; among rows with that key the smallest hash."""
-    return F.min(F.struct(F.col("_key").isNull().alias("no"), F.col("_key"), "_d1", "_d2"))
-
-
-def _templates(lines: DataFrame, named: DataFrame) -> DataFrame:
-    """``(m1, m2, t)`` of the lines with a template that counts.
+def recurring(named: DataFrame) -> DataFrame:
+    """``(m1, m2, stays)``: masked lines to drop, and the key of the document they stay in.
 
-    Only leaves with several different lines are looked at, and each of those lines once, in
-    the document that has it first, however many documents have it. Token places are counted
-    by hash aggregates; a leaf with very many lines is spread over tasks by place and token.
+    Lines are counted by a hash aggregate, so a line that very many documents have is one row
+    for each task before it is shuffled. Templates are made only for the leaves with several
+    different lines, from those lines, each once.
     """
-    leaves = (
-        lines.where(F.col("n") >= LEAST_TOKENS)
-        .groupBy("leaf")
-        .agg(F.count("*").alias("lines"), F.sum("docs").alias("leaf_docs"))
-        .where("lines > 1")
-        .drop("lines")
-    )
-    wanted = (
-        lines.where(F.col("n") >= LEAST_TOKENS)
-        .join(leaves, "leaf")
-        .groupBy(F.col("first._d1").alias("c1"), F.col("first._d2").alias("c2"))
-        .agg(F.collect_list(F.struct("m1", "m2", "leaf", "docs", "leaf_docs", "n")).alias("wanted"))
-    )
-    # The same columns and keys as in the last join of `drop_lines`, so one exchange of the
-    # texts can serve both.
-    found = named.join(wanted, [named["_d1"] == wanted["c1"], named["_d2"] == wanted["c2"]], "left")
-    each = (
-        found.where(F.col("wanted").isNotNull() & F.coalesce(F.col("_key").isNotNull(), F.lit(True)))
-        .select("wanted", F.explode(_masked_lines(F.col("_text"))).alias("_line"))
-        .withColumn("_hash", F.xxhash64("_line"))
-        .withColumn("w", F.explode(F.filter("wanted", lambda w: w["m1"] == F.col("_hash"))))
-        .select("w.*", F.split("_line", " ").alias("tokens"))
-        .select("m1", "m2", "leaf", "docs", "leaf_docs", "n", F.posexplode("tokens").alias("i", "token"))
-    )
-    places = each.select(
-        "m1", "m2", "docs", "leaf_docs", "n",
-        (F.col("token") == WILD).alias("wild"),
-        F.xxhash64("leaf", "i", "token").alias("k"),
-    )
-    places = written(places, "places")
-    seen = places.where("NOT wild").groupBy("k").agg(F.sum("docs").alias("with_token"))
-    constant = (F.col("with_token") >= 2) & (
-        F.col("with_token") * 10 >= F.col("leaf_docs") * TOKEN_TENTHS
-    )
-    # A sum of hashes is the same in any order, so places need not be gathered and sorted.
-    kept = places.join(seen, "k", "left").select(
-        "m1", "m2", "n", F.when(~F.col("wild") & constant, F.col("k")).alias("c")
-    )
-    shaped = kept.groupBy("m1", "m2").agg(
-        F.first("n").alias("n"),
-        F.count("c").alias("constants"),
-        F.sum(F.col("c").cast("decimal(20,0)")).alias("s"),
-        F.bit_xor(F.xxhash64("c")).alias("x"),
-    )
-    return shaped.where(F.col("constants") * 10 >= F.col("n") * CONSTANT_TENTHS).select(
-        "m1", "m2", F.xxhash64("n", "s").alias("t1"), F.xxhash64("x", "s", "n").alias("t2")
-    )
-
-
-def recurring(named: DataFrame) -> DataFrame:
-    """``(m1, m2, stays)``: masked lines to drop, and the document in which they stay."""
+    tree = ["leaf", *[f"f{i}" for i in range(RANGES)]]
     lines = written(
-        _lines(named).groupBy("m1", "m2", "leaf", "n").agg(
-            F.count("*").alias("docs"), _first().alias("first")
+        _lines(named, True)
+        .groupBy("m1", "m2", *tree)
+        .agg(
+            F.count("*").alias("n"),
+            F.count("_key").alias("keyed"),
+            F.min("_key").alias("first"),
+            F.max("_key").alias("last"),
         ),
         "lines",
     )
-    shaped = _templates(lines, named)
-    one = F.min("first").alias("t_first")
-    of_template = (
-        lines.select("m1", "m2", "docs", "first")
-        .join(shaped, ["m1", "m2"])
-        .withColumn("d", F.col("first._d1"))
+    several = "(first != last OR (keyed > 0 AND keyed < n))"
+    leaves = lines.where("leaf IS NOT NULL").groupBy("leaf").count().where("count > 1")
+    forms = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"f{i}").alias("f")) for i in range(RANGES)])
+    each = (
+        lines.join(leaves.select("leaf"), "leaf")
+        .select("m1", "m2", "leaf", "n", "keyed", "first", "last", F.inline(forms))
+        .where("f IS NOT NULL")
     )
-    of_template = written(of_template, "templates")
+    each = written(each, "templates")
     shared = (
-        of_template.groupBy("t1", "t2")
-        .agg(one, F.max("docs").alias("most"), F.min("d").alias("d_min"), F.max("d").alias("d_max"))
-        .where("most > 1 OR d_min != d_max")
-        .select("t1", "t2", "t_first")
+        each.groupBy("leaf", "i", "f")
+        .agg(
+            F.count("*").alias("lines"),
+            F.sum("n").alias("n"),
+            F.sum("keyed").alias("keyed"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+        .where(f"lines > 1 AND {several}")
+        .withColumnRenamed("first", "t_first")
+        .select("leaf", "i", "f", "t_first")
+    )
+    general = each.join(shared, ["leaf", "i", "f"]).groupBy("m1", "m2").agg(
+        F.min("t_first").alias("t_first"), F.lit(True).alias("general")
     )
-    general = of_template.join(shared, ["t1", "t2"]).select("m1", "m2", "t_first")
-    both = lines.select("m1", "m2", "docs", "first").join(general, ["m1", "m2"], "left")
-    return both.where("docs > 1 OR t_first IS NOT NULL").select(
-        "m1", "m2", F.coalesce("t_first", "first").alias("stays")
+    both = lines.drop(*tree).join(general, ["m1", "m2"], "left")
+    # A table of its own, so that the join with it has an exchange on either side and Spark can
+    # split the rows of a line that very many documents have.
+    return written(
+        both.where(f"{several} OR general").select(
+            "m1", "m2", F.coalesce(F.least("t_first", "first"), "t_first", "first").alias("stays")
+        ),
+        "stays",
     )
 
 
@@ -149,40 +147,38 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """``docs`` without recurring lines, with ``n_lines`` and ``n_dropped``; all rows stay.
 
     Lines end at ``\\n``. Lines without a token never count and always stay. A null text
-    stays null with no lines, an empty one has one empty line. Rows equal in key and text are
-    one document; a template only they or one document hold does not recur. Null keys come
-    last. Columns already named like the two added ones are replaced; other columns are kept.
+    stays null with no lines, an empty one has one empty line. Documents are told apart by
+    key: rows with equal keys all keep what stays in that document, and null keys are one
+    document, the last. What only one document holds does not recur, however often it holds
+    it. Columns already named like the two added ones are replaced; others are kept.
     """
-    d1, d2 = hash_pair(F.col(key), F.col(text))
     docs = docs.drop("n_lines", "n_dropped")
-    rows = docs.withColumns({"_d1": d1, "_d2": d2, "_key": F.col(key), "_text": F.col(text)})
-    rows = rows.drop(key, text)
-    named = rows.select("_d1", "_d2", "_key", "_text")
+    d1, d2 = hash_pair(F.col(key), F.col(text))
+    others = [c for c in docs.columns if c != text]
+    same = [d1.alias("_d1"), d2.alias("_d2")]
+    named = docs.select(*same, F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = docs.select(*same, F.split(text, "\n").alias("_lines"), F.struct(*others).alias("_row"))
     stays = recurring(named)
-    mine = (F.col("stays._d1") == F.col("_d1")) & (F.col("stays._d2") == F.col("_d2"))
-    # A line that very many documents have is one row of `stays` and many rows here: an inner
-    # join, whose large partitions Spark splits.
     gone = (
-        _lines(named)
-        .select("_d1", "_d2", "m1", "m2")
+        _lines(named, False)
         .join(stays, ["m1", "m2"])
-        .where(~mine)
+        .where(~F.col("_key").eqNullSafe(F.col("stays")))
         .groupBy(F.col("_d1").alias("g1"), F.col("_d2").alias("g2"))
-        .agg(F.collect_set("m1").alias("_gone"))
+        .agg(F.collect_set("pos").alias("_gone"))
     )
     joined = rows.join(gone, [rows["_d1"] == gone["g1"], rows["_d2"] == gone["g2"]], "left")
-    lines = F.split("_text", "\n")
-    left = F.filter(lines, lambda x: ~F.array_contains("_gone", F.xxhash64(masked(x))))
-    kept = F.when(F.col("_gone").isNull(), lines).otherwise(left)
-    out = joined.withColumn("_kept", kept)
-    n_lines, n_kept = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size("_kept"), F.lit(0))
-    return out.select(
+    n = F.size("_lines")
+    places = F.array_except(F.sequence(F.lit(0), n - 1), F.col("_gone"))
+    left = F.transform(places, lambda i: F.get("_lines", i))
+    kept = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(left)
+    whole = F.col("_lines").isNotNull()
+    return joined.select(
         *[
-            {key: F.col("_key"), text: F.array_join("_kept", "\n")}.get(c, F.col(c)).alias(c)
+            (F.array_join(kept, "\n") if c == text else F.col("_row")[c]).alias(c)
             for c in docs.columns
         ],
-        F.greatest(n_lines, F.lit(0)).cast("long").alias("n_lines"),
-        F.greatest(n_lines - n_kept, F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(whole, n).otherwise(0).cast("long").alias("n_lines"),
+        F.when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(0).cast("long").alias("n_dropped"),
     )
 
 
@@ -194,6 +190,16 @@ def oracle_sql() -> str:
         plain = f"regexp_replace(trim({line}, {blank}), '{space}+', ' ', 'g')"
         return f"regexp_replace({plain}, '{other}*[0-9]{other}*', '{WILD}', 'g')"
 
+    def form(i: int) -> str:
+        begin = f"({DEPTH} + (n - {DEPTH}) * {i} // {RANGES})"
+        end = f"({DEPTH} + (n - {DEPTH}) * {i + 1} // {RANGES})"
+        wild = f"len(list_filter(tokens, lambda t: t = '{WILD}'))"
+        return f"""
+  SELECT line, docs, first, n, tokens[1:{begin}] AS head, tokens[{end} + 1:] AS tail, {i} AS i
+  FROM l WHERE n >= {LEAST_TOKENS} AND {end} > {begin}
+    AND (n - ({end} - {begin}) - {wild}) * 10 >= n * {CONSTANT_TENTHS}"""
+
+    forms = "\n  UNION ALL".join(form(i) for i in range(RANGES))
     return f"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 e AS (
@@ -201,29 +207,15 @@ e AS (
 m AS (
   SELECT line, string_split(line, ' ') AS tokens, count(*) AS docs, min(doc_id) AS first
   FROM e WHERE line <> '' GROUP BY line),
-l AS (SELECT *, len(tokens) AS n, tokens[1:{DEPTH}] AS lead FROM m),
-leaf AS (
-  SELECT n, lead, sum(docs) AS leaf_docs FROM l WHERE n >= {LEAST_TOKENS}
-  GROUP BY n, lead HAVING count(*) > 1),
-p AS (
-  SELECT line, docs, first, n, lead, leaf_docs, unnest(range(n)) AS i, unnest(tokens) AS token
-  FROM l JOIN leaf USING (n, lead)),
-s AS (SELECT n, lead, i, token, sum(docs) AS with_token FROM p GROUP BY n, lead, i, token),
-c AS (
-  SELECT line, docs, first, n, lead, i, CASE WHEN token <> '{WILD}' AND with_token >= 2
-      AND with_token * 10 >= leaf_docs * {TOKEN_TENTHS} THEN token ELSE '{WILD}' END AS token
-  FROM p JOIN s USING (n, lead, i, token)),
-t AS (
-  SELECT line, docs, first, string_agg(token, ' ' ORDER BY i) AS template
-  FROM c GROUP BY line, docs, first, n
-  HAVING count(*) FILTER (token <> '{WILD}') * 10 >= n * {CONSTANT_TENTHS}),
+l AS (SELECT *, len(tokens) AS n FROM m),
+t AS ({forms}),
 g AS (
-  SELECT template, min(first) AS t_first FROM t GROUP BY template
-  HAVING max(docs) > 1 OR min(first) <> max(first)),
+  SELECT n, head, tail, i, min(first) AS t_first FROM t GROUP BY n, head, tail, i
+  HAVING count(*) > 1 AND (max(docs) > 1 OR min(first) <> max(first))),
+h AS (SELECT line, min(t_first) AS t_first FROM t JOIN g USING (n, head, tail, i) GROUP BY line),
 r AS (
-  SELECT l.line, coalesce(t_first, l.first) AS stays
-  FROM l LEFT JOIN (SELECT line, t_first FROM t JOIN g USING (template)) x ON x.line = l.line
-  WHERE l.docs > 1 OR t_first IS NOT NULL),
+  SELECT line, least(coalesce(t_first, first), first) AS stays
+  FROM l LEFT JOIN h USING (line) WHERE docs > 1 OR t_first IS NOT NULL),
 x AS (SELECT doc_id, list(e.line) AS gone FROM e JOIN r USING (line) WHERE doc_id <> stays GROUP BY doc_id),
 k AS (
   SELECT doc_id, len(lines) AS n, list_filter(lines, lambda l:
