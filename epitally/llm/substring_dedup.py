@@ -254,7 +254,8 @@ def repeated_spans(
         .select("d1", "d2")
         .distinct()
     )
-    single = anchored.join(texts.select("rid"), "rid", "left_semi")
+    # Written, since it is read twice and joining it moves all anchors.
+    single = written(anchored.join(texts.select("rid"), "rid", "left_semi"), "single")
     places = single.select("rid", F.posexplode("anchors").alias("place", "anchor"))
     counts = single.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count()
     repeated = written(counts.where("count > 1"), "repeated")
@@ -266,7 +267,7 @@ def repeated_spans(
             F.collect_list(F.when(~is_hot, F.col("place"))).alias("wanted"),
             F.collect_list(F.when(is_hot, F.col("place"))).alias("hot"),
         )
-        .join(anchored.select("rid", "d1", "d2"), "rid")
+        .join(single.select("rid", "d1", "d2"), "rid")
         .select(F.col("d1").alias("w1"), F.col("d2").alias("w2"), "wanted", "hot")
     )
     by_row = written(by_row, "wanted")
@@ -289,7 +290,8 @@ def repeated_spans(
         .select("d1", "d2", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
     )
     if any_hot:
-        alone = written(_single_windows(found, text, window), "windows")
+        # In the same plan, so that one exchange of the texts serves all that read it.
+        alone = _single_windows(found, text, window)
         again = alone.groupBy("s1", "s2").count().where("count > 1").select("s1", "s2")
         spans = spans.unionByName(
             alone.join(again, ["s1", "s2"]).select(
@@ -321,10 +323,9 @@ def remove_repeats(
     whole = F.coalesce(F.col(text), F.lit(""))
     t1, t2 = hash_pair(whole)
     d1, d2 = hash_pair(F.col(key), whole)
-    named = docs.withColumns({"d1_": d1, "d2_": d2, "t1_": t1, "t2_": t2})
-    named = named.select(
-        F.col("d1_").alias("d1"), F.col("d2_").alias("d2"), F.col("t1_").alias("t1"),
-        F.col("t2_").alias("t2"), F.struct(*docs.columns).alias("row"), whole.alias("text_"),
+    named = docs.select(
+        d1.alias("d1"), d2.alias("d2"), t1.alias("t1"), t2.alias("t2"),
+        F.struct(*[c for c in docs.columns if c != text]).alias("row"), whole.alias("text_"),
     )
     spans = repeated_spans(named, "text_", window, hot)
     joined = named.join(spans, [named["d1"] == spans["r1"], named["d2"] == spans["r2"]], "left")
