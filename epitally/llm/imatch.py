@@ -62,8 +62,10 @@ def _digests(codes: Column) -> Column:
 
 
 def _fingerprint(codes: Column, digest: Column) -> Column:
-    """Digests of the parts; a text without a term of the lexicon has its own digest alone."""
-    return F.when(F.size(codes) > 0, _digests(F.array_sort(F.array_distinct(codes)))).otherwise(
+    """``codes`` must be a column, not an expression: each part's digest would work it out anew.
+
+    Digests of the parts; a text without a term of the lexicon has its own digest alone."""
+    return F.when(F.size(codes) > 0, _digests(codes)).otherwise(
         F.array(F.concat(F.lit("text "), F.substring(digest, 1, 16)))
     )
 
@@ -189,11 +191,17 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
     said = F.get("said", F.lit(0))
     about = said["about"]
-    out = grouped.select(
+    ordered = grouped.select(
         *[about[c].alias(c) for c in ("key", "h", "next_key", "next_h", "n_chars")],
+        said["digest"].alias("digest"),
         F.get("edited_sha256", F.lit(0)).alias("edited_sha256"),
-        _fingerprint(F.col("own"), said["digest"]).alias("own"),
-        _fingerprint(F.col("other"), F.get("edited_sha256", F.lit(0))).alias("other"),
+        F.array_sort(F.array_distinct("own")).alias("own"),
+        F.array_sort(F.array_distinct("other")).alias("other"),
+    )
+    out = ordered.select(
+        "key", "h", "next_key", "next_h", "n_chars", "edited_sha256",
+        _fingerprint(F.col("own"), F.col("digest")).alias("own"),
+        _fingerprint(F.col("other"), F.col("edited_sha256")).alias("other"),
     )
     out = written(out, "fingerprints")
     # A text's fingerprint depends on the text alone, so any row with that key and hash will do.
