@@ -13,12 +13,13 @@ and a lost executor costs only its tasks.
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -28,8 +29,10 @@ from pyspark.sql import types as T
 from epitally.llm.common import slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-# Pre-tokens remembered by a task before it starts anew.
-MEMO = 600_000
+# Pre-tokens that a task remembers, twice: the memo and the one before it.
+MEMO = 500_000
+# Ids decoded at once.
+DECODE_IDS = 500_000
 
 _MASK = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
@@ -97,57 +100,99 @@ class Encoder:
         self.bytes_of = dict(zip(self.ids, self.tokens))
         self.whole = MinimalPerfectHash(self.tokens)
         self.split = regex.compile(pattern).findall
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def pretoken(self, text: str) -> tuple[int, ...]:
+        # Ids are kept as bytes of 32-bit numbers, so a text's ids are one join of them.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.packed = [pack("<i", i) for i in self.ids]
+        self.packed_of = dict(zip(self.tokens, self.packed))
+        lengths = np.zeros(max(self.ids, default=0) + 2, np.int64)
+        lengths[np.array(self.ids, np.int64) + 1] = [len(t) for t in self.tokens]
+        self.ends = np.cumsum(lengths)
+        by_id = sorted(zip(self.ids, self.tokens))
+        self.letters = np.frombuffer(b"".join(t for _, t in by_id), np.uint8)
+
+    def pretoken(self, text: str) -> bytes:
         piece = text.encode()
         i = self.whole.index(piece)
-        ids = (self.ids[i],) if self.tokens[i] == piece else self.merged(piece)
+        return self.packed[i] if self.tokens[i] == piece else self.merged(piece)
+
+    def looked_up(self, text: str) -> bytes:
+        """Ids of a pre-token that the memo does not have.
+
+        A full memo becomes the older one, which is asked once more before it goes; so what
+        occurs often stays.
+        """
+        ids = self.memo.get(text) or self.older.get(text) or self.pretoken(text)
         if len(self.memo) >= MEMO:
-            self.memo.clear()
-        if len(piece) <= 64:
+            self.older, self.memo = self.memo, {}
+        if len(text) <= 64:
             self.memo[text] = ids
         return ids
 
-    def merged(self, piece: bytes) -> tuple[int, ...]:
+    def merged(self, piece: bytes) -> bytes:
         n, rank_of = len(piece), self.ranks.get
-        # A part is known by its start; end[start] is where the next one starts.
+        # A part is known by its start; end[start] is where the next one starts, 0 once the
+        # part has become the tail of another.
         end = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        alive = bytearray(b"\1") * n
+        # A heap entry is one number: rank, start and stop of the pair, in this order.
+        width = n.bit_length()
+        mask = (1 << width) - 1
         heap = [
-            (rank, i, i + 2)
+            (rank << width | i) << width | i + 2
             for i in range(n - 1)
             if (rank := rank_of(piece[i : i + 2])) is not None
         ]
-        heapq.heapify(heap)
+        heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            if not alive[i]:
-                continue
+            entry = heappop(heap)
+            stop, i = entry & mask, entry >> width & mask
             j = end[i]
-            if j >= n or end[j] != stop:
+            # Gone, or no longer the pair that was entered.
+            if not j or j >= n or end[j] != stop:
                 continue
-            alive[j] = 0
+            end[j] = 0
             end[i] = stop
             if stop < n:
                 before[stop] = i
-                if (rank := rank_of(piece[i : end[stop]])) is not None:
-                    heapq.heappush(heap, (rank, i, end[stop]))
+                far = end[stop]
+                if (rank := rank_of(piece[i:far])) is not None:
+                    heappush(heap, (rank << width | i) << width | far)
             if (h := before[i]) >= 0 and (rank := rank_of(piece[h:stop])) is not None:
-                heapq.heappush(heap, (rank, h, stop))
-        out, i = [], 0
+                heappush(heap, (rank << width | h) << width | stop)
+        out, i, packed = [], 0, self.packed_of
         while i < n:
-            out.append(self.ranks[piece[i : end[i]]])
-            i = end[i]
-        return tuple(out)
+            j = end[i]
+            out.append(packed[piece[i:j]])
+            i = j
+        return b"".join(out)
+
+    def packed_ids(self, text: str) -> bytes:
+        known, looked_up = self.memo.get, self.looked_up
+        return b"".join([known(t) or looked_up(t) for t in self.split(text)])
 
     def encode(self, text: str) -> list[int]:
-        known, pretoken = self.memo.get, self.pretoken
-        return list(chain.from_iterable([known(t) or pretoken(t) for t in self.split(text)]))
+        return np.frombuffer(self.packed_ids(text), np.int32).tolist()
 
     def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join([self.bytes_of[i] for i in ids])
+        return self.decoded(np.asarray(ids, np.int64)).tobytes()
+
+    def decoded(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all ids in a row."""
+        lengths = self.lengths_of(ids)
+        if not len(ids):
+            return np.empty(0, np.uint8)
+        before = np.cumsum(lengths) - lengths
+        at = np.repeat(self.ends[ids] - before, lengths)
+        return self.letters[at + np.arange(len(at))]
+
+    def lengths_of(self, ids: np.ndarray) -> np.ndarray:
+        if len(ids) and (ids.min() < 0 or ids.max() + 1 >= len(self.ends)):
+            raise ValueError("An id that the vocabulary does not have")
+        lengths = self.ends[ids + 1] - self.ends[ids]
+        if len(ids) and not lengths.all():
+            raise ValueError("An id that the vocabulary does not have")
+        return lengths
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -187,10 +232,10 @@ def encode(
         own = encoder(path, pattern)
         for batch in batches:
             for part in slices(batch, text):
-                lists = [own.encode(t or "") for t in part.column(text).to_pylist()]
-                offsets = np.zeros(len(lists) + 1, np.int32)
-                np.cumsum([len(x) for x in lists], out=offsets[1:])
-                flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
+                packed = [own.packed_ids(t or "") for t in part.column(text).to_pylist()]
+                offsets = np.zeros(len(packed) + 1, np.int32)
+                np.cumsum([len(x) // 4 for x in packed], out=offsets[1:])
+                flat = np.frombuffer(b"".join(packed), np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, column], names=[*part.schema.names, ids]
@@ -213,14 +258,28 @@ def decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [
-                    None if x is None else own.decode(x) for x in part.column(ids).to_pylist()
-                ]
+            column = batch.column(ids)
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            group = np.cumsum(sizes) // DECODE_IDS
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                lists = part.column(ids)
+                flat = lists.flatten().to_numpy().astype(np.int64)
+                ends = np.zeros(len(flat) + 1, np.int64)
+                np.cumsum(own.lengths_of(flat), out=ends[1:])
+                rows = np.zeros(len(lists) + 1, np.int64)
+                np.cumsum(sizes[a:b], out=rows[1:])
+                texts = pa.BinaryArray.from_buffers(
+                    pa.binary(),
+                    len(lists),
+                    [None, pa.py_buffer(ends[rows].astype(np.int32)), pa.py_buffer(own.decoded(flat))],
+                )
+                texts = pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.binary())],
-                    names=[*part.schema.names, decoded],
+                    [*part.columns, texts], names=[*part.schema.names, decoded]
                 )
 
     return tokens.mapInArrow(run, schema)
