@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from epitally.plans.catalog import QUERIES
 
 # A fit is far longer than its warm-up effects, so it runs once.
-RUN_ONCE = ("forest_predictions", "whole_batch", "cross_validation_check")
+RUN_ONCE = ("forest_predictions", "whole_batch")
 
 HEADLINES = (
     "global_summary",
@@ -42,7 +42,6 @@ HEADLINES = (
     "trend",
     "forest_predictions",
     "whole_batch",
-    "cross_validation_check",
 )
 
 
