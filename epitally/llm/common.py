@@ -24,21 +24,21 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+_shipped: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each session.
+    """Give the executors this package's code, once for each application.
 
     Spark serves the archive to every executor, later ones included.
     """
     context = spark.sparkContext
-    if not any(name.startswith("epitally-code") for name in map(_base_name, context._python_includes)):
+    if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]
         target = tempfile.mkdtemp(prefix="epitally-")
         archive = shutil.make_archive(f"{target}/epitally-code", "zip", root, "epitally")
         context.addPyFile(archive)
-
-
-def _base_name(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
+        _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
