@@ -76,7 +76,7 @@ def hilbert_index(rows: DataFrame, columns: list[str], bits: int = BITS) -> Colu
     parts = 1 << bits
     fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     cuts = rows.agg(
-        *[F.percentile_approx(c, fractions, F.lit(100_000)).alias(f"c{i}") for i, c in enumerate(columns)]
+        *[F.percentile_approx(c, fractions, F.lit(1_000)).alias(f"c{i}") for i, c in enumerate(columns)]
     ).first()
     cell = F.lit(0)
     for i, c in enumerate(columns):
