@@ -113,9 +113,10 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     rows = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"), h.alias("h")).withColumn(
         "_o", F.coalesce(F.col("key").cast("long"), smallest)
     )
-    pieces = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Several for each partition, since a hash deals them out.
+    pieces = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     fractions = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    cuts = rows.agg(F.percentile_approx("_o", fractions, F.lit(20 * pieces)).alias("c")).first()["c"]
+    cuts = rows.agg(F.percentile_approx("_o", fractions, F.lit(4 * pieces)).alias("c")).first()["c"]
     cuts = sorted(cuts or [])
     low, high = _place(cuts, F.col("_o"), False), _place(cuts, F.col("_o"), True)
     # The hash in its signed order, as a fraction.
