@@ -30,7 +30,7 @@ from epitally.llm.common import slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pre-tokens that a task remembers, twice: the memo and the one before it.
-MEMO = 500_000
+MEMO = 200_000
 # Ids decoded at once.
 DECODE_IDS = 500_000
 
