@@ -18,7 +18,10 @@ from epitally.workspace import new_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Texts are worked on in slices of about this many bytes, however large the Arrow batch is.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+# Rows sent to Python at once, unless the session has another number than the default: whole
+# texts are large rows, and a batch is held on both sides.
+BATCH_KEY, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -30,8 +33,11 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give the executors this package's code, once for each application.
 
-    Spark serves the archive to every executor, later ones included.
+    Spark serves the archive to every executor, later ones included. Also keeps the batches
+    sent to Python small.
     """
+    if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]
