@@ -231,6 +231,16 @@ def near_duplicates(
     return found.select(key, "fingerprint", "component_id")
 
 
+def one_of_each(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows ``(k, t, h, row)`` that stay, one for each root of ``found`` (``k, h, root``)."""
+    first = F.min(F.struct(F.col("k").isNull().alias("last"), "k", "h"))
+    chosen = found.groupBy("root").agg(first.alias("first"))
+    chosen = chosen.select(F.col("first.k").alias("kept_k"), F.col("first.h").alias("kept_h"))
+    same = F.col("k").eqNullSafe(F.col("kept_k")) & (F.col("h") == F.col("kept_h"))
+    kept = rows.join(chosen, same, "left_semi")
+    return kept.dropDuplicates(["k", "h"]).select("row.*")
+
+
 def keep_one(
     docs: DataFrame,
     key: str = "doc_id",
@@ -250,9 +260,4 @@ def keep_one(
     )
     prints = fingerprints(rows.select("k", "t", "h"), "t", shingle)
     found = _grouped(written(prints, "fingerprints"), "k", most)
-    first = F.min(F.struct(F.col("k").isNull().alias("last"), "k", "h"))
-    chosen = found.groupBy("root").agg(first.alias("first"))
-    chosen = chosen.select(F.col("first.k").alias("kept_k"), F.col("first.h").alias("kept_h"))
-    same = F.col("k").eqNullSafe(F.col("kept_k")) & (F.col("h") == F.col("kept_h"))
-    kept = rows.join(chosen, same, "left_semi")
-    return kept.dropDuplicates(["k", "h"]).select("row.*")
+    return one_of_each(rows, found)
