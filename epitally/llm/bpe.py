@@ -285,12 +285,18 @@ def decode(
     return tokens.mapInArrow(run, schema)
 
 
-def round_trip_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """For each row: number of ids, digest of the ids, digest of the bytes decoded from them."""
+def round_trip_digests(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", keep_ids: bool = False
+) -> DataFrame:
+    """For each row: number of ids, digest of the ids, digest of the bytes decoded from them.
+
+    With ``keep_ids`` the ids themselves too, as ``token_ids``.
+    """
     coded = decode(encode(docs.select(key, text), text).select(key, "token_ids"))
     return coded.select(
         key,
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["token_ids"] if keep_ids else []),
     )
