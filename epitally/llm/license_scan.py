@@ -124,10 +124,18 @@ def places(words: list[bytes], phrases: dict[tuple[bytes, ...], str]) -> list[tu
     return sorted(found)
 
 
+def stride_for(given: Sequence[tuple[str, str]]) -> int:
+    """``STRIDE``, or more if a template is too long for it: two strides are a block, and any
+    run of up to ``stride + 1`` words lies inside one."""
+    longest = max((len(words_of(text.encode())) for _, text in given), default=0)
+    return max(STRIDE, longest - 1)
+
+
 def _scanned(
-    docs: DataFrame, key: str, text: str, code: dict[bytes, int], least: int
+    docs: DataFrame, key: str, text: str, code: dict[bytes, int], least: int, stride: int = STRIDE
 ) -> DataFrame:
     """For each row: its phrases' places, and the blocks with at least ``least`` coded words."""
+    block_words = stride * BLOCK_WORDS // STRIDE
     phrases = {tuple(p.encode().split()): label for p, label in PHRASES}
     whole = [T.StructField(c, T.LongType()) for c in ("n_words", "n_base", "first_word", "last_word")]
     block = T.StructType(
@@ -148,11 +156,11 @@ def _scanned(
 
     def blocks_of(words: list[bytes]) -> Iterator[dict]:
         found = [code.get(w, -1) for w in words]
-        for i, at in enumerate(range(0, len(words), STRIDE)):
-            own = set(found[at : at + BLOCK_WORDS])
+        for i, at in enumerate(range(0, len(words), stride)):
+            own = set(found[at : at + block_words])
             own.discard(-1)
             if len(own) >= least:
-                distinct = len(set(words[at : at + BLOCK_WORDS]))
+                distinct = len(set(words[at : at + block_words]))
                 yield {"block": i, "n_distinct": distinct, "codes": sorted(own)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +259,7 @@ def scan(
     vocabulary = sorted({w for t in wanted for w in t.words})
     code = {w.encode(): i for i, w in enumerate(vocabulary)}
     least = min((t.need for t in wanted), default=1)
-    scanned = _scanned(docs, key, text, code, least)
+    scanned = _scanned(docs, key, text, code, least, stride_for(given))
     scanned = written(scanned.withColumn("row", F.monotonically_increasing_id()), "scan")
     blocks = scanned.select("row", F.inline("blocks"))
     labels = F.array(*[F.lit(t.label) for t in wanted])
