@@ -12,6 +12,7 @@ from epitally.llm import (
     language,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     quality,
     simhash,
@@ -100,6 +101,20 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roots and proofs of all documents; every second one is folded from a text without breaks."""
+    shown = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in merkle.LEAF]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    altered = F.when(tampered, merkle.leaf_digest(shown))
+    made = merkle.manifest(documents(spark, sf_dir), also={"altered": altered})
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("steps"))
+    proof = merkle.proof_digest(F.col("steps"))
+    made = made.select(
+        "doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root")
+    )
+    return made.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -111,6 +126,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -118,4 +134,5 @@ ORACLE: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(),
     "op3_mixture": mixing.oracle_sql(),
     "op6_imatch": imatch.oracle_sql(),
+    "op12_merkle": merkle.oracle_sql(),
 }
