@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally.llm import (
+    block_search,
     bpe,
     hilbert,
     imatch,
@@ -17,6 +18,7 @@ from epitally.llm import (
     quality,
     simhash,
     substring_dedup,
+    whiten,
 )
 from epitally.llm.common import documents, table
 
@@ -101,6 +103,12 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest rows of every twentieth vector, by inner product."""
+    queries = F.col("vec_id") % 20 == 0
+    return block_search.nearest_neighbours(table(spark, sf_dir, "embeddings"), queries)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roots and proofs of all documents; every second one is folded from a text without breaks."""
     shown = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in merkle.LEAF]
@@ -115,6 +123,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -126,7 +138,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_nearest": op11_nearest,
     "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
@@ -134,5 +148,6 @@ ORACLE: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(),
     "op3_mixture": mixing.oracle_sql(),
     "op6_imatch": imatch.oracle_sql(),
+    "op11_nearest": block_search.oracle_sql(),
     "op12_merkle": merkle.oracle_sql(),
 }
