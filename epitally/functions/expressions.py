@@ -54,13 +54,27 @@ def epoch_millis(df: DataFrame, name: str) -> Column:
     return F.unix_millis(name)
 
 
+def _keyed_digest(keys: Iterable[str], seed: int) -> Column:
+    text = F.concat(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), F.lit(str(seed)))
+    return F.md5(text)
+
+
 def hash_bucket(keys: Iterable[str], seed: int, buckets: int = 10_000) -> Column:
     """Bucket of a row from the MD5 of its key and a seed.
 
     It depends on the row alone, so repartitioning, retries and other engines agree on it.
     """
-    text = F.concat(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
+    digits = F.substring(_keyed_digest(keys, seed), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % buckets
+
+
+HASH_BITS = 60
+
+
+def hash_place(keys: Iterable[str], seed: int) -> Column:
+    """A number of ``HASH_BITS`` bits from the MD5 of the key and a seed, evenly spread."""
+    digits = F.substring(_keyed_digest(keys, seed), 1, HASH_BITS // 4)
+    return F.conv(digits, 16, 10).cast("long")
 
 
 def instant(epoch_micros: int) -> Column:

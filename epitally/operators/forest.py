@@ -11,9 +11,12 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
+from epitally.functions.expressions import hash_bucket
 from epitally.operators.features import assembler
 from epitally.schema import FEATURES
 
+FOLD = "fold"
+
 
 @dataclass(frozen=True)
 class ForestParams:
@@ -43,6 +46,7 @@ class GridParams:
     parallelism: int = 4
     seed: int = 42
     metric: str = field(default="rmse")
+    max_memory_mb: int = 256
 
 
 def fit_forest(
@@ -76,13 +80,35 @@ def fit_forest_on_vectors(prepared: DataFrame) -> RandomForestRegressionModel:
     ).fit(prepared)
 
 
+def with_fold(
+    rows: DataFrame, keys: Sequence[str], folds: int, seed: int, fold: str = FOLD
+) -> DataFrame:
+    """``rows`` with the fold each is tested in, by a hash of its key.
+
+    It depends on the key alone, so that a repeated search, on other partitions or after a lost
+    executor, tests each row with the same model.
+    """
+    return rows.withColumn(fold, hash_bucket(keys, seed, folds).cast("int"))
+
+
 def cross_validate(
     train: DataFrame,
     grid: GridParams = GridParams(),
     features: Sequence[str] = FEATURES,
+    keys: Sequence[str] = (),
 ) -> CrossValidatorModel:
-    """Search the grid with k-fold validation; ``bestModel`` is a ``PipelineModel``."""
-    forest = RandomForestRegressor(featuresCol="features", labelCol="label", seed=grid.seed)
+    """Search the grid with k-fold validation; ``bestModel`` is a ``PipelineModel``.
+
+    Folds go by a hash of ``keys``, or of the whole row without keys.
+    """
+    forest = RandomForestRegressor(
+        featuresCol="features",
+        labelCol="label",
+        seed=grid.seed,
+        maxMemoryInMB=grid.max_memory_mb,
+        # Sends the nodes being split to the tasks instead of all trees grown so far.
+        cacheNodeIds=True,
+    )
     settings = (
         ParamGridBuilder()
         .addGrid(forest.numTrees, list(grid.num_trees))
@@ -90,6 +116,7 @@ def cross_validate(
         .addGrid(forest.minInstancesPerNode, list(grid.min_instances_per_node))
         .build()
     )
+    folded = with_fold(train, keys or train.columns, grid.folds, grid.seed)
     return CrossValidator(
         estimator=Pipeline(stages=[assembler(features), forest]),
         estimatorParamMaps=settings,
@@ -97,9 +124,10 @@ def cross_validate(
             metricName=grid.metric, labelCol="label", predictionCol="prediction"
         ),
         numFolds=grid.folds,
+        foldCol=FOLD,
         parallelism=grid.parallelism,
         seed=grid.seed,
-    ).fit(train)
+    ).fit(folded)
 
 
 def grid_results(model: CrossValidatorModel, spark) -> DataFrame:

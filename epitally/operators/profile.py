@@ -26,16 +26,16 @@ def _ranges() -> list[Column]:
     ]
 
 
-def _size(df: DataFrame) -> list[Column]:
+def _size(columns: Sequence[str]) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("row_count"),
-        F.lit(len(df.columns)).cast("long").alias("column_count"),
+        F.lit(len(columns)).cast("long").alias("column_count"),
     ]
 
 
 def size(df: DataFrame) -> DataFrame:
     """One row: number of rows and of columns."""
-    return df.agg(*_size(df))
+    return df.agg(*_size(df.columns))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
@@ -48,6 +48,11 @@ def ranges(df: DataFrame) -> DataFrame:
     return df.agg(*_ranges())
 
 
+def profile_columns(columns: Sequence[str], required: Sequence[str] = REQUIRED) -> list[Column]:
+    """The aggregates of :func:`profile` for a frame of ``columns``."""
+    return [*_size(columns), *_null_sums(required), *_ranges()]
+
+
 def profile(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
     """Size, null counts and ranges as one aggregate over one scan."""
-    return df.agg(*_size(df), *_null_sums(columns), *_ranges())
+    return df.agg(*profile_columns(df.columns, columns))

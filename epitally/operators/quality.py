@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from epitally.operators.profile import profile
+from epitally.operators.profile import profile, profile_columns
 from epitally.schema import KEYS, REQUIRED
+from epitally.workspace import new_path
 
 # Fewer rows than this only warn.
 SMALL_DATA_ROWS = 10
@@ -44,13 +46,27 @@ def validate(
     severity ``info`` that always pass, unless ``max_null_ratio`` (by column) or ``bounds``
     (low and high by metric: min_cases, max_cases, avg_population) make them errors.
     """
-    missing = missing_columns(df, required)
+    present = [c for c in required if c in df.columns]
+    row = profile(_with_ranged(df), present)
+    return _checked(row, df.columns, required, max_null_ratio, bounds)
+
+
+def _with_ranged(df: DataFrame) -> DataFrame:
+    """``df`` with the columns that ranges are taken of; null where it lacks them."""
+    absent = [c for c in ("cases", "population") if c not in df.columns]
+    return df.withColumns({c: F.lit(None).cast("long") for c in absent})
+
+
+def _checked(
+    row: DataFrame,
+    columns: Sequence[str],
+    required: Sequence[str],
+    max_null_ratio: Mapping[str, float] | None,
+    bounds: Mapping[str, tuple[float | None, float | None]] | None,
+) -> DataFrame:
+    """The checks from the one row of a profile."""
+    missing = [c for c in required if c not in columns]
     present = [c for c in required if c not in missing]
-    ranged = [c for c in ("cases", "population") if c not in df.columns]
-    profiled = df
-    for name in ranged:
-        profiled = profiled.withColumn(name, F.lit(None).cast("long"))
-    row = profile(profiled, present)
     rows = F.col("row_count")
 
     checks = [
@@ -91,6 +107,118 @@ def validate(
     return row.select(F.inline(F.array(*checks)))
 
 
+class ObservedProfile:
+    """A profile that a write takes in passing; see :func:`observe_profile`."""
+
+    def __init__(self, columns: Sequence[str], required: Sequence[str]):
+        self.columns, self.required = tuple(columns), tuple(required)
+        self.observation = Observation()
+
+    def metrics(self) -> dict[str, object]:
+        """What the first action on the observed frame found; waits for its end."""
+        return self.observation.get
+
+    def checks(
+        self,
+        spark: SparkSession,
+        max_null_ratio: Mapping[str, float] | None = None,
+        bounds: Mapping[str, tuple[float | None, float | None]] | None = None,
+    ) -> DataFrame:
+        """The rows of :func:`validate`, without reading the data."""
+        found = self.metrics()
+        fields = [
+            T.StructField(n, T.DoubleType() if n.startswith("avg_") else T.LongType())
+            for n in found
+        ]
+        row = spark.createDataFrame([tuple(found.values())], T.StructType(fields))
+        return _checked(row, self.columns, self.required, max_null_ratio, bounds)
+
+
+def observe_profile(
+    df: DataFrame, required: Sequence[str] = REQUIRED
+) -> tuple[DataFrame, ObservedProfile]:
+    """``df`` to be written, and the profile that its write will find.
+
+    Null counts and ranges are side results of the tasks that write, so checking a batch needs
+    no scan of its own. Let the write be the first action on the frame and put nothing behind
+    the observation: a task that is repeated in the last stage counts once, one in an earlier
+    stage might count twice.
+    """
+    seen = ObservedProfile(df.columns, required)
+    present = [c for c in required if c in df.columns]
+    observed = _with_ranged(df).observe(
+        seen.observation, *profile_columns(df.columns, present)
+    )
+    return observed.select(*df.columns), seen
+
+
+# Rules of a case row: what must hold where the columns are known. The contract.
+def case_rules(columns: Sequence[str]) -> dict[str, Column]:
+    """Rules by name, as far as ``columns`` go; a null in a comparison breaks no rule."""
+    rules = {f"{c}_missing": F.col(c).isNotNull() for c in KEYS if c in columns}
+    counters = ("cases", "deaths", "recovered", "active", "critical", "tests", "population")
+    rules |= {f"{c}_negative": F.col(c) >= 0 for c in counters if c in columns}
+    for part, whole in (("deaths", "cases"), ("recovered", "cases"), ("critical", "active")):
+        if part in columns and whole in columns:
+            rules[f"{part}_over_{whole}"] = F.col(part) <= F.col(whole)
+    return rules
+
+
+def flag_rows(
+    df: DataFrame, rules: Mapping[str, Column] | None = None, broken: str = "broken"
+) -> DataFrame:
+    """``df`` with an array of the names of the rules each row breaks, in the rules' order.
+
+    A rule is a condition that good rows meet; null counts as met. Empty array: a good row.
+    """
+    rules = case_rules(df.columns) if rules is None else rules
+    if broken in df.columns:
+        raise ValueError(f"Column {broken} exists already")
+    names = [F.when(~met, F.lit(name)) for name, met in rules.items()]
+    none = F.array().cast("array<string>")
+    return df.withColumn(broken, F.array_compact(F.array(*names)) if names else none)
+
+
+class Quarantined:
+    """Good and bad rows of one written table, and how many rows broke each rule."""
+
+    def __init__(self, df: DataFrame, rules: Mapping[str, Column] | None, broken: str):
+        spark = df.sparkSession
+        flagged = flag_rows(df, rules, broken)
+        names = list(case_rules(df.columns) if rules is None else rules)
+        sound = F.size(broken) == 0
+        seen = Observation()
+        counts = [
+            F.coalesce(F.sum(F.array_contains(broken, n).cast("long")), F.lit(0)).alias(f"r{i}")
+            for i, n in enumerate(names)
+        ]
+        path = new_path(spark, "quarantine")
+        observed = flagged.withColumn("_sound", sound).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_sound")).alias("bad"), *counts
+        )
+        observed.write.partitionBy("_sound").parquet(path)
+        found = seen.get
+        self.rows, self.bad_rows = found["rows"], found["bad"]
+        self.by_rule = {n: found[f"r{i}"] for i, n in enumerate(names)}
+        table = spark.read.schema(observed.schema).parquet(path)
+        # A filter on the folder's name: neither frame reads a file of the other.
+        self.good = table.where("_sound").select(*df.columns)
+        self.bad = table.where("NOT _sound").select(*df.columns, broken)
+        self.good._written_path = self.bad._written_path = path
+
+
+def quarantine(
+    df: DataFrame, rules: Mapping[str, Column] | None = None, broken: str = "broken"
+) -> Quarantined:
+    """Part ``df`` into rows that keep all rules and rows that do not, in one pass.
+
+    Rows are written once, in a folder for the good and one for the bad, which keep a list of
+    the rules they broke; numbers by rule come from the same write. ``discard`` of either frame
+    deletes the table under both. Rules default to those of case rows.
+    """
+    return Quarantined(df, rules, broken)
+
+
 def require(checks: DataFrame) -> list[str]:
     """Raise on failed errors; return the names of failed warnings.
 

@@ -8,10 +8,11 @@ back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally.functions.expressions import per_million
@@ -22,15 +23,25 @@ from epitally.operators import quality as q
 from epitally.operators import summary as sm
 from epitally.operators import upsert as up
 from epitally.operators.forest import (
+    ForestParams,
+    GridParams,
     fit_forest,
     fit_forest_on_vectors,
     grid_results,
     predict,
+    with_fold,
 )
-from epitally.operators.split import hash_split, random_split
+from epitally.operators.split import hash_split, random_split, stratified_split
+from epitally.plans import bucketed, totals
 from epitally.plans.history import merge_into_history
 from epitally.plans.job import JobConfig, run_job
-from epitally.plans.learning import LearningConfig, dealt_rows, run_learning, train_and_test
+from epitally.plans.learning import (
+    LearningConfig,
+    LearningResult,
+    dealt_rows,
+    run_learning,
+    train_and_test,
+)
 from epitally.schema import (
     CASES,
     COLUMNS,
@@ -40,9 +51,9 @@ from epitally.schema import (
     STRICT_FEATURES,
 )
 from epitally.sinks import lake, models, runlog
-from epitally.sources import landing
+from epitally.sources import landing, ledger
 from epitally.sources import tables as tb
-from epitally.workspace import new_path, written
+from epitally.workspace import exists, new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,7 +66,17 @@ PAGE_ROWS = 1000
 FILE_ROWS = 20_000
 
 HASHED = LearningConfig(split="hash", keys=KEYS)
-SEARCHED = LearningConfig(split="hash", keys=KEYS, cross_validation=True)
+# The default grid. A search of many small fits is bound by the driver, so it works on few
+# partitions and many settings at once.
+SEARCHED = LearningConfig(
+    split="hash",
+    keys=KEYS,
+    cross_validation=True,
+    train_partitions=4,
+    grid=GridParams(parallelism=8),
+)
+# A merge keeps this many buckets of the target.
+BUCKETS = 8
 # Fixed value: the largest rmse of an acceptable model.
 RMSE_BOUND = 10_000.0
 
@@ -130,6 +151,44 @@ def quality_checks(spark: SparkSession, base: str) -> DataFrame:
     return checks.withColumn("value", F.round("value", 6))
 
 
+def observed_checks(spark: SparkSession, base: str) -> DataFrame:
+    """The checks of :func:`quality_checks`, counted by the write of the batch."""
+    rows, seen = q.observe_profile(tb.snapshot(spark, base))
+    written(rows, "cases")
+    checks = seen.checks(
+        spark,
+        max_null_ratio={"active": 0.1, "cases": 0.5},
+        bounds={"min_cases": (0, None), "avg_population": (None, 1e9)},
+    )
+    return checks.withColumn("value", F.round("value", 6))
+
+
+def _rules(columns: list[str]) -> dict[str, Column]:
+    """The rules of case rows, one on a missing counter and two that many rows break."""
+    return {
+        **q.case_rules(columns),
+        "active_missing": F.col("active").isNotNull(),
+        "few_tests": F.col("tests") >= 10,
+        "many_recovered": F.col("recovered") * 4 <= F.col("cases"),
+    }
+
+
+def quarantine_rows(spark: SparkSession, base: str) -> DataFrame:
+    """Every row, and the rules a quarantined one broke."""
+    rows = tb.snapshot(spark, base)
+    parts = q.quarantine(rows, _rules(rows.columns))
+    bad = parts.bad.select(*COLUMNS, F.concat_ws(",", "broken").alias("broken"))
+    return parts.good.select(*COLUMNS, F.lit("").alias("broken")).unionByName(bad)
+
+
+def quarantine_counts(spark: SparkSession, base: str) -> DataFrame:
+    """How many rows broke each rule, as the write of the two parts counted them."""
+    rows = tb.snapshot(spark, base)
+    parts = q.quarantine(rows, _rules(rows.columns))
+    found = {"(all)": parts.rows, "(bad)": parts.bad_rows, **parts.by_rule}
+    return spark.createDataFrame(list(found.items()), "rule string, row_count long")
+
+
 def missing_column_checks(spark: SparkSession, base: str) -> DataFrame:
     checks = q.validate(tb.snapshot(spark, base).drop("tests", "critical"))
     return checks.withColumn("value", F.round("value", 6))
@@ -217,6 +276,36 @@ def landing_rejects(spark: SparkSession, base: str) -> DataFrame:
     return read.unionByName(bad.select(F.lit("rejected").alias("kind"), F.col("document").alias("value")))
 
 
+def landing_repeated_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """Rejected lines with their number, from a feed that repeats broken lines."""
+    path = new_path(spark, "landing")
+    rows = tb.snapshot(spark, base)
+    line = F.to_json(F.struct(*landing.to_raw(rows).columns))
+    broken = F.concat(F.lit('[{"continent": "'), F.col("continent"), F.lit('"}, {"cases": '))
+    feed = landing.to_raw(rows.where("population % 4 <> 0")).select(line.alias("value"))
+    feed.union(rows.where("population % 4 = 0").select(broken)).write.text(path)
+    good, bad = landing.read_with_rejects(spark, path, "lines")
+    counted = bad.groupBy("document").agg(F.count(F.lit(1)).alias("row_count"))
+    read = good.agg(F.lit("(read)").alias("document"), F.count(F.lit(1)).alias("row_count"))
+    return counted.unionByName(read)
+
+
+def landing_new_files(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of two batches over one folder, each with the batch that read it."""
+    folder, entries = new_path(spark, "landing"), new_path(spark, "ledger")
+    rows = written(tb.snapshot(spark, base), "cases")
+    parts = []
+    for batch in range(3):
+        # The third time nothing has landed.
+        if batch < 2:
+            landed = landing.to_raw(rows.where(F.col("population") % 2 == batch))
+            landed.write.mode("append").json(folder)
+        found = ledger.new_cases(spark, folder, entries, str(batch), "*.json", layout="lines")
+        parts.append(written(found.cases.withColumn("batch", F.lit(batch)), "batch"))
+        found.commit()
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def document_parse(spark: SparkSession, base: str) -> DataFrame:
     return landing.parse_documents(_pages(tb.snapshot(spark, base)))
 
@@ -263,6 +352,30 @@ def lake_save_modes(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def lake_overwrite_partitions(spark: SparkSession, base: str) -> DataFrame:
+    """A partitioned copy of which a second write replaces two continents."""
+    path = new_path(spark, "partitions")
+    rows = written(tb.snapshot(spark, base), "cases")
+    lake.write_main(rows, path, partition_by=("continent",))
+    again = rows.where(F.col("continent").isin("ASIA", "EUROPE") & (F.col("population") % 2 == 0))
+    again = again.withColumn("cases", -F.col("cases"))
+    lake.write_main(again, path, mode="overwrite_partitions", partition_by=("continent",))
+    return lake.read_main(spark, path, CASES)
+
+
+def lake_key_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """One country's rows, and a span of time, of copies laid out for such searches."""
+    by_time, by_name = new_path(spark, "ordered"), new_path(spark, "bloom")
+    rows = written(tb.order_history(spark, base), "history")
+    lake.write_main(rows, by_time, order_by=("updated", "country"))
+    lake.write_main(rows, by_name, bloom=("country",))
+    named = lake.read_main(spark, by_name, CASES).where("country = 'C100'")
+    spanned = lake.read_main(spark, by_time, CASES).where("updated < 725846400000")
+    return named.withColumn("search", F.lit("country")).unionByName(
+        spanned.withColumn("search", F.lit("time"))
+    )
+
+
 def lake_analyst_csv(spark: SparkSession, base: str) -> DataFrame:
     path = new_path(spark, "analyst-csv")
     lake.write_analyst(tb.snapshot(spark, base), path, "csv")
@@ -368,6 +481,29 @@ def history_merge(spark: SparkSession, base: str) -> DataFrame:
     return merge_into_history(tb.shipment_batch(spark, base), path).select(*COLUMNS)
 
 
+def bucketed_merge(spark: SparkSession, base: str) -> DataFrame:
+    path = new_path(spark, "bucketed")
+    bucketed.write_bucketed(tb.order_history(spark, base), path, BUCKETS)
+    return bucketed.merge_into_bucketed(tb.shipment_batch(spark, base), path)
+
+
+def kept_totals(spark: SparkSession, base: str) -> DataFrame:
+    """Totals of each continent from sums kept by day over two merges, and days read for them."""
+    path, state = new_path(spark, "history"), new_path(spark, "totals")
+    merge_into_history(tb.order_history(spark, base), path, up.ALL_COLUMNS)
+    first = totals.refresh(spark, path, state)
+    batch = tb.shipment_batch(spark, base).where("updated >= 883612800000")
+    merge_into_history(batch, path)
+    second = totals.refresh(spark, path, state)
+    third = totals.refresh(spark, path, state)
+    return totals.kept_summary(spark, state, "continent").select(
+        "*",
+        F.lit(len(first)).cast("long").alias("days_first"),
+        F.lit(len(second)).cast("long").alias("days_second"),
+        F.lit(len(third)).cast("long").alias("days_third"),
+    )
+
+
 # --- Features and split ------------------------------------------------------------------
 
 
@@ -403,6 +539,14 @@ def hash_split_rows(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def stratified_split_rows(spark: SparkSession, base: str) -> DataFrame:
+    rows = written(tb.order_history(spark, base).select(*KEYS, "iso2", "iso3"), "rows")
+    train, test = stratified_split(rows, ("iso2", "iso3"), KEYS)
+    return train.withColumn("part", F.lit("train")).union(
+        test.withColumn("part", F.lit("test"))
+    )
+
+
 def random_split_parts(spark: SparkSession, base: str) -> DataFrame:
     rows = written(tb.event_history(spark, base).select(*KEYS), "rows")
     train, test = random_split(rows)
@@ -589,26 +733,67 @@ def minimal_forest_check(spark: SparkSession, base: str) -> DataFrame:
     return _flagged(found.drop("prediction"), flags)
 
 
+_searches: dict[tuple[str, str], LearningResult] = {}
+
+
+def _searched(spark: SparkSession, base: str) -> LearningResult:
+    """The search of the default grid, once for each application and folder of tables."""
+    name = (spark.sparkContext.applicationId, base)
+    if name not in _searches:
+        _searches[name] = run_learning(tb.snapshot(spark, base), SEARCHED)
+    return _searches[name]
+
+
+def _refitted(spark: SparkSession, result: LearningResult) -> bool:
+    forest, best = result.model.stages[-1], grid_results(result.search, spark).where("is_best").first()
+    return (forest.getNumTrees, forest.getOrDefault("maxDepth"), forest.getOrDefault(
+        "minInstancesPerNode")) == (best["num_trees"], best["max_depth"], best["min_instances"])
+
+
 def cross_validation_grid(spark: SparkSession, base: str) -> DataFrame:
-    """Every setting of the default grid, and that exactly the one with least rmse is best."""
-    result = run_learning(tb.snapshot(spark, base), SEARCHED)
+    """Every setting of the default grid, that exactly the one with least rmse is best, and that
+    its forest, fitted on all training rows, follows the labels."""
+    result = _searched(spark, base)
     grid = grid_results(result.search, spark)
     least, bests = grid.agg(
         F.min("avg_metric"), F.sum(F.col("is_best").cast("int"))
     ).first()
     right = (F.col("avg_metric") == least) == F.col("is_best")
     rows = grid.select("num_trees", "max_depth", "min_instances", right.alias("best_is_least"))
-    return _flagged(rows, {"one_best": bests == 1})
+    flags = {"one_best": bests == 1, "best_setting_refitted": _refitted(spark, result)}
+    return _flagged(rows, {**flags, **_quality(result.predictions)})
 
 
 def cross_validation_check(spark: SparkSession, base: str) -> DataFrame:
     """Each test row, and that the best model of the default grid is one and follows the labels."""
-    result = run_learning(tb.snapshot(spark, base), SEARCHED)
-    forest, best = result.model.stages[-1], grid_results(result.search, spark).where("is_best").first()
-    same = (forest.getNumTrees, forest.getOrDefault("maxDepth"), forest.getOrDefault(
-        "minInstancesPerNode")) == (best["num_trees"], best["max_depth"], best["min_instances"])
+    result = _searched(spark, base)
     rows = result.predictions.select(*KEYS, "label")
-    return _flagged(rows, {"best_setting_refitted": same, **_quality(result.predictions)})
+    flags = {"best_setting_refitted": _refitted(spark, result)}
+    return _flagged(rows, {**flags, **_quality(result.predictions)})
+
+
+def cross_validation_folds(spark: SparkSession, base: str) -> DataFrame:
+    """Each usable row with the fold a search tests it in."""
+    rows = ft.usable_rows(tb.snapshot(spark, base), keep=KEYS)
+    return with_fold(rows, KEYS, SEARCHED.grid.folds, SEARCHED.grid.seed).select(*KEYS, "fold")
+
+
+def released_caches(spark: SparkSession, base: str) -> DataFrame:
+    """Rows tested by a small run, and that closing it leaves nothing cached or written."""
+    def cached() -> int:
+        return spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+    config = replace(HASHED, forest=ForestParams(num_trees=5, max_depth=3), train_partitions=2)
+    before = cached()
+    result = run_learning(tb.snapshot(spark, base), config)
+    tested = result.predictions.count()
+    during = cached()
+    result.close()
+    left = [t._written_path for t in result.scratch if exists(spark, t._written_path)]
+    return spark.createDataFrame(
+        [(tested, during > before, cached() - before, len(left))],
+        "tested long, cached_while_open boolean, cached_after int, tables_after int",
+    )
 
 
 def model_registry(spark: SparkSession, base: str) -> DataFrame:
@@ -637,6 +822,18 @@ def run_log(spark: SparkSession, base: str) -> DataFrame:
     return runlog.read_log(spark, folder).select("run_id", "kind", "key", "value")
 
 
+def compacted_run_log(spark: SparkSession, base: str) -> DataFrame:
+    """One logged run for each continent, read after the log's files were made one."""
+    folder = new_path(spark, "runlog")
+    for r in sm.continent_summary(tb.snapshot(spark, base)).collect():
+        row = r.asDict()
+        runlog.log_run(spark, folder, row.pop("continent"), metrics=row)
+    files = runlog.compact_log(spark, folder, least_files=2)
+    again = runlog.compact_log(spark, folder, least_files=2)
+    found = runlog.read_log(spark, folder).select("run_id", "kind", "key", "value")
+    return _flagged(found, {"one_file": files == again == 1}).where("key <> 'avg_deaths_per_million'")
+
+
 # --- The whole batch ---------------------------------------------------------------------
 
 
@@ -688,6 +885,9 @@ QUERIES: dict[str, Query] = {
         range_stats,
         profile_one_pass,
         quality_checks,
+        observed_checks,
+        quarantine_rows,
+        quarantine_counts,
         missing_column_checks,
         key_checks,
         landing_lines,
@@ -698,12 +898,16 @@ QUERIES: dict[str, Query] = {
         landing_fractions,
         landing_exact,
         landing_rejects,
+        landing_repeated_rejects,
+        landing_new_files,
         document_parse,
         lake_main_parquet,
         lake_main_orc,
         lake_main_json,
         lake_partitioned,
         lake_save_modes,
+        lake_overwrite_partitions,
+        lake_key_lookup,
         lake_analyst_csv,
         lake_analyst_parquet,
         lake_dual_write,
@@ -716,11 +920,14 @@ QUERIES: dict[str, Query] = {
         upsert_latest,
         upsert_written_batch,
         history_merge,
+        bucketed_merge,
+        kept_totals,
         assemble_features,
         assemble_strict,
         usable_rows,
         dropped_rows,
         hash_split_rows,
+        stratified_split_rows,
         random_split_parts,
         regression_metrics,
         target_stats,
@@ -738,8 +945,11 @@ QUERIES: dict[str, Query] = {
         minimal_forest_check,
         cross_validation_grid,
         cross_validation_check,
+        cross_validation_folds,
+        released_caches,
         model_registry,
         run_log,
+        compacted_run_log,
         whole_batch,
     )
 }

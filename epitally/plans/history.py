@@ -6,13 +6,11 @@ highest number is the one in force. A merge writes the days it touches to a new
 then publishes a manifest that names it, by one rename. Until then readers see the history as
 it was, from then on as it is; nothing that is read is ever overwritten.
 
-There may be one writer at a time; a second one fails when it publishes. The rename must be
-atomic and refuse an existing name, as on HDFS and local file systems.
+There may be one writer at a time; a second one fails when it publishes.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
@@ -21,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epitally.operators.upsert import MYSQL, MergeRule, merge
+from epitally.plans.manifest import current, drop_old, names, publish
 from epitally.schema import CASES
-from epitally.workspace import delete, discard, file_system, written
+from epitally.workspace import delete, discard, written
 
 DAY = "updated_day"
 VERSION = "v"
@@ -35,34 +34,6 @@ def with_day(df: DataFrame) -> DataFrame:
     )
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    files, path = file_system(spark, folder)
-    if not files.exists(path):
-        return []
-    return [s.getPath().getName() for s in files.listStatus(path)]
-
-
-def _numbers(spark: SparkSession, path: str) -> list[int]:
-    found = [n.removesuffix(".json") for n in _names(spark, f"{path}/manifests")]
-    return sorted(int(n) for n in found if n.isdigit())
-
-
-def _manifest(spark: SparkSession, path: str, number: int) -> dict[str, str]:
-    """Version by day. As many entries as the history has days."""
-    files, found = file_system(spark, f"{path}/manifests/{number:012}.json")
-    stream = files.open(found)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
-
-
-def current(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
-    """Number and content of the manifest in force; 0 and nothing without a history."""
-    numbers = _numbers(spark, path)
-    return (numbers[-1], _manifest(spark, path, numbers[-1])) if numbers else (0, {})
-
-
 def read_history(
     spark: SparkSession,
     path: str,
@@ -87,45 +58,22 @@ def _write_days(rows: DataFrame, path: str, version: str) -> None:
     rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{path}/data/{VERSION}={version}")
 
 
-def _publish(spark: SparkSession, path: str, number: int, versions: dict[str, str]) -> None:
-    """Put the manifest in force with one rename."""
-    files, folder = file_system(spark, f"{path}/manifests")
-    files.mkdirs(folder)
-    _, draft = file_system(spark, f"{path}/manifests/.draft-{uuid.uuid4().hex}")
-    stream = files.create(draft)
-    try:
-        stream.write(bytearray(json.dumps(versions, sort_keys=True).encode()))
-    finally:
-        stream.close()
-    _, final = file_system(spark, f"{path}/manifests/{number:012}.json")
-    if files.exists(final) or not files.rename(draft, final):
-        files.delete(draft, False)
-        raise RuntimeError(f"Another writer has published manifest {number} of {path}")
-
-
 def _clean(spark: SparkSession, path: str) -> None:
     """Delete what neither the manifest in force nor the one before names.
 
     The one before is kept for readers that have begun with it. Also deletes what a merge left
     that was broken off before it published.
     """
-    numbers = _numbers(spark, path)
-    kept = numbers[-2:]
-    named = {(v, d) for n in kept for d, v in _manifest(spark, path, n).items()}
+    named = {(v, d) for kept in drop_old(spark, path) for d, v in kept.items()}
     versions = {v for v, _ in named}
-    for folder in _names(spark, f"{path}/data"):
+    for folder in names(spark, f"{path}/data"):
         version = folder.removeprefix(f"{VERSION}=")
         if version not in versions:
             delete(spark, f"{path}/data/{folder}")
             continue
-        for day in _names(spark, f"{path}/data/{folder}"):
+        for day in names(spark, f"{path}/data/{folder}"):
             if day.startswith(f"{DAY}=") and (version, day.removeprefix(f"{DAY}=")) not in named:
                 delete(spark, f"{path}/data/{folder}/{day}")
-    for n in numbers[:-2]:
-        delete(spark, f"{path}/manifests/{n:012}.json")
-    for name in _names(spark, f"{path}/manifests"):
-        if name.startswith(".draft-"):
-            delete(spark, f"{path}/manifests/{name}")
 
 
 def merge_into_history(
@@ -155,7 +103,7 @@ def merge_into_history(
         if found:
             version = uuid.uuid4().hex
             _write_days(with_day(merged), path, version)
-            _publish(spark, path, number + 1, {**versions, **dict.fromkeys(days, version)})
+            publish(spark, path, number + 1, {**versions, **dict.fromkeys(days, version)})
             _clean(spark, path)
     finally:
         discard(spark, batch)

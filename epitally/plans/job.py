@@ -10,7 +10,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from epitally.operators.evaluate import accept_model, error_stats, sample_predictions
-from epitally.operators.quality import require, validate
+from epitally.operators.quality import observe_profile, require
 from epitally.operators.summary import global_summary, register_view, top_countries
 from epitally.plans.learning import LearningConfig, LearningResult, run_learning
 from epitally.schema import KEYS
@@ -68,7 +68,7 @@ class JobResult:
     def close(self) -> None:
         """Release caches and delete the batch's tables; the frames cannot be read any more."""
         self.learning.close()
-        discard(self.cases.sparkSession, self.cases, self.checks)
+        discard(self.cases.sparkSession, self.cases)
 
 
 def _append_to_database(cases: DataFrame, config: JobConfig) -> bool:
@@ -87,8 +87,9 @@ def run_job(
 ) -> JobResult:
     """Run the batch over the landed documents.
 
-    The scan is written once as a columnar table. Checks, reports, learning and exports
-    read the columns they need from it; none of them parses JSON again.
+    The scan is written once as a columnar table, and the write counts what the checks need.
+    Reports, learning and exports read the columns they need from the table; none of them parses
+    JSON again.
 
     Each step fails the batch, except the database append unless ``jdbc_required``. A model
     whose rmse is over ``rmse_threshold``, if one is set, is not saved.
@@ -107,8 +108,9 @@ def run_job(
             return table
 
         run_id = uuid.uuid4().hex
-        cases = keep(written(read_cases(spark, config.landing, layout=config.layout), "cases"))
-        checks = keep(written(validate(cases), "checks"))
+        scanned, seen = observe_profile(read_cases(spark, config.landing, layout=config.layout))
+        cases = keep(written(scanned, "cases"))
+        checks = seen.checks(spark)
         warnings = require(checks)
         for name in warnings:
             log.warning("Quality check failed: %s", name)

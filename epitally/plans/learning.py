@@ -19,16 +19,19 @@ from epitally.operators.forest import (
     fit_forest,
     predict,
 )
-from epitally.operators.split import hash_split, random_split
+from epitally.operators.split import hash_split, random_split, stratified_split
 from epitally.schema import FEATURES, TARGET
 from epitally.workspace import dealt, discard, written
 
-SPLITS = ("random", "hash")
+SPLITS = ("random", "hash", "stratified")
 
 
 @dataclass(frozen=True)
 class LearningConfig:
-    """Settings of a run; ``keys`` identify rows for the hash split and are kept.
+    """Settings of a run; ``keys`` identify rows for the hash splits and are kept.
+
+    The stratified split takes the same share of every combination of ``strata``, which are kept as
+    well.
 
     ``materialize`` writes the usable rows once before the split. A fit reads its input
     several times, so turn it off only for input that is a plain scan of files already; the
@@ -46,6 +49,7 @@ class LearningConfig:
     seed: int = 42
     split: str = "random"
     keys: tuple[str, ...] = ()
+    strata: tuple[str, ...] = ()
     materialize: bool = True
     train_partitions: int = 16
     forest: ForestParams = field(default_factory=ForestParams)
@@ -57,6 +61,8 @@ class LearningConfig:
             raise ValueError(f"Unsupported split={self.split} ({'|'.join(SPLITS)})")
         if self.split == "random" and not self.materialize:
             raise ValueError("the random split needs a written table")
+        if self.split == "stratified" and not (self.strata and self.keys):
+            raise ValueError("the stratified split needs strata and keys")
 
 
 @dataclass(frozen=True)
@@ -79,7 +85,8 @@ def dealt_rows(train: DataFrame, config: LearningConfig) -> DataFrame:
 
 
 def _usable(df: DataFrame, config: LearningConfig) -> tuple[DataFrame, tuple[DataFrame, ...]]:
-    rows = usable_rows(df, config.features, config.target, config.keys)
+    kept = [*config.keys, *[c for c in config.strata if c not in (*config.keys, *config.features)]]
+    rows = usable_rows(df, config.features, config.target, kept)
     if not config.materialize:
         return rows, ()
     rows = written(rows, "usable")
@@ -90,6 +97,8 @@ def _split(rows: DataFrame, config: LearningConfig) -> tuple[DataFrame, DataFram
     if config.split == "hash":
         keys: Sequence[str] = config.keys or rows.columns
         return hash_split(rows, keys, config.train_ratio, config.seed)
+    if config.split == "stratified":
+        return stratified_split(rows, config.strata, config.keys, config.train_ratio, config.seed)
     return random_split(rows, config.train_ratio, config.seed)
 
 
@@ -115,7 +124,7 @@ def run_learning(df: DataFrame, config: LearningConfig = LearningConfig()) -> Le
         train = dealt_rows(train, config)
         search = None
         if config.cross_validation:
-            search = cross_validate(train, config.grid, config.features)
+            search = cross_validate(train, config.grid, config.features, config.keys)
             model = search.bestModel
         else:
             model = fit_forest(train, config.forest, config.features)

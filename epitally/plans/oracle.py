@@ -221,6 +221,30 @@ BUCKET = (
     "CAST('0x' || SUBSTR(MD5(CONCAT_WS('|', country, CAST(updated AS VARCHAR)) || '42'), 1, 8)"
     " AS BIGINT) % 10000"
 )
+PLACE = (
+    "CAST('0x' || SUBSTR(MD5(CONCAT_WS('|', country, CAST(updated AS VARCHAR)) || '42'), 1, 15)"
+    " AS BIGINT)"
+)
+
+# What a row must not be, by rule, in the rules' order.
+BROKEN_IF = {
+    "country_missing": "country IS NULL",
+    "updated_missing": "updated IS NULL",
+    **{
+        f"{c}_negative": f"{c} < 0"
+        for c in ("cases", "deaths", "recovered", "active", "critical", "tests", "population")
+    },
+    "deaths_over_cases": "deaths > cases",
+    "recovered_over_cases": "recovered > cases",
+    "critical_over_active": "critical > active",
+    "active_missing": "active IS NULL",
+    "few_tests": "tests < 10",
+    "many_recovered": "recovered * 4 > cases",
+}
+BROKEN = "CONCAT_WS(',', " + ", ".join(
+    f"CASE WHEN {condition} THEN '{name}' END" for name, condition in BROKEN_IF.items()
+) + ")"
+
 USABLE = f"{_complete(FEATURES)} AND deaths IS NOT NULL"
 
 
@@ -280,6 +304,16 @@ ORACLE: dict[str, str] = {
     "range_stats": _snap(f"SELECT {RANGES} FROM snap"),
     "profile_one_pass": _snap(f"SELECT {SIZE}, {NULLS}, {RANGES} FROM snap"),
     "quality_checks": _checks((), True),
+    "observed_checks": _checks((), True),
+    "quarantine_rows": _snap(f"SELECT {_list(COLUMNS)}, {BROKEN} AS broken FROM snap"),
+    "quarantine_counts": _snap(
+        "SELECT '(all)' AS rule, COUNT(*) AS row_count FROM snap UNION ALL "
+        f"SELECT '(bad)', COUNT(*) FROM snap WHERE {BROKEN} <> ''"
+        + "".join(
+            f" UNION ALL SELECT '{name}', COUNT(*) FROM snap WHERE {condition}"
+            for name, condition in BROKEN_IF.items()
+        )
+    ),
     "missing_column_checks": _checks(("critical", "tests"), False),
     "key_checks": _with(
         [
@@ -318,6 +352,14 @@ p AS (
         UNION ALL SELECT 'rejected', '{"country": "' || country || '", "cases": ' FROM snap
         WHERE population % 7 = 0"""
     ),
+    "landing_repeated_rejects": _snap(
+        """SELECT '[{"continent": "' || continent || '"}, {"cases": ' AS document,
+          COUNT(*) AS row_count FROM snap WHERE population % 4 = 0 GROUP BY continent
+        UNION ALL SELECT '(read)', COUNT(*) FROM snap WHERE population % 4 <> 0"""
+    ),
+    "landing_new_files": _snap(
+        f"SELECT {_list(COLUMNS)}, CAST(population % 2 AS INTEGER) AS batch FROM snap"
+    ),
     "document_parse": NARROW_ROWS,
     "lake_main_parquet": ALL_ROWS,
     "lake_main_orc": ALL_ROWS,
@@ -328,6 +370,17 @@ p AS (
         COUNT(*) AS after_overwrite, 2 * COUNT(*) AS at_the_end,
         CAST(2 * SUM(cases) AS BIGINT) AS cases_at_the_end FROM snap"""
     ),
+    "lake_overwrite_partitions": _snap(
+        f"""SELECT {", ".join(f'-cases AS cases' if c == "cases" else f'"{c}"' for c in COLUMNS)}
+        FROM snap WHERE continent IN ('ASIA', 'EUROPE') AND population % 2 = 0
+        UNION ALL SELECT {_list(COLUMNS)} FROM snap
+        WHERE continent NOT IN ('ASIA', 'EUROPE')"""
+    ),
+    "lake_key_lookup": _with(
+        [ORDERED],
+        f"""SELECT {_list(COLUMNS)}, 'country' AS search FROM ordered WHERE country = 'C100'
+        UNION ALL SELECT {_list(COLUMNS)}, 'time' FROM ordered WHERE updated < 725846400000""",
+    ),
     "lake_analyst_csv": ALL_ROWS,
     "lake_analyst_parquet": ALL_ROWS,
     "lake_dual_write": _snap(
@@ -377,6 +430,23 @@ p AS (
     "history_merge": _with(
         [ORDERED, SHIPPED], _merge("ordered", "shipped", NINE, NINE, COLUMNS)
     ),
+    "bucketed_merge": _with(
+        [ORDERED, SHIPPED], _merge("ordered", "shipped", NINE, NINE, COLUMNS)
+    ),
+    "kept_totals": _with(
+        [
+            ORDERED,
+            SHIPPED,
+            """
+late AS (SELECT * FROM shipped WHERE updated >= 883612800000)""",
+            f"""
+merged AS ({_merge("ordered", "late", NINE, NINE, COLUMNS)})""",
+        ],
+        f"""SELECT continent, {SUMMARY},
+        (SELECT COUNT(DISTINCT updated) FROM ordered) AS days_first,
+        (SELECT COUNT(DISTINCT updated) FROM late) AS days_second,
+        CAST(0 AS BIGINT) AS days_third FROM merged GROUP BY continent""",
+    ),
     "assemble_features": _vectors(FEATURES),
     "assemble_strict": _vectors(STRICT_FEATURES),
     "usable_rows": _snap(
@@ -393,6 +463,14 @@ p AS (
         f"""SELECT country, updated,
         CASE WHEN {BUCKET} < 8000 THEN 'train' ELSE 'test' END AS part FROM snap"""
     ),
+    "stratified_split_rows": _with(
+        [ORDERED],
+        f"""SELECT country, updated, iso2, iso3, CASE WHEN rank <= FLOOR(n * 0.8E0 + 0.5E0)
+          THEN 'train' ELSE 'test' END AS part
+        FROM (SELECT *, COUNT(*) OVER (PARTITION BY iso2, iso3) AS n,
+          ROW_NUMBER() OVER (PARTITION BY iso2, iso3 ORDER BY {PLACE}, country, updated) AS rank
+          FROM ordered)""",
+    ),
     "random_split_parts": _with(
         [SERIES],
         """SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS repeated, TRUE AS share_as_asked,
@@ -444,14 +522,23 @@ p AS (
     "minimal_forest_check": _snap(
         f"SELECT country, updated, deaths AS label, TRUE AS settings_as_asked, {FOLLOWS} {TEST_ROWS}"
     ),
-    "cross_validation_grid": """
-SELECT num_trees, max_depth, min_instances, TRUE AS best_is_least, TRUE AS one_best
+    "cross_validation_grid": f"""
+SELECT num_trees, max_depth, min_instances, TRUE AS best_is_least, TRUE AS one_best,
+  TRUE AS best_setting_refitted, {FOLLOWS}
 FROM (VALUES (50), (100), (200)) AS t(num_trees), (VALUES (5), (10), (15)) AS d(max_depth),
   (VALUES (1), (5), (10)) AS m(min_instances)""",
     "cross_validation_check": _snap(
         f"""SELECT country, updated, deaths AS label, TRUE AS best_setting_refitted, {FOLLOWS}
         {TEST_ROWS}"""
     ),
+    "cross_validation_folds": _snap(
+        f"""SELECT country, updated, CAST({BUCKET.replace("% 10000", "% 3")} AS INTEGER) AS fold
+        FROM snap WHERE {USABLE}"""
+    ),
+    "released_caches": _snap(
+        f"""SELECT COUNT(*) AS tested, TRUE AS cached_while_open, 0 AS cached_after,
+        0 AS tables_after {TEST_ROWS}"""
+    ),
     "model_registry": _snap(
         f"SELECT country, updated, deaths AS label, TRUE AS same_prediction {TEST_ROWS}"
     ),
@@ -467,6 +554,14 @@ FROM (VALUES (50), (100), (200)) AS t(num_trees), (VALUES (5), (10), (15)) AS d(
           CAST(global_population AS VARCHAR) FROM s""",
         f"\ns AS (SELECT {SUMMARY} FROM snap)",
     ),
+    "compacted_run_log": _snap(
+        "\nUNION ALL ".join(
+            f"""SELECT continent AS run_id, 'metric' AS kind, '{key}' AS key,
+            CAST({key} AS VARCHAR) AS value, TRUE AS one_file FROM s"""
+            for key in ("total_countries", "global_cases", "global_deaths", "global_population")
+        ),
+        f"\ns AS (SELECT continent, {SUMMARY} FROM snap GROUP BY continent)",
+    ),
     "whole_batch": _snap(
         f"""SELECT COUNT(*) AS main_rows, CAST(SUM(cases) AS BIGINT) AS main_cases,
         COUNT(*) AS analyst_rows, CAST(SUM(cases) AS BIGINT) AS analyst_cases,

@@ -18,7 +18,8 @@ from epitally.functions.expressions import instant
 
 MAIN_FORMATS = ("parquet", "orc", "json")
 ANALYST_FORMATS = ("csv", "parquet")
-MODES = ("overwrite", "append")
+# "overwrite_partitions" replaces the partitions that the rows have, and no others.
+MODES = ("overwrite", "append", "overwrite_partitions")
 
 # The dialect of the analyst CSV. Null is an empty field and an empty string
 # is "", so a reader must be told to keep them apart; by default both come back as null.
@@ -46,11 +47,13 @@ class LakeConfig:
     partition_by: tuple[str, ...] = ()
     analyst_format: str = "csv"
     analyst_files: int | None = None
+    order_by: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         _one_of("main_format", self.main_format, MAIN_FORMATS)
         _one_of("analyst_format", self.analyst_format, ANALYST_FORMATS)
-        _one_of("mode", self.mode, MODES)
+        _check_partitions(_one_of("mode", self.mode, MODES), self.partition_by)
         if self.analyst_files is not None and self.analyst_files < 1:
             raise ValueError("analyst_files must be at least 1, or None")
 
@@ -67,6 +70,11 @@ def _one_of(name: str, value: str, allowed: Sequence[str]) -> str:
     return value.lower()
 
 
+def _check_partitions(mode: str, partition_by: Sequence[str]) -> None:
+    if mode == "overwrite_partitions" and not partition_by:
+        raise ValueError("overwrite_partitions needs partition_by columns")
+
+
 def stamp(df: DataFrame, batch_micros: int | None = None) -> DataFrame:
     """Add ``ingest_ts`` and ``ingest_date``, one value for the whole batch.
 
@@ -84,20 +92,44 @@ def write_main(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    order_by: Sequence[str] = (),
+    bloom: Sequence[str] = (),
+    row_group_bytes: int | None = None,
 ) -> None:
     """Columnar (or JSON) copy, optionally partitioned.
 
     Before a partitioned write rows are rebalanced by the partition columns: each value
     goes to few, evenly sized files, and a value with very many rows is split over tasks.
+
+    ``overwrite_partitions`` replaces only the partitions of which ``df`` has rows, each whole.
+
+    ``order_by`` deals rows to files by ranges of these columns, and sorts inside a file, so that
+    files and row groups hold short ranges, which a filter on them skips by their statistics. In
+    a partitioned write the ranges are inside a partition. ``bloom`` adds Bloom filters to Parquet
+    row groups, by which a search for single values skips those without them, in any order.
     """
     fmt = _one_of("main_format", fmt, MAIN_FORMATS)
-    if partition_by:
+    mode = _one_of("mode", mode, MODES)
+    _check_partitions(mode, partition_by)
+    if bloom and fmt != "parquet":
+        raise ValueError("Bloom filters are written to parquet only")
+    if order_by:
+        order = [*partition_by, *order_by]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode(_one_of("mode", mode, MODES))
+    dynamic = mode == "overwrite_partitions"
+    writer = df.write.format(fmt).mode("overwrite" if dynamic else mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
+        writer = writer.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic" if dynamic else "static"
+        )
     if fmt == "parquet":
         writer = writer.option("compression", "snappy")
+        if row_group_bytes is not None:
+            writer = writer.option("parquet.block.size", row_group_bytes)
+        for name in bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.save(path)
 
 
@@ -154,6 +186,8 @@ def dual_write(
             config.main_format,
             config.mode,
             config.partition_by,
+            config.order_by,
+            config.bloom,
         ),
         partial(
             write_analyst,

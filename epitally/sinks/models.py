@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from epitally.sinks.compact import compact
+
 # Default model name and the version format.
 MODEL_NAME = "random_forest_deaths_predictor"
 VERSION_FORMAT = "%Y%m%d_%H%M%S"
@@ -67,6 +69,14 @@ def registry(spark: SparkSession, base: str) -> DataFrame:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
+def compact_registry(spark: SparkSession, base: str, **options) -> int:
+    """Rewrite the registry's small files as few; options as :func:`compact`.
+
+    Versions that were registered again keep all their rows; the last one still counts.
+    """
+    return compact(spark, f"{base}/registry", REGISTRY_SCHEMA, **options)
+
+
 def load_model(
     spark: SparkSession, base: str, name: str = MODEL_NAME, version: str | None = None
 ) -> PipelineModel:

@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from epitally.sinks.compact import compact, distinct_rows
+
 SCHEMA = "run_id string, kind string, key string, value string, logged_at timestamp"
 
 
@@ -28,4 +30,10 @@ def log_run(
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+    """All logged rows, each once, also while a compaction is under way."""
+    return distinct_rows(spark.read.schema(SCHEMA).parquet(path))
+
+
+def compact_log(spark: SparkSession, path: str, **options) -> int:
+    """Rewrite the log's many small files as few; options as :func:`compact`."""
+    return compact(spark, path, SCHEMA, **options)

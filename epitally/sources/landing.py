@@ -85,17 +85,40 @@ def read_cases(spark: SparkSession, path: str | list[str], **options) -> DataFra
 def read_with_rejects(
     spark: SparkSession, path: str | list[str], layout: str = "documents"
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows that can be read, and ``(document)``: the texts that cannot.
+    """The rows that can be read, and ``(document)``: the texts that cannot, each one counted.
 
     A document is rejected whole, a line in the layout of lines and a file in that of
-    documents; it does not fail the scan. The scan is written once, so that both frames, and
-    a count of either, read columns of one table and agree.
+    documents; it does not fail the scan. A document that occurs and fails twice is two rejects.
+    Empty documents and nulls hold no rows and are no rejects.
+
+    Texts are parsed once, each a row of one written table, so that both frames, and a count of
+    either, agree; ``discard`` of either frame deletes that table.
     """
-    raw = written(scan_json(spark, path, layout, mode="PERMISSIVE", corrupt=True), "scanned")
-    bad = F.col(CORRUPT).isNotNull()
-    # Fields before the fault may have been read; no row of a rejected document is kept.
-    rejects = raw.where(bad).select(F.col(CORRUPT).alias("document")).distinct()
-    return flatten(raw.where(~bad)), rejects
+    if layout not in LAYOUTS:
+        raise ValueError(f"Unsupported layout={layout} ({'|'.join(LAYOUTS)})")
+    texts = spark.read.text(path, wholetext=layout == "documents").select(
+        F.col("value").alias("document")
+    )
+    body = F.trim(F.translate("document", "\r\n\t\ufeff", "   "))
+    # Inside an object the parser reports what it could not read; a lone object is an array of one.
+    listed = F.when(body.startswith("["), body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
+    wrapped = F.concat(F.lit('{"items":'), listed, F.lit("}"))
+    inner = T.StructType([T.StructField("items", T.ArrayType(RAW)), T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    read = texts.where(body != "").select("document", F.from_json(wrapped, inner, options).alias("read"))
+    bad = F.col(f"read.{CORRUPT}").isNotNull() | F.col("read.items").isNull()
+    raw = written(
+        read.select(
+            F.when(bad, F.col("document")).alias("document"),
+            # Fields before the fault may have been read; no row of a rejected document is kept.
+            F.when(~bad, F.filter("read.items", lambda x: x.isNotNull())).alias("items"),
+        ),
+        "scanned",
+    )
+    rejects = raw.where(F.col("document").isNotNull()).select("document")
+    good = flatten(raw.where(F.col("document").isNull()).select(F.inline("items")))
+    good._written_path = rejects._written_path = raw._written_path
+    return good, rejects
 
 
 def parse_documents(documents: DataFrame, body: str = "body") -> DataFrame:

@@ -63,6 +63,11 @@ def file_system(spark: SparkSession, path: str):
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, found = file_system(spark, path)
+    return files.exists(found)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, found = file_system(spark, path)
     files.delete(found, True)

@@ -5,9 +5,12 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from epitally.functions.expressions import per_million  # noqa: E402
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -41,23 +44,19 @@ def shared(spark):
 
 
 def valid_rows(spark, n: int) -> DataFrame:
-    """The model input of row i = 1..n, every number cut to a whole one."""
-    return (
-        spark.range(1, n + 1)
-        .selectExpr("1000000 + 10000 * id AS population")
-        .selectExpr("*", "CAST(FLOOR(population * 0.05D) AS BIGINT) AS cases")
-        .selectExpr("*", "CAST(FLOOR(cases * 0.3D) AS BIGINT) AS active")
-        .selectExpr(
-            "cases",
-            "active",
-            "CAST(FLOOR(active * 0.1D) AS BIGINT) AS critical",
-            "CAST(FLOOR(population * 0.2D) AS BIGINT) AS tests",
-            "population",
-            "cases * 1000000 div population AS casesPerOneMillion",
-            "CAST(FLOOR(cases * 0.02D) AS BIGINT) * 1000000 div population"
-            " AS deathsPerOneMillion",
-            "CAST(FLOOR(cases * 0.02D) AS BIGINT) AS deaths",
-        )
+    """Complete model inputs of ``n`` made-up countries, larger ones with more of everything."""
+    people = F.lit(40_000) + F.col("id") * 3_571
+    counters = {
+        "population": people,
+        "cases": F.floor(people / 9) + F.col("id") % 17,
+        "tests": F.floor(people / 2),
+        "active": F.floor(people / 70) + F.col("id") % 5,
+        "critical": F.floor(people / 900),
+        "deaths": F.floor(people / 450),
+    }
+    rows = spark.range(n).select(*[c.cast("long").alias(name) for name, c in counters.items()])
+    return rows.withColumns(
+        {f"{c}PerOneMillion": per_million(c, "population") for c in ("cases", "deaths")}
     )
 
 

@@ -1,0 +1,254 @@
+"""What is kept between batches: buckets, totals, the ledger of landed files, compacted logs."""
+
+from __future__ import annotations
+
+import os
+import time
+
+import pytest
+from conftest import SMALL, case_rows
+from pyspark.sql import functions as F
+
+from epitally.operators import summary as sm
+from epitally.operators import upsert as up
+from epitally.plans import bucketed, manifest, totals
+from epitally.plans.history import merge_into_history, read_history
+from epitally.schema import CASES
+from epitally.sinks import compact, models, runlog
+from epitally.sources import landing, ledger
+from epitally.sources import tables as tb
+from epitally.workspace import discard, written
+
+DAY = 86_400_000
+
+
+def plan_of(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def some(spark, *, days, countries, cases=1, **more):
+    return case_rows(
+        spark,
+        [
+            {
+                "country": f"c{c}", "updated": d * DAY, "continent": f"k{c % 2}", "cases": cases + c,
+                "deaths": c, "population": 1000 + c, "deathsPerOneMillion": 7 * c, **more,
+            }
+            for d in days
+            for c in countries
+        ],
+    )
+
+
+# Buckets
+
+
+@pytest.fixture
+def history_rows(spark):
+    return written(tb.order_history(spark, SMALL), "history"), written(
+        tb.shipment_batch(spark, SMALL), "batch"
+    )
+
+
+@pytest.mark.parametrize("partitions", ["4", "50"])
+def test_a_bucketed_merge_shuffles_the_batch_alone(spark, shared, history_rows, partitions):
+    target, batch = history_rows
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        bucketed.write_bucketed(target, shared, 6)
+        merged = bucketed.merged_buckets(batch, shared)
+        plan = plan_of(merged)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan
+    # The exchange is of the batch: the table's scan lies on the other side of the join.
+    assert plan.index("Bucketed: true") < plan.index("Exchange ")
+    assert rows_of(merged) == rows_of(up.merge(target, batch))
+
+
+def test_a_merged_table_keeps_one_file_a_bucket(spark, shared, history_rows):
+    target, batch = history_rows
+    bucketed.write_bucketed(target, shared, 3)
+    after = bucketed.merge_into_bucketed(batch, shared)
+    assert rows_of(after) == rows_of(up.merge(target, batch))
+    assert len(after.inputFiles()) == 3
+    again = bucketed.merge_into_bucketed(batch, shared)
+    assert rows_of(again) == rows_of(after)
+    # The version in force and the one before are kept.
+    assert len(manifest.names(spark, f"{shared}/data")) == 2
+    assert spark.catalog.listTables() == [] or all(
+        not t.name.startswith("epitally_") for t in spark.catalog.listTables()
+    )
+
+
+def test_a_merge_that_fails_leaves_the_buckets(spark, shared, monkeypatch):
+    bucketed.write_bucketed(some(spark, days=[1], countries=range(5)), shared, 2)
+    before = rows_of(bucketed.read_bucketed(spark, shared))
+    batch = some(spark, days=[1, 2], countries=range(3), cases=50)
+    with monkeypatch.context() as broken:
+        broken.setattr(bucketed, "publish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            bucketed.merge_into_bucketed(batch, shared)
+    assert rows_of(bucketed.read_bucketed(spark, shared)) == before
+    twice = batch.union(batch)
+    with pytest.raises(Exception, match="more than once"):
+        bucketed.merge_into_bucketed(twice, shared)
+    assert len(bucketed.merge_into_bucketed(batch, shared).collect()) == 8
+
+
+def test_an_empty_bucketed_table(spark, shared):
+    with pytest.raises(LookupError):
+        bucketed.read_bucketed(spark, shared)
+    bucketed.write_bucketed(spark.createDataFrame([], CASES), shared, 2)
+    assert bucketed.read_bucketed(spark, shared).count() == 0
+    batch = some(spark, days=[1], countries=range(4))
+    assert bucketed.merge_into_bucketed(batch, shared, up.ALL_COLUMNS).count() == 4
+
+
+# Totals
+
+
+def test_kept_totals_equal_a_full_recompute(spark, shared):
+    path, state = f"{shared}/history", f"{shared}/state"
+    batches = [
+        some(spark, days=[1, 2, 3], countries=range(6)),
+        some(spark, days=[2], countries=range(3, 9), cases=100),
+        some(spark, days=[4, 5], countries=[1]),
+        some(spark, days=[1], countries=[2], deathsPerOneMillion=None, deaths=None),
+    ]
+    read = []
+    for batch in batches:
+        merge_into_history(batch, path, up.ALL_COLUMNS)
+        read.append(totals.refresh(spark, path, state))
+        history = read_history(spark, path)
+        whole = sm.global_summary(history).first().asDict()
+        assert totals.kept_summary(spark, state).first().asDict() == whole
+        assert rows_of(totals.kept_summary(spark, state, "continent")) == rows_of(
+            sm.continent_summary(history)
+        )
+    assert [len(r) for r in read] == [3, 1, 2, 1]
+    assert read[1] == ["1970-01-03"]
+    assert totals.refresh(spark, path, state) == []
+
+
+def test_totals_skip_a_refresh_and_survive_a_broken_one(spark, shared, monkeypatch):
+    path, state = f"{shared}/history", f"{shared}/state"
+    assert totals.refresh(spark, path, state) == []
+    assert totals.kept_summary(spark, state).first()["total_countries"] == 0
+    merge_into_history(some(spark, days=[1], countries=range(4)), path, up.ALL_COLUMNS)
+    merge_into_history(some(spark, days=[1, 2], countries=range(6)), path, up.ALL_COLUMNS)
+    with monkeypatch.context() as broken:
+        broken.setattr(totals, "publish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            totals.refresh(spark, path, state)
+    assert totals.refresh(spark, path, state) == ["1970-01-02", "1970-01-03"]
+    assert len(manifest.names(spark, f"{state}/data")) == 1
+    assert totals.kept_summary(spark, state).first()["total_countries"] == 12
+
+
+# The ledger
+
+
+def land(spark, folder, name, countries, cases=1):
+    rows = landing.to_raw(some(spark, days=[1], countries=countries, cases=cases))
+    rows.coalesce(1).write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def test_landed_files_are_read_once(spark, tmp_path):
+    folder, entries = str(tmp_path / "landing"), str(tmp_path / "ledger")
+
+    def batch(name):
+        found = ledger.new_cases(spark, folder, entries, name, "*.json", layout="lines")
+        return found, sorted(r["country"] for r in found.cases.collect())
+
+    land(spark, folder, "a", range(3))
+    first, countries = batch("1")
+    assert countries == ["c0", "c1", "c2"] and len(first.files) == 1
+    # Not committed: a batch that failed finds the same files again.
+    assert batch("1")[1] == countries
+    first.commit()
+    first.commit()
+    assert batch("2")[1] == []
+    land(spark, folder, "b", range(3, 5))
+    second, countries = batch("2")
+    assert countries == ["c3", "c4"]
+    assert all("/b/" in f for f in second.cases.inputFiles())
+    second.commit()
+    # A file landed again under its old name is a new one.
+    (old,) = [f for f in (tmp_path / "landing" / "a").iterdir() if f.suffix == ".json"]
+    later = time.time() + 10
+    os.utime(old, (later, later))
+    assert batch("3")[1] == ["c0", "c1", "c2"]
+    empty, _ = batch("4")
+    assert empty.cases.schema == CASES
+
+
+# Compaction
+
+
+def test_a_log_is_compacted_to_the_same_rows(spark, shared):
+    for i in range(6):
+        runlog.log_run(spark, shared, f"run-{i}", params={"a": i, "b": None}, metrics={"m": 0.5})
+    before = rows_of(runlog.read_log(spark, shared))
+    assert runlog.compact_log(spark, shared, least_files=7) == 6
+    assert runlog.compact_log(spark, shared, least_files=2) == 1
+    assert rows_of(runlog.read_log(spark, shared)) == before and len(before) == 18
+    assert runlog.compact_log(spark, shared, least_files=1) == 1
+    runlog.log_run(spark, shared, "run-6", metrics={"m": 1})
+    assert len(compact.data_files(spark, shared)) == 2
+    assert runlog.read_log(spark, shared).count() == 19
+
+
+def test_a_broken_compaction_can_be_repeated(spark, shared, monkeypatch):
+    for i in range(4):
+        runlog.log_run(spark, shared, f"run-{i}", params={"a": i})
+    before = rows_of(runlog.read_log(spark, shared))
+    with monkeypatch.context() as broken:
+        broken.setattr(compact, "delete", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            runlog.compact_log(spark, shared, least_files=2)
+    # Both copies are there, and each row still counts once.
+    assert len(compact.data_files(spark, shared)) == 5
+    assert rows_of(runlog.read_log(spark, shared)) == before
+    assert runlog.compact_log(spark, shared, least_files=2) == 1
+    assert rows_of(runlog.read_log(spark, shared)) == before
+    assert not [n for n in manifest.names(spark, shared) if n.startswith(compact.DRAFT)]
+
+
+def test_a_registry_is_compacted(spark, shared):
+    rows = [("m", str(i), f"p{i}", None, {"rmse": float(i), "r2": None}) for i in range(5)]
+    for r in rows:
+        frame = spark.createDataFrame([r], models.REGISTRY_SCHEMA)
+        frame.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(
+            f"{shared}/registry"
+        )
+    before = sorted((r.version, tuple(sorted(r.metrics.items()))) for r in models.registry(spark, shared).collect())
+    assert models.compact_registry(spark, shared, least_files=2) == 1
+    after = sorted((r.version, tuple(sorted(r.metrics.items()))) for r in models.registry(spark, shared).collect())
+    assert after == before and len(after) == 5
+
+
+def test_nothing_to_compact(spark, shared):
+    assert compact.compact(spark, shared, runlog.SCHEMA) == 0
+
+
+def test_rejects_are_counted_one_by_one(spark, tmp_path):
+    good = '[{"country": "A", "updated": 1, "cases": 2}]'
+    lines = [good, '{"country": "B", "updated": 1}', "", *['{"country": "C", "cases": '] * 3]
+    lines += ['[{"country": "D"}, {"country": "E", "cases": "x"}]', "nonsense", "null"]
+    (tmp_path / "feed.json").write_text("\n".join(lines))
+    rows, bad = landing.read_with_rejects(spark, str(tmp_path), "lines")
+    assert sorted(r.country for r in rows.collect()) == ["A", "B"]
+    found = sorted(r.document for r in bad.collect())
+    assert found == sorted(lines[3:-1])
+    discard(spark, bad)
+    with pytest.raises(Exception, match="(?i)does not exist|not found"):
+        rows.collect()

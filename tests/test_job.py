@@ -8,7 +8,7 @@ from conftest import SMALL, valid_rows
 from pyspark.sql import functions as F
 
 from epitally.operators.forest import ForestParams
-from epitally.operators.quality import QualityError
+from epitally.operators.quality import QualityError, quarantine
 from epitally.plans.job import JobConfig, run_job
 from epitally.plans.learning import LearningConfig
 from epitally.schema import CASES, KEYS
@@ -111,15 +111,6 @@ def test_run_log_appends(spark, shared):
     ]
 
 
-def test_generator_first_row(spark):
-    row = valid_rows(spark, 1).first().asDict()
-    assert row == {
-        "cases": 50500,
-        "active": 15150,
-        "critical": 1515,
-        "tests": 202000,
-        "population": 1010000,
-        "casesPerOneMillion": 50000,
-        "deathsPerOneMillion": 1000,
-        "deaths": 1010,
-    }
+def test_generated_rows_keep_all_rules(spark):
+    assert valid_rows(spark, 30).count() == 30
+    assert quarantine(valid_rows(spark, 30)).bad_rows == 0

@@ -125,7 +125,7 @@ def test_unknown_formats_fail_before_any_write(rows, shared):
     for settings, message in (
         ({"main_format": "avro"}, r"Unsupported main_format=avro \(parquet\|orc\|json\)"),
         ({"analyst_format": "xls"}, r"Unsupported analyst_format=xls \(csv\|parquet\)"),
-        ({"mode": "upsert"}, r"Unsupported mode=upsert \(overwrite\|append\)"),
+        ({"mode": "upsert"}, r"Unsupported mode=upsert \(overwrite\|append\|overwrite_partitions\)"),
         ({"analyst_files": 0}, "at least 1"),
     ):
         with pytest.raises(ValueError, match=message):
@@ -180,3 +180,87 @@ def test_background_export(spark, rows, shared):
     thread = lake.export_in_background(rows, lake.LakeConfig(shared), "d")
     thread.join(60)
     assert spark.read.parquet(f"{shared}/main/d").count() == 3
+
+
+@pytest.mark.parametrize("fmt", lake.MAIN_FORMATS)
+def test_overwrite_of_partitions_leaves_the_others(spark, shared, fmt):
+    rows = case_rows(
+        spark,
+        [{"country": f"{k}{i}", "updated": i, "continent": k, "cases": 1} for k in "XYZ" for i in range(4)],
+    )
+    lake.write_main(rows, shared, fmt, partition_by=("continent",))
+    before = {f: f.stat().st_mtime_ns for f in _parts(shared, "X") + _parts(shared, "Z")}
+    again = rows.where("continent = 'Y' AND updated < 2").withColumn("cases", F.lit(9).cast("long"))
+    lake.write_main(again, shared, fmt, "overwrite_partitions", ("continent",))
+    found = lake.read_main(spark, shared, CASES, fmt)
+    assert sorted((r.country, r.cases) for r in found.collect()) == sorted(
+        [(f"{k}{i}", 1) for k in "XZ" for i in range(4)] + [("Y0", 9), ("Y1", 9)]
+    )
+    assert {f: f.stat().st_mtime_ns for f in before} == before
+    # Rows of no partition replace nothing.
+    lake.write_main(again.limit(0), shared, fmt, "overwrite_partitions", ("continent",))
+    assert lake.read_main(spark, shared, CASES, fmt).count() == 10
+
+
+def _parts(path: str, continent: str) -> list[Path]:
+    return sorted(Path(path.removeprefix("file:")).glob(f"continent={continent}/part-*"))
+
+
+def test_overwrite_of_partitions_needs_partitions(rows, shared):
+    with pytest.raises(ValueError, match="partition_by"):
+        lake.write_main(rows, shared, mode="overwrite_partitions")
+    with pytest.raises(ValueError, match="partition_by"):
+        lake.LakeConfig("x", mode="overwrite_partitions")
+
+
+def _scanned(df) -> int:
+    """Rows that the scan gave to the filter above it."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def _many(spark):
+    """Rows in no order by key."""
+    return spark.range(40_000).selectExpr(
+        "CAST(id AS BIGINT) AS updated", "md5(CAST(id AS STRING)) AS country", "id % 7 AS cases"
+    ).repartition(2)
+
+
+def test_bloom_filters_skip_row_groups(spark, shared):
+    rows = _many(spark)
+    lake.write_main(rows, f"{shared}/plain", row_group_bytes=64 * 1024)
+    lake.write_main(rows, f"{shared}/bloom", bloom=("country",), row_group_bytes=64 * 1024)
+    # Between the least and the greatest value of every row group, and in one of them.
+    wanted = "country = md5('12345')"
+    plain = spark.read.parquet(f"{shared}/plain").where(wanted)
+    bloom = spark.read.parquet(f"{shared}/bloom").where(wanted)
+    assert plain.count() == bloom.count() == 1
+    assert _scanned(bloom) < _scanned(plain) / 2
+    with pytest.raises(ValueError, match="Bloom"):
+        lake.write_main(rows, f"{shared}/orc", "orc", bloom=("country",))
+
+
+def test_order_in_files_skips_row_groups(spark, shared):
+    rows = _many(spark)
+    lake.write_main(rows, f"{shared}/plain", row_group_bytes=64 * 1024)
+    lake.write_main(rows, f"{shared}/ordered", order_by=("updated",), row_group_bytes=64 * 1024)
+    wanted = "updated BETWEEN 12000 AND 12500"
+    plain = spark.read.parquet(f"{shared}/plain").where(wanted)
+    ordered = spark.read.parquet(f"{shared}/ordered").where(wanted)
+    assert plain.count() == ordered.count() == 501
+    assert _scanned(ordered) < _scanned(plain) / 4
+
+
+def test_order_goes_with_partitions(spark, shared):
+    rows = case_rows(
+        spark,
+        [{"country": f"c{i:03}", "updated": i, "continent": "XY"[i % 2]} for i in range(100)],
+    )
+    lake.write_main(rows, shared, partition_by=("continent",), order_by=("country",), bloom=("country",))
+    assert lake.read_main(spark, shared, CASES).count() == 100
+    for file in _parts(shared, "X"):
+        names = [r.country for r in spark.read.parquet(str(file)).collect()]
+        assert names == sorted(names)

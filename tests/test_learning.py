@@ -8,11 +8,16 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from epitally.functions.expressions import null_where
+from epitally.functions.expressions import hash_place, null_where
 from epitally.operators import evaluate as ev
 from epitally.operators import features as ft
-from epitally.operators.forest import ForestParams, GridParams, fit_forest_on_vectors
-from epitally.operators.split import hash_split, random_split
+from epitally.operators.forest import (
+    ForestParams,
+    GridParams,
+    fit_forest_on_vectors,
+    with_fold,
+)
+from epitally.operators.split import hash_split, random_split, stratified_split, stratum_cuts
 from epitally.plans.learning import LearningConfig, run_learning, train_and_test
 from epitally.schema import FEATURES, STRICT_FEATURES
 from epitally.workspace import written
@@ -92,11 +97,15 @@ def test_missing_columns(spark):
         run_learning(empty)
 
 
+def fifth():
+    """0 to 4 in turn, row by row of ``valid_rows``."""
+    return (F.col("population") - 40_000) / 3_571 % 5
+
+
 def with_nulls(spark, n):
-    fifth = F.col("population") / 10_000 % 5
     rows = valid_rows(spark, n)
-    return rows.withColumn("cases", null_where("cases", fifth == 0)).withColumn(
-        "active", null_where("active", fifth == 1)
+    return rows.withColumn("cases", null_where("cases", fifth() == 0)).withColumn(
+        "active", null_where("active", fifth() == 1)
     )
 
 
@@ -112,7 +121,7 @@ def test_rows_with_nulls_are_skipped(spark):
 
 def test_null_labels_are_dropped_and_counted(spark):
     rows = with_nulls(spark, 100).withColumn(
-        "deaths", null_where("deaths", F.col("population") / 10_000 % 5 >= 3)
+        "deaths", null_where("deaths", fifth() >= 3)
     )
     assert as_dicts(ft.dropped_rows(rows)) == [
         {"row_count": 100, "invalid_features": 40, "missing_labels": 40}
@@ -295,5 +304,69 @@ def test_error_stats_and_sample(spark):
 
 
 def test_unknown_split():
-    with pytest.raises(ValueError, match="Unsupported split=stratified"):
-        LearningConfig(split="stratified")
+    with pytest.raises(ValueError, match="Unsupported split=alphabetic"):
+        LearningConfig(split="alphabetic")
+
+
+@pytest.mark.parametrize("cell_bits", [1, 4, 16])
+def test_a_stratified_split_meets_every_quota(spark, cell_bits):
+    """A hot stratum, small ones, one row alone and a null stratum."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2990, F.col("id").cast("string").substr(3, 1))
+        .when(F.col("id") < 2999, None).otherwise("alone").alias("s"),
+    )
+    rows = written(rows, "rows")
+    train, test = stratified_split(rows, ["s"], ["k"], 0.7, cell_bits=cell_bits)
+    assert train.columns == rows.columns
+    whole = {r.s: r["count"] for r in rows.groupBy("s").count().collect()}
+    part = {r.s: r["count"] for r in train.groupBy("s").count().collect()}
+    assert {s: part.get(s, 0) for s in whole} == {s: int(n * 0.7 + 0.5) for s, n in whole.items()}
+    assert sorted(r.k for r in train.union(test).collect()) == list(range(3000))
+    other, _ = stratified_split(rows.repartition(5), ["s"], ["k"], 0.7, cell_bits=12)
+    assert sorted(r.k for r in train.collect()) == sorted(r.k for r in other.collect())
+
+
+def test_a_stratified_split_orders_one_cell_of_a_stratum(spark):
+    """Of a stratum with all rows only the cell that the quota ends in reaches the window."""
+    rows = written(spark.range(20_000).selectExpr("id AS k", "'all' AS s"), "rows")
+    cuts = stratum_cuts(rows, ["s"], ["k"], 0.8, cell_bits=8)
+    row = cuts.first()
+    assert (row.s0, row["rows"], row.quota) == ("all", 20_000, 16_000)
+    place = hash_place(["k"], 42)
+    cell = row.cut.place >> (60 - 8)
+    assert rows.where(F.shiftright(place, 60 - 8) == cell).count() < 200
+    assert rows.where(place <= row.cut.place).count() == 16_000
+
+
+def test_stratified_learning(spark):
+    with pytest.raises(ValueError, match="strata"):
+        LearningConfig(split="stratified", keys=("population",))
+    rows = valid_rows(spark, 60).withColumn("continent", F.when(F.col("population") % 2 == 0, "even").otherwise("odd"))
+    config = LearningConfig(split="stratified", keys=("population",), strata=("continent",),
+                            train_ratio=0.5, forest=ForestParams(3, 3))
+    result = run_learning(rows, config)
+    odd = result.predictions.groupBy((F.col("population") % 2).alias("odd")).count().collect()
+    assert {r.odd: r["count"] for r in odd} == {0: 15, 1: 15}
+    result.close()
+
+
+def test_folds_go_by_the_key_alone(spark):
+    rows = valid_rows(spark, 90)
+    folds = [
+        {r.population: r.fold for r in with_fold(rows.repartition(n), ["population"], 3, 42).collect()}
+        for n in (1, 7)
+    ]
+    assert folds[0] == folds[1] and set(folds[0].values()) == {0, 1, 2}
+
+
+def test_a_search_depends_on_the_rows_alone(spark, shared):
+    valid_rows(spark, 90).coalesce(1).write.parquet(shared)
+    grid = GridParams(num_trees=(3,), max_depth=(2, 4), min_instances_per_node=(1,), folds=3)
+    config = LearningConfig(split="hash", keys=("population",), cross_validation=True, grid=grid)
+    found = []
+    for parts in (1, 5):
+        result = run_learning(spark.read.parquet(shared).repartition(parts), config)
+        found.append(result.search.avgMetrics)
+        result.close()
+    assert found[0] == pytest.approx(found[1], abs=1e-9)

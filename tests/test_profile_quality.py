@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import pytest
 from conftest import as_dicts, case_rows, valid_rows
+from pyspark.sql import functions as F
 
 from epitally.operators import profile as pf
 from epitally.operators import quality as q
 from epitally.schema import REQUIRED
+from epitally.workspace import discard, written
 
 
 def test_profile_of_rows(spark):
@@ -116,3 +118,86 @@ def test_key_checks(spark):
         {"value": 0.0},
         {"value": 0.0},
     ]
+
+
+def jobs(spark, work) -> int:
+    """How many jobs ``work`` starts."""
+    context, name = spark.sparkContext, f"group-{id(work)}"
+    context.setJobGroup(name, "counted")
+    try:
+        work()
+    finally:
+        context._jsc.clearJobGroup()
+    return len(context.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.mark.parametrize("rows", [0, 5, 20])
+def test_observed_checks_equal_checks_by_a_scan(spark, rows):
+    df = valid_rows(spark, rows).selectExpr("*", "'X' AS country")
+    observed, seen = q.observe_profile(df)
+    assert observed.columns == df.columns
+    limits = {"max_null_ratio": {"deaths": 0.1}, "bounds": {"min_cases": (0, 9)}}
+    written(observed, "observed")
+    assert as_dicts(seen.checks(spark, **limits)) == as_dicts(q.validate(df, **limits))
+
+
+def test_observed_checks_start_no_job_over_the_data(spark):
+    df = written(valid_rows(spark, 20).selectExpr("*", "'X' AS country"), "rows")
+    observed, seen = q.observe_profile(df)
+    assert jobs(spark, lambda: written(observed, "observed")) == jobs(
+        spark, lambda: written(df, "plain")
+    )
+    plan = seen.checks(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan
+
+
+def test_observed_checks_name_missing_columns(spark):
+    df = valid_rows(spark, 12).drop("cases", "tests")
+    observed, seen = q.observe_profile(df)
+    written(observed, "observed")
+    checks = {r.check: r.passed for r in seen.checks(spark).collect()}
+    assert not checks["has_cases"] and not checks["has_country"] and checks["has_deaths"]
+
+
+def test_quarantine(spark):
+    rows = case_rows(
+        spark,
+        [
+            {"country": "good", "updated": 1, "cases": 5, "deaths": 1},
+            {"country": None, "updated": 1, "cases": -5, "deaths": 1},
+            {"country": "nulls break no rule", "updated": 1},
+            {"country": "dead", "updated": 1, "cases": 5, "deaths": 9, "recovered": 6},
+        ],
+    )
+    parts = q.quarantine(rows)
+    assert (parts.rows, parts.bad_rows) == (4, 2)
+    bad = {r.country: r.broken for r in parts.bad.collect()}
+    assert bad == {
+        None: ["country_missing", "cases_negative", "deaths_over_cases"],
+        "dead": ["deaths_over_cases", "recovered_over_cases"],
+    }
+    assert parts.by_rule["deaths_over_cases"] == 2 and parts.by_rule["tests_negative"] == 0
+    assert parts.good.columns == rows.columns and parts.good.count() == 2
+    # Neither part reads the files of the other.
+    assert not set(_files(parts.good)) & set(_files(parts.bad))
+    discard(spark, parts.good)
+
+
+def _files(df) -> list[str]:
+    return [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
+
+
+def test_quarantine_is_one_pass(spark):
+    df = written(valid_rows(spark, 50), "rows")
+    assert jobs(spark, lambda: q.quarantine(df, {"few": F.col("cases") > 10_000})) == jobs(
+        spark, lambda: written(df, "plain")
+    )
+
+
+def test_quarantine_of_nothing_and_without_rules(spark):
+    empty = q.quarantine(valid_rows(spark, 0))
+    assert (empty.rows, empty.bad_rows, empty.good.count(), empty.bad.count()) == (0, 0, 0, 0)
+    sure = q.quarantine(valid_rows(spark, 3), {})
+    assert (sure.rows, sure.bad_rows, sure.by_rule) == (3, 0, {})
+    with pytest.raises(ValueError, match="broken"):
+        q.flag_rows(valid_rows(spark, 1).withColumn("broken", F.lit(1)))

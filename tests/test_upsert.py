@@ -261,7 +261,7 @@ def test_history_keeps_untouched_days(spark, shared):
     assert table_of(repeated.drop(DAY)) == found
 
 
-@pytest.mark.parametrize("step", ["_write_days", "_publish", "_clean"])
+@pytest.mark.parametrize("step", ["_write_days", "publish", "_clean"])
 @pytest.mark.parametrize("after", [False, True])
 def test_a_broken_merge_can_be_repeated(spark, shared, monkeypatch, step, after):
     first = day_rows([("A", 0, 1), ("B", 0, 2), ("A", 1, 3)])
@@ -299,7 +299,7 @@ def test_a_reader_that_has_begun_can_finish(spark, shared):
 def test_a_second_writer_is_refused(spark, shared):
     merge_into_history(case_rows(spark, day_rows([("A", 0, 1)])), shared)
     with pytest.raises(RuntimeError, match="Another writer"):
-        history._publish(spark, shared, 1, {})
+        history.publish(spark, shared, 1, {})
     assert read_history(spark, shared).count() == 1
 
 
