@@ -7,8 +7,10 @@ window, so equal windows have equal results wherever they stand, and a task keep
 memo of them: every byte of every text is labelled, but a word met before costs a look-up. A
 document's probabilities are the mean over all its positions.
 
-Training runs in numpy on the driver, by backpropagation through time, from a bounded sample of
-labelled texts. What is sent to tasks is the network, some tens of thousands of numbers.
+Training runs in numpy on the driver, by backpropagation through time. Every language is
+learned, from a bounded number of different texts and of windows of each text; the windows are
+drawn in tasks from whole texts, and only they reach the driver. What that holds, and the
+network sent to tasks, grows with the number of languages, not with the number of rows.
 """
 
 from __future__ import annotations
@@ -20,19 +22,21 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.llm.common import slices, span_hashes, text_bytes, word_spans
+from epitally.llm.common import hash_pair, slices, span_hashes, text_bytes, word_spans
+from epitally.workspace import discard, written
 
 UNKNOWN = "und"
 HIDDEN = 16
 WINDOW = 24
-# Bounds of the training sample: languages, texts of each, characters of a text, windows of each.
-SAMPLE_LANGUAGES = 200
+# Bounds of the training sample for each language: different texts, and windows learned from.
 SAMPLE_ROWS = 300
-SAMPLE_CHARS = 3_000
 SAMPLE_WINDOWS = 24_000
+# Windows drawn from one text, evenly over all of it.
+TEXT_WINDOWS = 400
 EPOCHS = 3
 BATCH = 256
 # Windows a task remembers before it starts anew.
@@ -169,31 +173,54 @@ def padded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return x, at <= lengths
 
 
+def drawn_windows(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """For each text up to ``TEXT_WINDOWS`` of its windows, evenly over it: a row each, with the
+    length first and then the bytes, padded."""
+    data = _LOWER[data]
+    starts, ends, first = windows_of(data, offsets)
+    out = []
+    for a, b in zip(first, first[1:]):
+        at = np.arange(a, b)
+        if b - a > TEXT_WINDOWS:
+            at = a + (np.arange(TEXT_WINDOWS) * (b - a)) // TEXT_WINDOWS
+        lengths = (ends - starts)[at]
+        rows = np.zeros((len(at), WINDOW + 1), np.uint8)
+        rows[:, 0] = lengths
+        place = np.arange(WINDOW)
+        inside = place < lengths[:, None]
+        rows[:, 1:][inside] = data[(starts[at][:, None] + place)[inside]]
+        out.append(rows)
+    return out
+
+
 def fit(texts: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 7) -> LanguageModel:
-    """Train on texts by language; each gives at most ``SAMPLE_WINDOWS`` windows.
+    """Train on texts by language, on windows that :func:`drawn_windows` takes of each."""
+    found = {}
+    for name, some in texts.items():
+        drawn = drawn_windows(*text_bytes(pa.array(some, pa.string())))
+        found[name] = np.concatenate([np.zeros((0, WINDOW + 1), np.uint8), *drawn])
+    return fit_windows(found, epochs, seed)
 
-    The same number of windows is drawn for every language, so a rare one counts as much.
-    """
-    languages = tuple(sorted(k for k, v in texts.items() if any(v)))
+
+def fit_windows(
+    windows: dict[str, np.ndarray], epochs: int = EPOCHS, seed: int = 7
+) -> LanguageModel:
+    """Train on windows by language, of each a random ``SAMPLE_WINDOWS``, repeated if there are
+    fewer, so that a rare language counts as much as a common one."""
+    languages = tuple(sorted(k for k, v in windows.items() if len(v)))
     if not languages:
         return LanguageModel((), {})
     rng = np.random.default_rng(seed)
-    bytes_, starts, ends, labels, base = [], [], [], [], 0
+    taken, labels = [], []
     for i, name in enumerate(languages):
-        data, offsets = text_bytes(pa.array(texts[name], pa.string()))
-        begin, stop, _ = windows_of(data, offsets)
-        if not len(begin):
-            continue
-        take = rng.choice(len(begin), SAMPLE_WINDOWS, replace=len(begin) < SAMPLE_WINDOWS)
-        bytes_.append(_LOWER[data])
-        starts.append(begin[take] + base)
-        ends.append(stop[take] + base)
-        labels.append(np.full(len(take), i))
-        base += len(data)
-    if not starts:
-        return LanguageModel((), {})
-    data = np.concatenate(bytes_)
-    begin, stop, label = map(np.concatenate, (starts, ends, labels))
+        have = windows[name]
+        take = rng.choice(len(have), SAMPLE_WINDOWS, replace=len(have) < SAMPLE_WINDOWS)
+        taken.append(have[take])
+        labels.append(np.full(SAMPLE_WINDOWS, i))
+    rows, label = np.concatenate(taken), np.concatenate(labels)
+    begin = np.arange(len(rows)) * (WINDOW + 1) + 1
+    stop = begin + rows[:, 0]
+    data = rows.ravel()
     w = new_weights(len(languages), seed=seed)
     m = {k: np.zeros_like(v) for k, v in w.items()}
     v = {k: np.zeros_like(x) for k, x in w.items()}
@@ -222,39 +249,63 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _drawn(sample: DataFrame) -> DataFrame:
+    """``(lang, place, windows)`` of the texts of a sample, the windows as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = drawn_windows(*text_bytes(part.column("text")))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("lang"),
+                        part.column("place"),
+                        pa.array([r.tobytes() for r in rows], pa.binary()),
+                    ],
+                    names=["lang", "place", "windows"],
+                )
+
+    return sample.select("lang", "place", "text").mapInArrow(
+        run, "lang string, place long, windows binary"
+    )
+
+
 def train(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS
 ) -> LanguageModel:
-    """Fit on a bounded sample of rows with a key, a text and a language, none of them held out.
+    """Fit on rows with a key, a text and a language, none of them held out.
 
-    Of the ``SAMPLE_LANGUAGES`` commonest languages, each gives about ``rows`` texts, those
-    with the smallest hash of key and text, and the first ``SAMPLE_CHARS`` characters of each;
-    a language with fewer gives all of them.
+    Every language is learned, from ``rows`` different texts of it, those with the smallest
+    hash; a language with fewer gives all of them. Equal texts of a language are one, however
+    often they occur, so neither copies nor common languages take the place of others. Texts
+    without a word are not learned from. Whole texts take part; see :func:`drawn_windows`.
+
+    Hashes are ranked first, each task sending its first ``rows`` of a language; the texts of
+    the sample alone are then read again.
     """
     known = docs.where(
         ~held_out(F.col(key)) & F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(lang).isNotNull()
     )
-    counts = known.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l")
-    counts = counts.limit(SAMPLE_LANGUAGES).collect()
-    if not counts:
-        return LanguageModel((), {})
-    share = None
-    for r in counts:
-        part = F.lit(min(1.0, 1.3 * rows / r["count"]))
-        is_it = F.col(lang) == r["l"]
-        share = F.when(is_it, part) if share is None else share.when(is_it, part)
-    drawn = F.xxhash64(key, text)
-    chance = F.pmod(drawn, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # The expected number of rows is 1.3 times the bound; repeated rows cannot exceed the limit.
-    sample = (
-        known.where(chance < share)
-        .select(F.substring(text, 1, SAMPLE_CHARS).alias("_text"), F.col(lang).alias("_lang"), drawn.alias("_at"))
-        .orderBy("_at", "_lang")
-        .limit(2 * rows * len(counts))
-        .toPandas()
+    known = known.where(F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    known = known.select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
+        *[h.alias(f"h{i}") for i, h in enumerate(hash_pair(F.col(lang), F.col(text)))],
+    )
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h0", "h1"))
+    different = known.select("lang", "h0", "h1").distinct()
+    sample = different.withColumn("rank", rank).where(F.col("rank") <= rows).select("h0", "h1")
+    sample = written(sample, "sample")
+    texts = known.join(sample, ["h0", "h1"]).dropDuplicates(["h0", "h1"])
+    found = _drawn(texts.withColumnRenamed("h0", "place")).toPandas().sort_values(["lang", "place"])
+    discard(docs.sparkSession, sample)
+    return fit_windows(
+        {
+            name: np.concatenate(
+                [np.frombuffer(w, np.uint8).reshape(-1, WINDOW + 1) for w in group]
+            )
+            for name, group in found.groupby("lang", sort=True)["windows"]
+        }
     )
-    groups = sample.groupby("_lang", sort=True)["_text"]
-    return fit({name: list(texts.head(rows)) for name, texts in groups})
 
 
 class _Labeller:

@@ -1,12 +1,13 @@
 """Quality rules: an n-gram classifier with calibrated probabilities, and fixed rules.
 
 The classifier is a logistic regression on hashed n-grams: single words and word pairs, and
-runs of 2 to 4 bytes inside a text, each group as shares that add up to one. It is trained
-with numpy on the driver from a bounded sample of labelled rows; a part of the sample that
-training does not see calibrates the score to a probability (Platt scaling). Its weights are
-one array of ``DIMENSIONS`` numbers, so what is sent to the tasks does not grow with the data.
-Scoring works on whole texts in Arrow batches, with array operations over all bytes of a
-slice; there is no shuffle.
+runs of 2 to 4 characters inside a text, each group as shares that add up to one. It is trained
+with numpy on the driver from a bounded number of labelled rows of each kind. Tasks count the
+n-grams of their whole texts, and only these sparse counts reach the driver. A part of the sample
+that training does not see calibrates the score to a probability (Platt scaling), with weights
+that restore how common either kind is. The weights are one array of ``DIMENSIONS`` numbers, so
+what is sent to the tasks does not grow with the data. Scoring works on whole texts in Arrow
+batches, with array operations over all characters of a slice; there is no shuffle.
 """
 
 from __future__ import annotations
@@ -17,16 +18,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.llm.common import mixed, slices, span_hashes, text_bytes, word_spans
+from epitally.llm.common import hash_pair, mixed, slices, span_hashes, text_bytes, word_spans
+from epitally.workspace import discard, written
 
 DIMENSIONS = 1 << 18
-BYTE_RUNS = (2, 3, 4)
-# Bounds of the training sample: labelled rows, and characters of each text.
-SAMPLE_ROWS = 3_000
-SAMPLE_CHARS = 4_000
+CHARACTER_RUNS = (2, 3, 4)
+# Bound of the training sample: different labelled rows of each kind.
+SAMPLE_ROWS = 1_200
 ROUNDS = 80
 PENALTY = 1e-5
 # Fixed thresholds of the rules.
@@ -41,7 +43,7 @@ _BREAK = ord("\n")
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Weights of the hashed n-grams (words first, bytes second), bias, calibration."""
+    """Weights of the hashed n-grams (words first, characters second), bias, calibration."""
 
     weights: np.ndarray
     bias: float
@@ -60,15 +62,35 @@ def _word_features(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np
     return hashed.astype(np.int64), owner
 
 
-def _byte_features(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed runs of ``n`` bytes at every place, and which of them lie inside a text."""
-    places = len(data) - n + 1
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of valid UTF-8 bytes as numbers, and where each text begins among them."""
+    begins = (data & 0xC0) != 0x80
+    if begins.all():
+        return data.astype(np.uint32), offsets
+    count = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(begins, out=count[1:])
+    at = np.flatnonzero(begins)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
+    lead = padded[at]
+    out = np.where(lead < 0x80, lead, 0)
+    for size, low, mask in ((2, 0xC0, 0x1F), (3, 0xE0, 0x0F), (4, 0xF0, 0x07)):
+        own = np.flatnonzero((lead >= low) & (lead < (low >> 1 | 0x80)))
+        value = lead[own] & mask
+        for i in range(1, size):
+            value = value << np.uint32(6) | padded[at[own] + i] & 0x3F
+        out[own] = value
+    return out, count[offsets]
+
+
+def _run_features(points: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed runs of ``n`` characters at every place, and which of them lie inside a text."""
+    places = len(points) - n + 1
     if places <= 0:
         return np.empty(0, np.int64), np.empty(0, bool)
     h = np.full(places, n, np.uint32)
     for i in range(n):
         h *= np.uint32(0x01000193)
-        h += data[i : i + places]
+        h += points[i : i + places]
     h *= np.uint32(0x85EBCA6B)
     inside = np.ones(places, bool)
     for back in range(1, n):
@@ -86,12 +108,13 @@ def raw_scores(data: np.ndarray, offsets: np.ndarray, model: QualityModel) -> np
     total = np.bincount(owner, model.weights[:half][hashed], minlength=n)
     score = total / np.maximum(np.bincount(owner, minlength=n), 1)
     sums, counts = np.zeros(n), np.zeros(n)
-    for k in BYTE_RUNS:
-        hashed, inside = _byte_features(data, offsets, k)
+    points, begins = code_points(data, offsets)
+    for k in CHARACTER_RUNS:
+        hashed, inside = _run_features(points, begins, k)
         running = np.zeros(len(hashed) + 1)
         np.cumsum(np.where(inside, model.weights[half:][hashed], 0), out=running[1:])
-        last = np.clip(offsets[1:] - k + 1, 0, len(hashed))
-        begin = np.minimum(offsets[:-1], last)
+        last = np.clip(begins[1:] - k + 1, 0, len(hashed))
+        begin = np.minimum(begins[:-1], last)
         sums += running[last] - running[begin]
         counts += last - begin
     return score + sums / np.maximum(counts, 1) + model.bias
@@ -101,32 +124,33 @@ def probabilities(raw: np.ndarray, model: QualityModel) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.slope * raw + model.shift, -40, 40)))
 
 
-def _sparse(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, columns and shares of the feature table of some texts."""
-    rows, columns, values = [], [], []
-    half = DIMENSIONS // 2
-    for i, text in enumerate(texts):
-        data, offsets = text_bytes(pa.array([text], pa.string()))
-        starts, ends, first = word_spans(data, offsets)
-        words, _ = _word_features(span_hashes(data, starts, ends), first)
-        runs = [_byte_features(data, offsets, k)[0] for k in BYTE_RUNS]
-        for base, found in ((0, words), (half, np.concatenate(runs))):
-            if len(found):
-                column, count = np.unique(found, return_counts=True)
-                rows.append(np.full(len(column), i, np.int32))
-                columns.append((column + base).astype(np.int32))
-                values.append((count / len(found)).astype(np.float32))
-    if not rows:
-        return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32)
-    return np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
-
-
-def fit(texts: list[str], labels: np.ndarray) -> QualityModel:
-    """Train on four of five texts, calibrate on the fifth; both in the order given.
-
-    With labels of one kind only, or none, the model says that kind (or "good") for all.
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Columns and shares of the n-grams of a whole text."""
+    data, offsets = text_bytes(pa.array([text], pa.string()))
+    starts, ends, first = word_spans(data, offsets)
+    words, _ = _word_features(span_hashes(data, starts, ends), first)
+    points, begins = code_points(data, offsets)
+    runs = np.concatenate([_run_features(points, begins, k)[0] for k in CHARACTER_RUNS])
+    columns, shares = [], []
+    for base, found in ((0, words), (DIMENSIONS // 2, runs)):
+        column, count = np.unique(found, return_counts=True)
+        columns.append((column + base).astype(np.int32))
+        shares.append((count / max(1, len(found))).astype(np.float32))
+    return np.concatenate(columns), np.concatenate(shares)
+
+
+def fit(
+    texts: list[tuple[np.ndarray, np.ndarray]],
+    labels: np.ndarray,
+    weights: np.ndarray | None = None,
+) -> QualityModel:
+    """Train on the :func:`features` of four of five texts, calibrate on those of the fifth.
+
+    ``weights`` say how many rows each text stands for when calibrating. With labels of one
+    kind only, or none, the model says that kind (or "good") for all.
     """
     labels = np.asarray(labels, float)
+    weights = np.ones(len(labels)) if weights is None else np.asarray(weights, float)
     if len(set(labels.tolist())) < 2:
         sure = 1.0 if not len(labels) or labels[0] else -1.0
         return QualityModel(np.zeros(DIMENSIONS, np.float32), sure, 10.0, 0.0)
@@ -135,7 +159,9 @@ def fit(texts: list[str], labels: np.ndarray) -> QualityModel:
         held[:] = False
     train = [t for t, h in zip(texts, held) if not h]
     y = labels[~held]
-    row, column, value = _sparse(train)
+    row = np.repeat(np.arange(len(train)), [len(c) for c, _ in train])
+    column = np.concatenate([c for c, _ in train])
+    value = np.concatenate([v for _, v in train])
     n = len(train)
     # Both kinds weigh the same, however rare one is; calibration restores the shares.
     weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / n
@@ -151,22 +177,21 @@ def fit(texts: list[str], labels: np.ndarray) -> QualityModel:
         a, b = 1 - 0.9**t, 1 - 0.99**t
         w -= 0.3 * (m / a) / (np.sqrt(v / b) + 1e-9)
         bias -= 0.3 * (mb / a) / (np.sqrt(vb / b) + 1e-9)
-    model = QualityModel(w.astype(np.float32), float(bias))
     if not held.any():
-        return model
-    data, offsets = text_bytes(pa.array([t for t, h in zip(texts, held) if h], pa.string()))
-    slope, shift = _platt(raw_scores(data, offsets, model), labels[held])
-    return QualityModel(model.weights, model.bias, slope, shift)
+        return QualityModel(w.astype(np.float32), float(bias))
+    raw = np.array([v @ w[c] + bias for (c, v), h in zip(texts, held) if h])
+    slope, shift = _platt(raw, labels[held], weights[held])
+    return QualityModel(w.astype(np.float32), float(bias), slope, shift)
 
 
-def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _platt(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the logistic curve through scores and labels, with smoothed targets."""
-    good, bad = y.sum(), len(y) - y.sum()
+    good, bad = weight[y > 0].sum(), weight[y <= 0].sum()
     target = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
     slope, shift = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * raw + shift, -40, 40)))
-        d, s = p - target, p * (1 - p) + 1e-9
+        d, s = (p - target) * weight, p * (1 - p) * weight + 1e-9
         g = np.array([(d * raw).sum(), d.sum()])
         h = np.array([[(s * raw * raw).sum(), (s * raw).sum()], [(s * raw).sum(), s.sum()]])
         step = np.linalg.solve(h + 1e-6 * np.eye(2), g)
@@ -176,6 +201,27 @@ def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(shift)
 
 
+def _counted(sample: DataFrame) -> DataFrame:
+    """``(place, label, columns, shares)`` of the texts of a sample, the arrays as bytes."""
+    schema = "place long, label int, columns binary, shares binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [features(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("place"),
+                        part.column("label"),
+                        pa.array([c.tobytes() for c, _ in found], pa.binary()),
+                        pa.array([v.tobytes() for _, v in found], pa.binary()),
+                    ],
+                    names=["place", "label", "columns", "shares"],
+                )
+
+    return sample.select("place", "label", "text").mapInArrow(run, schema)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -184,26 +230,44 @@ def train(
     label: str = "quality",
     rows: int = SAMPLE_ROWS,
 ) -> QualityModel:
-    """Fit on at most ``rows`` labelled documents, those with the smallest hash of their key.
+    """Fit on at most ``rows`` different labelled documents of each kind, by a hash of key and text.
 
     Labels other than 0 and 1 and rows with a null key, label or text are not learned from; a
-    document labelled twice counts with its greatest label. Training looks at the first
-    ``SAMPLE_CHARS`` characters of a sampled text; scoring always takes whole texts.
+    document labelled twice counts with its greatest label. Rows that agree in key and text are
+    one, however often they occur, and labels without a document take no place in the sample.
+    Whole texts are learned from.
+
+    Hashes of the labelled texts are ranked first, each task sending its first ``rows`` of a
+    kind; the texts of the sample alone are then read. How common each kind is, is counted over
+    all different labelled rows.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    known = known.groupBy(key).agg(F.max(label).alias("_label"))
-    # Ranked by hash in every task first; at most ``rows`` narrow rows are sent to the others.
-    sample = known.orderBy(F.xxhash64(key), key).limit(rows)
-    found = (
-        docs.where(F.col(text).isNotNull())
-        .select(F.col(key), F.substring(text, 1, SAMPLE_CHARS).alias("_text"))
-        .join(F.broadcast(sample), key)
-        .orderBy(F.xxhash64(key), key, "_text")
-        .limit(rows)
-        .select("_text", "_label")
-        .toPandas()
-    )
-    return fit(found["_text"].tolist(), found["_label"].to_numpy())
+    known = known.groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("label"))
+    texts = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("k"), F.col(text).alias("text"), *[
+            h.alias(f"h{i}") for i, h in enumerate(hash_pair(F.col(key), F.col(text)))
+        ]
+    )
+    # Equal rows are one before the join, so that no key is hot in it.
+    labelled = texts.select("k", "h0", "h1").distinct().join(known, "k").select("h0", "h1", "label")
+    labelled = written(labelled, "labelled")
+    counts = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
+    rank = F.row_number().over(W.partitionBy("label").orderBy("h0", "h1"))
+    sample = labelled.withColumn("rank", rank).where(F.col("rank") <= rows).drop("rank")
+    sample = written(sample, "sample")
+    # At most ``rows`` hashes of each kind.
+    found = texts.join(F.broadcast(sample), ["h0", "h1"]).dropDuplicates(["h0", "h1"])
+    found = _counted(found.withColumnRenamed("h0", "place")).toPandas().sort_values("place")
+    discard(docs.sparkSession, labelled, sample)
+    arrays = [
+        (np.frombuffer(c, np.int32), np.frombuffer(v, np.float32))
+        for c, v in zip(found["columns"], found["shares"])
+    ]
+    y = found["label"].to_numpy()
+    drawn = {k: max(1, int((y == k).sum())) for k in (0, 1)}
+    total = sum(counts.values())
+    weights = np.array([counts[k] / total * len(y) / drawn[k] for k in y])
+    return fit(arrays, y, weights)
 
 
 def rule_counts(part: pa.Array) -> tuple[np.ndarray, ...]:

@@ -299,6 +299,39 @@ def test_languages_come_from_rows_not_held_out(spark):
     assert model.languages == ("yy",)
 
 
+def test_copies_do_not_cost_a_language(spark):
+    """Eight French texts, each very often, beside more German and English ones, once each."""
+    made = {"en": "the weather of {} was fine", "de": "das Wetter von {} war gut"}
+    rows = [(10 * i, t.format(f"w{i}"), k) for i in range(60) for k, t in made.items()]
+    held = [i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2]
+    french = [(i, f"le temps de {i} etait beau", "fr") for i in held]
+    schema = "doc_id long, text string, lang string"
+    once = spark.createDataFrame(rows, schema)
+    copies = spark.createDataFrame(french, schema).crossJoin(spark.range(5_000)).drop("id")
+    docs = once.union(copies)
+    assert language.train(docs).languages == ("de", "en", "fr")
+    # Copies change nothing: the same model as from one copy each.
+    a, b = language.train(docs), language.train(once.union(spark.createDataFrame(french, schema)))
+    assert all(np.array_equal(a.weights[k], b.weights[k]) for k in a.weights)
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_WINDOWS", 8)
+    monkeypatch.setattr(language, "EPOCHS", 1)
+    rows = [(4 * i, f"word{i} of language {i}", f"l{i:03}") for i in range(260)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert list(model.languages) == sorted(r[2] for r in rows) and len(model.languages) > 150
+
+
+def test_windows_are_drawn_from_the_whole_text():
+    text = " ".join(f"w{i}" for i in range(5_000))
+    (rows,) = language.drawn_windows(*language.text_bytes(pa.array([text])))
+    assert len(rows) == language.TEXT_WINDOWS
+    words = [bytes(r[1 : 1 + r[0]]).decode() for r in rows]
+    assert words[0] == "w0" and int(words[-1][1:]) > 4_900 and len(set(words)) == len(words)
+
+
 # 6, I-Match: the catalogue test compares the whole query with SQL
 
 
@@ -448,7 +481,7 @@ def test_rule_counts(texts):
 
 def test_scores_do_not_depend_on_the_batch(texts):
     some = [t for _, t in texts]
-    model = quality.fit(some[:60], np.arange(60) % 2)
+    model = quality.fit([quality.features(t) for t in some[:60]], np.arange(60) % 2)
     together = quality.raw_scores(*quality.text_bytes(pa.array(some)), model)
     alone = [quality.raw_scores(*quality.text_bytes(pa.array([t])), model)[0] for t in some]
     assert np.allclose(together, alone)
@@ -471,6 +504,63 @@ def test_classifier_on_labels_it_has_not_seen(spark):
     assert abs(sum(r.quality for r in rows) / len(rows) - sum(label.values()) / len(label)) < 0.05
 
 
+LABELLED = "doc_id long, quality int"
+
+
+def _judged(spark, docs, labels):
+    schema = "doc_id long, text string"
+    return quality.train(spark.createDataFrame(docs, schema) if isinstance(docs, list) else docs,
+                         spark.createDataFrame(labels, LABELLED) if isinstance(labels, list) else labels)
+
+
+def _labelled(n):
+    docs = [(i, ("fine prose about rivers " if i % 2 else "buy now !!! $$$ ") * 3 + str(i)) for i in range(n)]
+    return docs, [(i, i % 2) for i in range(n)]
+
+
+def test_copies_do_not_cost_the_classifier_its_labels(spark):
+    docs, labels = _labelled(200)
+    single = _judged(spark, docs, labels)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    copies = frame.where("doc_id = 7").crossJoin(spark.range(4_000)).drop("id")
+    model = _judged(spark, frame.union(copies), labels)
+    assert np.count_nonzero(model.weights) > 100
+    assert np.array_equal(model.weights, single.weights) and model.slope == single.slope
+
+
+def test_labels_without_documents_take_no_place(spark):
+    docs, labels = _labelled(100)
+    alone = spark.range(1_000, 61_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    model = _judged(spark, docs, spark.createDataFrame(labels, LABELLED).union(alone))
+    assert np.array_equal(model.weights, _judged(spark, docs, labels).weights)
+
+
+def test_the_classifier_learns_from_the_end_of_a_text(spark):
+    """Bad texts differ from good ones only behind 8,000 characters."""
+    start = "an ordinary sentence about nothing much at all " * 180
+    docs = [(i, start + ("more of the same" if i % 2 else "qzx jjk vvw ") * 40 + f" {i}") for i in range(60)]
+    model = _judged(spark, docs, [(i, i % 2) for i in range(60)])
+    column = pa.array([start + "more of the same" * 40, start + "qzx jjk vvw " * 40])
+    good, bad = quality.raw_scores(*quality.text_bytes(column), model)
+    assert good > bad and good - bad > 1
+
+
+def test_character_runs_are_of_characters():
+    texts = ["abc", "", "漢字かな", "é🙂x", "Привет мир"]
+    data, offsets = quality.text_bytes(pa.array(texts))
+    points, begins = quality.code_points(data, offsets)
+    assert points.tolist() == [ord(c) for c in "".join(texts)]
+    assert np.diff(begins).tolist() == [len(t) for t in texts]
+    # Each text's runs, as counted from its own characters.
+    for n in quality.CHARACTER_RUNS:
+        hashed, inside = quality._run_features(points, begins, n)
+        assert inside.sum() == sum(max(0, len(t) - n + 1) for t in texts)
+        seen = {}
+        whole = "".join(texts)
+        for i in np.flatnonzero(inside):
+            assert seen.setdefault(whole[i : i + n], hashed[i]) == hashed[i]
+
+
 # 10, Hilbert sharding
 
 
