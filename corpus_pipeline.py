@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import bpe, line_dedup, mixing, quality, similar
+from epitally.llm import bpe, line_dedup, mixing, quality, simhash
 from epitally.llm.common import documents, ship, table
 from epitally.workspace import written
 
@@ -34,9 +34,10 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, linked by Jaccard 0.8 or more of five-word shingles."""
+    """One document of each group stays, linked by fingerprints of three-word shingles that
+    differ in three bits or fewer, as the operator's contract has them."""
     ship(spark)
-    return similar.keep_one(docs)
+    return simhash.keep_one(docs, shingle=3, most=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
