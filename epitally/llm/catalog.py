@@ -87,8 +87,8 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     dimensions = {
         "size": F.octet_length("text"),
-        "source": hilbert.text_ordinal(F.col("source")),
-        "lang": hilbert.text_ordinal(F.col("lang")),
+        "source": F.col("source"),
+        "lang": F.col("lang"),
     }
     placed = hilbert.shard(docs, dimensions)
     return placed.select(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from epitally.workspace import new_path
+from epitally.workspace import new_path, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Texts are worked on in slices of about this many bytes, however large the Arrow batch is.
@@ -153,6 +153,24 @@ def hash_pair(*columns: Column) -> list[Column]:
     return [F.xxhash64(*columns), F.xxhash64(F.lit(20011), *columns)]
 
 
+def smallest_hashes(rows: DataFrame, group: str, n: int) -> DataFrame:
+    """Up to ``n`` rows of each group, those with the smallest ``h0`` (unsigned) and ``h1``.
+
+    Rows are different and ``h0`` spreads evenly, so a cut of its range at twice the share leaves
+    about ``2 * n`` rows of a group, whatever their number and that of the tasks, and only these
+    are ranked in one place. A group of up to ``2 * n`` rows is not cut.
+    """
+    counts = written(rows.groupBy(group).agg(F.count(F.lit(1)).alias("_count")), "counts")
+    # Of the unsigned hash, as a fraction.
+    place = F.shiftrightunsigned("h0", 1) / F.lit(float(1 << 63))
+    near = rows.join(counts, group).where(
+        (F.col("_count") <= 2 * n) | (place * F.col("_count") < F.lit(2.0 * n))
+    )
+    unsigned = F.col("h0").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+    rank = F.row_number().over(W.partitionBy(group).orderBy(unsigned, "h1"))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank", "_count")
+
+
 def ranked(df: DataFrame, order: Sequence[Column], rank: str, label: str) -> DataFrame:
     """Rows with their place from 0 in ``order``, which should tell all rows apart.
 

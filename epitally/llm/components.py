@@ -17,7 +17,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbours and itself, then its smaller neighbours are. Both keep what is connected; once
     neither changes a row, every node hangs on its root. Each round is written to the shared
     folder, so a lost executor repeats one round at most. The smallest neighbours are found
-    with partial aggregates, and a node with very many links is split over tasks by the join.
+    with partial aggregates and written, so that the join with them has an exchange on either side
+    and Spark can split a node with very many links over tasks.
+
+    Raises if ``ROUNDS`` rounds do not settle it; the number needed grows with the logarithm of
+    the longest path.
     """
     edges = written(
         links.where(F.col(a) != F.col(b))
@@ -28,7 +32,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = _state(edges)
     for _ in range(ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(
+            both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least"
+        )
         large = (
             both.where(F.col("v") > F.col("u"))
             .join(least, "u")
@@ -36,7 +42,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct()
         )
         large = written(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = (
             large.join(least, "u")
             .select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))

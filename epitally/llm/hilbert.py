@@ -12,8 +12,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epitally.llm.common import ranked
+from epitally.workspace import written
 
 BITS = 4
 SHARDS = 8
@@ -56,11 +58,19 @@ def curve(dimensions: int, bits: int = BITS) -> list[int]:
     return out
 
 
-def text_ordinal(value: Column) -> Column:
-    """A number in the order of the first six UTF-8 bytes; null stays null."""
-    return F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast(
-        "long"
-    )
+def with_ordinals(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with the text ``columns`` replaced by the rank of their value among all values.
+
+    Whole strings are compared. Values are ranked by ranges, each once, and joined back with
+    their rank; Spark broadcasts a small table of values by its size, and else splits a value
+    that very many rows have. Null stays null.
+    """
+    for c in columns:
+        values = rows.where(F.col(c).isNotNull()).select(F.col(c).alias("_value")).distinct()
+        order = written(ranked(values, [F.col("_value")], "_ordinal", "values"), "ordinals")
+        rows = rows.join(order, F.col(c) == F.col("_value"), "left")
+        rows = rows.withColumn(c, F.col("_ordinal").cast("double")).drop("_value", "_ordinal")
+    return rows
 
 
 def _below(value: Column):
@@ -99,16 +109,22 @@ def shard(
 
     Shards are runs of the rank by curve number, key, checksum and size, and hold equally many
     rows, give or take one; slots count from 0 in each. Null keys come first in a cell, rows
-    equal in all of these in any order. A null text has size 1 and checksum 0; ``dimensions``
-    are named numeric columns. Texts are read once and never shuffled.
+    equal in all of these in any order. A null text has size 1 and checksum 0. ``dimensions`` are
+    named columns, numbers or texts; of a text the whole value counts, by its rank among all
+    values. Documents' texts are never shuffled.
     """
     bytes_of = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
     narrow = docs.select(
         F.col(key).alias("_key"),
         (bytes_of + 1).alias("_size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("_crc"),
-        *[c.cast("double").alias(f"_dim_{i}") for i, c in enumerate(dimensions.values())],
+        *[c.alias(f"_dim_{i}") for i, c in enumerate(dimensions.values())],
     )
+    names = [f"_dim_{i}" for i in range(len(dimensions))]
+    texts = [c for c in names if isinstance(narrow.schema[c].dataType, T.StringType)]
+    if texts:
+        narrow = with_ordinals(written(narrow, "dimensions"), texts)
+    narrow = narrow.withColumns({c: F.col(c).cast("double") for c in names if c not in texts})
     place = hilbert_index(narrow, [f"_dim_{i}" for i in range(len(dimensions))])
     rows = narrow.select("_key", "_size", "_crc", place.alias("_place"))
     order = [F.col(c) for c in ("_place", "_key", "_crc", "_size")]

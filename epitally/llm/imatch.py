@@ -16,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from epitally.llm.common import ascii_lower, hash_pair, whole_text
+from epitally.llm.common import ascii_lower, hash_pair, ranked, whole_text
 from epitally.workspace import written
 
 RARE = 2_000
@@ -102,6 +103,9 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     Columns: ``key``, ``text``, ``h``, ``next_key``, ``next_text``, ``next_h``. Rows with one key
     follow each other by text hash; null keys come first; null texts are empty.
 
+    Keys of whole numbers are their own order; those of any other type that Spark can order, as
+    strings or dates, are ranked first, each once, and joined with their rank.
+
     Keys are cut into pieces at quantiles, a few for each shuffle partition; a key with very
     many rows takes several pieces by text hash. A piece is sorted in one task. The first row
     of each piece, one row a piece, is added to the piece before it, so every text is shuffled
@@ -110,9 +114,12 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     spark = docs.sparkSession
     smallest = F.lit(-(1 << 63)).cast("long")
     h, _ = hash_pair(whole_text(text))
-    rows = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"), h.alias("h")).withColumn(
-        "_o", F.coalesce(F.col("key").cast("long"), smallest)
-    )
+    rows = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"), h.alias("h"))
+    if isinstance(docs.schema[key].dataType, T.IntegralType):
+        rows = rows.withColumn("_o", F.coalesce(F.col("key").cast("long"), smallest))
+    else:
+        order = ranked(rows.select(F.col("key").alias("_k")).distinct(), [F.col("_k")], "_o", "keys")
+        rows = rows.join(order, F.col("key").eqNullSafe(F.col("_k"))).drop("_k")
     # Several for each partition, since a hash deals them out.
     pieces = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     fractions = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])

@@ -22,11 +22,17 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.llm.common import hash_pair, slices, span_hashes, text_bytes, word_spans
+from epitally.llm.common import (
+    hash_pair,
+    slices,
+    smallest_hashes,
+    span_hashes,
+    text_bytes,
+    word_spans,
+)
 from epitally.workspace import discard, written
 
 UNKNOWN = "und"
@@ -280,8 +286,7 @@ def train(
     often they occur, so neither copies nor common languages take the place of others. Texts
     without a word are not learned from. Whole texts take part; see :func:`drawn_windows`.
 
-    Hashes are ranked first, each task sending its first ``rows`` of a language; the texts of
-    the sample alone are then read again.
+    Hashes are ranked first; the texts of the sample alone are then read again.
     """
     known = docs.where(
         ~held_out(F.col(key)) & F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(lang).isNotNull()
@@ -291,13 +296,11 @@ def train(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
         *[h.alias(f"h{i}") for i, h in enumerate(hash_pair(F.col(lang), F.col(text)))],
     )
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("h0", "h1"))
-    different = known.select("lang", "h0", "h1").distinct()
-    sample = different.withColumn("rank", rank).where(F.col("rank") <= rows).select("h0", "h1")
-    sample = written(sample, "sample")
+    different = written(known.select("lang", "h0", "h1").distinct(), "different")
+    sample = written(smallest_hashes(different, "lang", rows).select("h0", "h1"), "sample")
     texts = known.join(sample, ["h0", "h1"]).dropDuplicates(["h0", "h1"])
     found = _drawn(texts.withColumnRenamed("h0", "place")).toPandas().sort_values(["lang", "place"])
-    discard(docs.sparkSession, sample)
+    discard(docs.sparkSession, different, sample)
     return fit_windows(
         {
             name: np.concatenate(

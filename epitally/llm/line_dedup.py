@@ -2,10 +2,12 @@
 
 A line is cut at white space; a token with a digit becomes ``<*>``. The tree has a fixed
 depth: the number of tokens, then the first ``DEPTH`` tokens. In a leaf the places behind these
-are cut into ``RANGES`` ranges of equal length, and a line has one template for each: itself
-with that range generalised. So lines of a leaf share a template if their fields vary in one
-range. A template counts if seven tenths of its tokens are constant; lines of fewer than
-``LEAST_TOKENS`` tokens have no template but themselves, masked.
+are cut into ``RANGES`` ranges of equal length, and a line has one template for each pair of
+them: itself with both ranges generalised. So lines of a leaf share a template if what differs
+lies in two ranges, which in a line of up to ``DEPTH + RANGES`` tokens are any two tokens. A
+template counts if seven tenths of its tokens are constant. Where no pair that has a range
+counts, the template with that range alone may. Lines of fewer than ``LEAST_TOKENS`` tokens have
+no template but themselves, masked.
 
 What is found in two documents or more, a masked line or a template, is dropped from all of
 them but one: it stays in the document that comes first, so text that many documents share is
@@ -21,7 +23,7 @@ from epitally.llm.common import hash_pair
 from epitally.workspace import written
 
 DEPTH = 3
-RANGES = 4
+RANGES = 8
 LEAST_TOKENS = 6
 WILD = "<*>"
 # Share of a template's tokens, in tenths.
@@ -55,25 +57,46 @@ def masked(each: DataFrame, line: str) -> DataFrame:
     )
 
 
-def _templates(tokens: Column, line: Column) -> list[Column]:
-    """Hashes of the line's templates, without what the leaf says; null where one does not count."""
+def _edge(n: Column, i: int) -> Column:
+    return F.floor((n - DEPTH) * i / RANGES).cast("int") + DEPTH
+
+
+def _parts(tokens: Column) -> list[Column]:
+    """The hash of each range of the line."""
     n = F.size(tokens)
-    wild = F.when(line.contains(WILD), F.size(F.filter(tokens, lambda t: t == WILD))).otherwise(0)
-    edges = [F.floor((n - DEPTH) * i / RANGES).cast("int") + DEPTH for i in range(RANGES + 1)]
-    # Each range is hashed once; a template is the hash of the other ranges' hashes.
-    parts = [F.xxhash64(F.slice(tokens, a + 1, b - a)) for a, b in zip(edges, edges[1:])]
+    edges = [_edge(n, i) for i in range(RANGES + 1)]
+    return [F.xxhash64(F.slice(tokens, a + 1, b - a)) for a, b in zip(edges, edges[1:])]
+
+
+def _templates(n: Column, wild: Column, parts: list[Column]) -> Column:
+    """The line's templates ``(i, f)``, without what the leaf says: which ranges are generalised,
+    and the hash of the others."""
+    size = [_edge(n, i + 1) - _edge(n, i) for i in range(RANGES)]
+
+    def counts(length: Column) -> Column:
+        return (n - length - wild) * 10 >= n * CONSTANT_TENTHS
+
+    def template(*gone: int) -> Column:
+        rest = [p for j, p in enumerate(parts) if j not in gone]
+        i = F.lit(sum(1 << g for g in gone))
+        return F.struct(i.alias("i"), F.xxhash64(i, *rest).alias("f"))
+
+    # The last range is never shorter than another one; the shortest that is not empty has as
+    # many tokens as fit into all, and at least one.
+    least = F.greatest(F.floor((n - DEPTH) / RANGES).cast("int"), F.lit(1))
     out = []
     for i in range(RANGES):
-        length = edges[i + 1] - edges[i]
-        constant = n - length - wild
-        counts = (n >= LEAST_TOKENS) & (length > 0) & (constant * 10 >= n * CONSTANT_TENTHS)
-        out.append(F.when(counts, F.xxhash64(F.lit(i), *[p for j, p in enumerate(parts) if j != i])))
-    return out
+        alone = (size[i] > 0) & counts(size[i]) & ~counts(size[i] + least)
+        out.append(F.when(alone, template(i)))
+        for j in range(i):
+            both = (size[i] > 0) & (size[j] > 0) & counts(size[i] + size[j])
+            out.append(F.when(both, template(j, i)))
+    return F.array_compact(F.array(*out))
 
 
 def _lines(named: DataFrame, templates: bool) -> DataFrame:
-    """Each line with a token: document, place, hash, and its place in the tree: leaf hash and
-    template hashes."""
+    """Each line with a token: document, place, hash, and its place in the tree: leaf hash, number
+    of tokens, of generalised ones, and the ranges' hashes."""
     each = named.select("_d1", "_d2", "_key", F.posexplode(F.split("_text", "\n")).alias("pos", "_raw"))
     each = masked(each, "_raw")
     m1, m2 = hash_pair(F.col("_line"))
@@ -81,10 +104,13 @@ def _lines(named: DataFrame, templates: bool) -> DataFrame:
         return each.select("_d1", "_d2", "_key", "pos", m1.alias("m1"), m2.alias("m2"))
     each = each.select("_key", "_line", m1.alias("m1"), m2.alias("m2"), F.split("_line", " ").alias("_tokens"))
     tokens = F.col("_tokens")
+    tall = F.size(tokens) >= LEAST_TOKENS
     leaf = F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
+    wild = F.size(F.filter(tokens, lambda t: t == WILD))
     return each.select(
-        "_key", "m1", "m2", F.when(F.size(tokens) >= LEAST_TOKENS, leaf).alias("leaf"),
-        *[t.alias(f"f{i}") for i, t in enumerate(_templates(tokens, F.col("_line")))],
+        "_key", "m1", "m2", F.when(tall, leaf).alias("leaf"), F.size(tokens).alias("size"),
+        F.when(tall & F.col("_line").contains(WILD), wild).otherwise(0).alias("wild"),
+        *[F.when(tall, p).alias(f"p{i}") for i, p in enumerate(_parts(tokens))],
     )
 
 
@@ -95,7 +121,7 @@ def recurring(named: DataFrame) -> DataFrame:
     for each task before it is shuffled. Templates are made only for the leaves with several
     different lines, from those lines, each once.
     """
-    tree = ["leaf", *[f"f{i}" for i in range(RANGES)]]
+    tree = ["leaf", "size", "wild", *[f"p{i}" for i in range(RANGES)]]
     lines = written(
         _lines(named, True)
         .groupBy("m1", "m2", *tree)
@@ -109,15 +135,18 @@ def recurring(named: DataFrame) -> DataFrame:
     )
     several = "(first != last OR (keyed > 0 AND keyed < n))"
     leaves = lines.where("leaf IS NOT NULL").groupBy("leaf").count().where("count > 1")
-    forms = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"f{i}").alias("f")) for i in range(RANGES)])
-    each = (
-        lines.join(leaves.select("leaf"), "leaf")
-        .select("m1", "m2", "leaf", "n", "keyed", "first", "last", F.inline(forms))
-        .where("f IS NOT NULL")
+    # The small side of each join below is a table of its own, so that the join has an exchange
+    # on either side and Spark can split what is hot: a leaf with very many different lines, a
+    # template of very many, a line that very many documents have.
+    leaves = written(leaves.select("leaf"), "leaves")
+    forms = _templates(F.col("size"), F.col("wild"), [F.col(f"p{i}") for i in range(RANGES)])
+    each = lines.join(leaves, "leaf").select(
+        "m1", "m2", "leaf", "n", "keyed", "first", "last", F.inline(forms)
     )
     each = written(each, "templates")
-    shared = (
-        each.groupBy("leaf", "i", "f")
+    shared = written(
+        each
+        .groupBy("leaf", "i", "f")
         .agg(
             F.count("*").alias("lines"),
             F.sum("n").alias("n"),
@@ -127,14 +156,13 @@ def recurring(named: DataFrame) -> DataFrame:
         )
         .where(f"lines > 1 AND {several}")
         .withColumnRenamed("first", "t_first")
-        .select("leaf", "i", "f", "t_first")
+        .select("leaf", "i", "f", "t_first"),
+        "shared",
     )
     general = each.join(shared, ["leaf", "i", "f"]).groupBy("m1", "m2").agg(
         F.min("t_first").alias("t_first"), F.lit(True).alias("general")
     )
     both = lines.drop(*tree).join(general, ["m1", "m2"], "left")
-    # A table of its own, so that the join with it has an exchange on either side and Spark can
-    # split the rows of a line that very many documents have.
     return written(
         both.where(f"{several} OR general").select(
             "m1", "m2", F.coalesce(F.least("t_first", "first"), "t_first", "first").alias("stays")
@@ -190,16 +218,33 @@ def oracle_sql() -> str:
         plain = f"regexp_replace(trim({line}, {blank}), '{space}+', ' ', 'g')"
         return f"regexp_replace({plain}, '{other}*[0-9]{other}*', '{WILD}', 'g')"
 
-    def form(i: int) -> str:
-        begin = f"({DEPTH} + (n - {DEPTH}) * {i} // {RANGES})"
-        end = f"({DEPTH} + (n - {DEPTH}) * {i + 1} // {RANGES})"
+    def edge(i: int) -> str:
+        return f"({DEPTH} + (n - {DEPTH}) * {i} // {RANGES})"
+
+    def size(i: int) -> str:
+        return f"({edge(i + 1)} - {edge(i)})"
+
+    def counts(length: str) -> str:
         wild = f"len(list_filter(tokens, lambda t: t = '{WILD}'))"
+        return f"(n - ({length}) - {wild}) * 10 >= n * {CONSTANT_TENTHS}"
+
+    def form(*gone: int) -> str:
+        left = [f"tokens[{edge(k) if k else 0} + 1:{edge(k + 1)}]" for k in range(RANGES) if k not in gone]
+        if 0 in gone:
+            left.insert(0, f"tokens[1:{DEPTH}]")
+        some = " AND ".join(f"{size(k)} > 0" for k in gone)
+        if len(gone) == 1:
+            least = f"greatest((n - {DEPTH}) // {RANGES}, 1)"
+            some += f" AND {counts(size(gone[0]))} AND NOT {counts(f'{size(gone[0])} + {least}')}"
+        else:
+            some += f" AND {counts(' + '.join(map(size, gone)))}"
+        name = "-".join(map(str, gone))
         return f"""
-  SELECT line, docs, first, n, tokens[1:{begin}] AS head, tokens[{end} + 1:] AS tail, {i} AS i
-  FROM l WHERE n >= {LEAST_TOKENS} AND {end} > {begin}
-    AND (n - ({end} - {begin}) - {wild}) * 10 >= n * {CONSTANT_TENTHS}"""
+  SELECT line, docs, first, n, [{", ".join(left)}] AS rest, '{name}' AS i
+  FROM l WHERE n >= {LEAST_TOKENS} AND {some}"""
 
-    forms = "\n  UNION ALL".join(form(i) for i in range(RANGES))
+    pairs = [(j, i) for i in range(RANGES) for j in range(i)]
+    forms = "\n  UNION ALL".join(form(*gone) for gone in [*((i,) for i in range(RANGES)), *pairs])
     return f"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 e AS (
@@ -210,9 +255,9 @@ m AS (
 l AS (SELECT *, len(tokens) AS n FROM m),
 t AS ({forms}),
 g AS (
-  SELECT n, head, tail, i, min(first) AS t_first FROM t GROUP BY n, head, tail, i
+  SELECT n, rest, i, min(first) AS t_first FROM t GROUP BY n, rest, i
   HAVING count(*) > 1 AND (max(docs) > 1 OR min(first) <> max(first))),
-h AS (SELECT line, min(t_first) AS t_first FROM t JOIN g USING (n, head, tail, i) GROUP BY line),
+h AS (SELECT line, min(t_first) AS t_first FROM t JOIN g USING (n, rest, i) GROUP BY line),
 r AS (
   SELECT line, least(coalesce(t_first, first), first) AS stays
   FROM l LEFT JOIN h USING (line) WHERE docs > 1 OR t_first IS NOT NULL),

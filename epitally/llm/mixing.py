@@ -28,6 +28,9 @@ from epitally.workspace import written
 STEPS = 1 << 20
 RUNGS = 32
 BLOCKS = 1024
+# A block's pieces go by the leading digits of the documents' hashes; blocks take the last ones
+# of the first eight, so a block has up to 16^4 pieces, of few documents each.
+PIECE_DIGITS = 4
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 
 
@@ -194,7 +197,7 @@ def plan(
     inside = narrow.join(
         end.select("of", "end_turn"),
         F.col("source").eqNullSafe(F.col("of")) & (F.col("turn") == F.col("end_turn")),
-    ).select("source", "turn", "own", F.substring("own", 1, 11).alias("piece"), "tokens")
+    ).select("source", "turn", "own", F.substring("own", 1, PIECE_DIGITS).alias("piece"), "tokens")
     inside = written(inside, "inside")
     piece_end, pieces = _cut(inside, end.select("of", "room"), "piece", "pieces")
     last = inside.join(

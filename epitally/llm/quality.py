@@ -18,11 +18,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epitally.llm.common import hash_pair, mixed, slices, span_hashes, text_bytes, word_spans
+from epitally.llm.common import (
+    hash_pair,
+    mixed,
+    slices,
+    smallest_hashes,
+    span_hashes,
+    text_bytes,
+    word_spans,
+)
 from epitally.workspace import discard, written
 
 DIMENSIONS = 1 << 18
@@ -237,9 +244,8 @@ def train(
     one, however often they occur, and labels without a document take no place in the sample.
     Whole texts are learned from.
 
-    Hashes of the labelled texts are ranked first, each task sending its first ``rows`` of a
-    kind; the texts of the sample alone are then read. How common each kind is, is counted over
-    all different labelled rows.
+    Hashes of the labelled texts are ranked first; the texts of the sample alone are then read.
+    How common each kind is, is counted over all different labelled rows.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("label"))
@@ -252,9 +258,7 @@ def train(
     labelled = texts.select("k", "h0", "h1").distinct().join(known, "k").select("h0", "h1", "label")
     labelled = written(labelled, "labelled")
     counts = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
-    rank = F.row_number().over(W.partitionBy("label").orderBy("h0", "h1"))
-    sample = labelled.withColumn("rank", rank).where(F.col("rank") <= rows).drop("rank")
-    sample = written(sample, "sample")
+    sample = written(smallest_hashes(labelled, "label", rows), "sample")
     # At most ``rows`` hashes of each kind.
     found = texts.join(F.broadcast(sample), ["h0", "h1"]).dropDuplicates(["h0", "h1"])
     found = _counted(found.withColumnRenamed("h0", "place")).toPandas().sort_values("place")

@@ -34,7 +34,8 @@ from epitally.llm.common import slices
 from epitally.llm.components import components
 from epitally.workspace import written
 
-SHINGLE = 5
+# Words of a shingle and differing bits, as the contract has them.
+SHINGLE = 3
 MOST_DIFFERING = 3
 
 # Fixed value: generator polynomial of the binary Golay code of length 23,
@@ -158,7 +159,9 @@ def linked_groups(distinct: DataFrame, most: int = MOST_DIFFERING) -> DataFrame:
         raise ValueError(f"most must be 0 to {MOST_DIFFERING}")
     keys = written(fuzzy_keys(distinct), "keys")
     first = keys.groupBy("key").agg(F.min("fingerprint").alias("a"), F.count("*").alias("n"))
-    shared = first.where("n > 1").select("key", "a")
+    # What very many rows are joined with is a table of its own here and below: the join then has
+    # an exchange on either side, and Spark can split a hot key over tasks.
+    shared = written(first.where("n > 1").select("key", "a"), "shared")
     stars = (
         keys.join(shared, "key")
         .where((F.col("a") != F.col("fingerprint")) & _close("a", "fingerprint", most))
@@ -181,6 +184,7 @@ def linked_groups(distinct: DataFrame, most: int = MOST_DIFFERING) -> DataFrame:
         .where("roots > 1")
         .select("key", "main")
     )
+    main = written(main, "main")
     mixed_keys = written(members.join(main, "key"), "mixed")
     outside = mixed_keys.where("root != main").select(
         "key", F.col("root").alias("root_a"), F.col("fingerprint").alias("a")
@@ -204,7 +208,8 @@ def _grouped(prints: DataFrame, key: str, most: int) -> DataFrame:
     rooted = own.join(groups, own["fingerprint"] == groups["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = written(rooted, "rooted")
+    named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     of = rooted.select("fingerprint", "root").join(named, "root")
     return prints.join(of, "fingerprint")
 

@@ -16,8 +16,9 @@ numbers, through which all of the shard's segments are streamed to find every oc
 segments of a repeated anchor reach its shard, so every document is streamed through all the
 automata that can match it and through no others.
 
-An anchor with more than ``HOT`` occurrences has no shard: its windows are counted one by one,
-by 128-bit hash, in an aggregate over all tasks, and joined back. Both ways find the same.
+The segments of an anchor meet in one shard. An anchor with more than ``HOT`` occurrences would
+make that shard large, so each of its windows is a segment of its own and goes to a shard by its
+own hash: equal windows still meet, and the rest spreads. Both ways find the same, by automata.
 """
 
 from __future__ import annotations
@@ -92,7 +93,8 @@ def _anchors(named: DataFrame, text: str, window: int) -> DataFrame:
 def _occurrences(
     found: DataFrame, text: str, window: int, shards: int, whole: bool
 ) -> DataFrame:
-    """Segments of the wanted anchors of each row: hash, row, start, and for some the words.
+    """Segments of the wanted anchors of each row, and the windows of the hot ones: hash, row,
+    start, and for some the words.
 
     With ``whole``, rows for the shards: a task sends the words of a segment when it first meets
     it and a bare row when it meets it again, and no more. Without, one row for each occurrence.
@@ -104,21 +106,28 @@ def _occurrences(
         for batch in batches:
             for part in slices(batch, text):
                 data, offsets = text_bytes(part.column(text))
-                wanted = part.column("wanted").to_pylist()
+                wanted, hot = part.column("wanted").to_pylist(), part.column("hot").to_pylist()
                 hashes, low, high, text_of = anchor_runs(data, offsets, window)
                 edges = np.searchsorted(text_of, np.arange(part.num_rows + 1))
                 view = data.tobytes()
                 d1, d2 = part.column("d1").to_pylist(), part.column("d2").to_pylist()
                 rows = []
-                for i, own in enumerate(wanted):
-                    if not own:
+                for i in range(part.num_rows):
+                    if not wanted[i] and not hot[i]:
                         continue
                     words = view[offsets[i] : offsets[i + 1]].split()
                     base = low[edges[i]]
-                    for place in own:
+                    pieces = []
+                    for place in wanted[i] or ():
                         j = edges[i] + place
-                        start = int(low[j] - base)
-                        segment = b" ".join(words[start : int(high[j] - base) + window])
+                        shard = int(hashes[j] % np.uint64(shards))
+                        pieces.append((int(low[j] - base), int(high[j] - base) + window, shard))
+                    for place in hot[i] or ():
+                        j = edges[i] + place
+                        for start in range(int(low[j] - base), int(high[j] - base) + 1):
+                            pieces.append((start, start + window, None))
+                    for start, stop, shard in pieces:
+                        segment = b" ".join(words[start:stop])
                         digest = xxhash.xxh3_128_digest(segment)
                         s1 = int.from_bytes(digest[:8], "little", signed=True)
                         s2 = int.from_bytes(digest[8:], "little", signed=True)
@@ -127,7 +136,7 @@ def _occurrences(
                             continue
                         seen[digest] += 1
                         if seen[digest] <= 2:
-                            shard = int(hashes[j] % np.uint64(shards))
+                            shard = s1 % shards if shard is None else shard
                             rows.append((s1, s2, shard, segment if seen[digest] == 1 else None))
                         if len(seen) > REMEMBERED:
                             seen.clear()
@@ -197,43 +206,6 @@ def _in_shard(window: int):
     return run
 
 
-def _single_windows(found: DataFrame, text: str, window: int) -> DataFrame:
-    """One row for each window of the hot anchors: its 128-bit hash, row and start."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                data, offsets = text_bytes(part.column(text))
-                _, low, high, text_of = anchor_runs(data, offsets, window)
-                edges = np.searchsorted(text_of, np.arange(part.num_rows + 1))
-                view = data.tobytes()
-                d1, d2 = part.column("d1").to_pylist(), part.column("d2").to_pylist()
-                rows = []
-                for i, own in enumerate(part.column("hot").to_pylist()):
-                    if not own:
-                        continue
-                    words = view[offsets[i] : offsets[i + 1]].split()
-                    base = low[edges[i]]
-                    for place in own:
-                        j = edges[i] + place
-                        for start in range(int(low[j] - base), int(high[j] - base) + 1):
-                            digest = xxhash.xxh3_128_digest(b" ".join(words[start : start + window]))
-                            rows.append(
-                                (
-                                    int.from_bytes(digest[:8], "little", signed=True),
-                                    int.from_bytes(digest[8:], "little", signed=True),
-                                    d1[i], d2[i], start,
-                                )
-                            )
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in zip(*rows)],
-                        names=["s1", "s2", "d1", "d2", "start"],
-                    )
-
-    return found.mapInArrow(run, "s1 long, s2 long, d1 long, d2 long, start long")
-
-
 def repeated_spans(
     named: DataFrame, text: str, window: int = WINDOW, hot: int = HOT
 ) -> DataFrame:
@@ -271,10 +243,10 @@ def repeated_spans(
         .select(F.col("d1").alias("w1"), F.col("d2").alias("w2"), "wanted", "hot")
     )
     by_row = written(by_row, "wanted")
-    total, any_hot = by_row.agg(
-        F.sum(F.size("wanted").cast("long")), F.sum(F.size("hot").cast("long"))
+    total, windows = by_row.agg(
+        F.sum(F.size("wanted").cast("long")), F.sum(F.size("hot").cast("long") * window)
     ).first()
-    shards = max(1, -(-(total or 0) // SHARD_SEGMENTS))
+    shards = max(1, -(-((total or 0) + (windows or 0)) // SHARD_SEGMENTS))
     shards = min(shards, (1 << 31) - 1)
 
     same = [named["d1"] == by_row["w1"], named["d2"] == by_row["w2"]]
@@ -289,16 +261,6 @@ def repeated_spans(
         .join(marked, ["s1", "s2"])
         .select("d1", "d2", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
     )
-    if any_hot:
-        # In the same plan, so that one exchange of the texts serves all that read it.
-        alone = _single_windows(found, text, window)
-        again = alone.groupBy("s1", "s2").count().where("count > 1").select("s1", "s2")
-        spans = spans.unionByName(
-            alone.join(again, ["s1", "s2"]).select(
-                "d1", "d2", F.col("start").cast("int").alias("a"),
-                (F.col("start") + window).cast("int").alias("b"),
-            )
-        )
     each = spans.select("d1", "d2", F.struct("a", "b").alias("span"), F.lit(False).alias("copy"))
     copies = copied.select("d1", "d2", F.lit(None).cast("struct<a:int,b:int>").alias("span"), F.lit(True).alias("copy"))
     return (

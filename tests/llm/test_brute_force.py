@@ -74,6 +74,18 @@ def test_templates_recur_across_documents(spark):
     assert found[3].text == docs[3]
 
 
+def test_lines_that_differ_in_two_fields_share_a_template(spark):
+    lines = [
+        f"posted to the {board} board on {day}"
+        for board, day in (("travel", "monday"), ("music", "friday"), ("food", "sunday"))
+    ]
+    found = {r.doc_id: r for r in line_dedup.drop_lines(frame(spark, lines)).collect()}
+    assert found[0].text == lines[0] and found[1].text == found[2].text == ""
+    # Three fields of seven: less than seven tenths are constant.
+    apart = ["posted to the travel board on monday", "posted to the music stage on friday"]
+    assert all(r.n_dropped == 0 for r in line_dedup.drop_lines(frame(spark, apart)).collect())
+
+
 def test_short_lines_do_not_share_a_template(spark):
     docs = ["one two three four", "one two three five"]
     assert all(r.n_dropped == 0 for r in line_dedup.drop_lines(frame(spark, docs)).collect())
@@ -346,6 +358,13 @@ def test_next_follows_ascending_keys(spark):
     assert all(r.next_key == want[r.key] and r.next_text == f"t{want[r.key]}" for r in found)
 
 
+def test_next_follows_keys_of_any_type(spark):
+    keys = ["b", "a", None, "aa", "", "Z", "ä"]
+    found = imatch.with_next(spark.createDataFrame([(k, f"t{k}") for k in keys], "doc_id string, text string"))
+    order = sorted(keys, key=lambda k: (k is not None, (k or "").encode()))
+    assert {r.key: r.next_key for r in found.collect()} == dict(zip(order, order[1:] + order[:1]))
+
+
 def test_a_hot_key_takes_several_pieces(spark):
     rows = [(7, f"copy {i}") for i in range(400)] + [(i, "x") for i in range(20)]
     found = imatch.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -612,3 +631,68 @@ def test_files_of_a_shard(spark, shared):
     back = spark.read.parquet(shared)
     assert back.count() == docs.count() and back.select("shard").distinct().count() == 8
     assert regex.search(r"\p{L}", back.first()["text"])
+
+
+def test_texts_with_a_common_start_have_places_of_their_own(spark):
+    """Twenty sites that differ only behind many equal letters."""
+    rows = [(i, "t", f"https://example.org/a/very/long/path/site{i % 20:02}/") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed = hilbert.shard(docs, {"source": F.col("source")}, shards=4)
+    found = {r.doc_id: r for r in placed.collect()}
+    cells = {}
+    for i, _, s in rows:
+        cells.setdefault(s, set()).add(found[i].hilbert)
+    assert all(len(c) == 1 for c in cells.values()) and len(set.union(*cells.values())) >= 14
+    # Each shard holds few of the sites.
+    sites = {}
+    for i, _, s in rows:
+        sites.setdefault(found[i].shard, set()).add(s)
+    assert all(len(s) <= 6 for s in sites.values())
+
+
+def _skew_can_be_split(df) -> list[bool]:
+    """For every sort-merge join of the plan: whether each side is an exchange, sorted."""
+    plan, out = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
+
+    def depth(line: str) -> int:
+        return len(line) - len(line.lstrip(" :+-"))
+
+    for at, line in enumerate(plan):
+        if "SortMergeJoin" in line:
+            below = [x for x in plan[at + 1 :]]
+            sides, i = [], 0
+            while i < len(below) and depth(below[i]) > depth(line):
+                if depth(below[i]) == depth(line) + 3:
+                    sides.append(" ".join(x.strip(" :+-")[:20] for x in below[i : i + 2]))
+                i += 1
+            out.append(all(s.startswith("Sort ") and "Exchange" in s for s in sides) and len(sides) == 2)
+    return out
+
+
+def test_joins_with_what_many_rows_share_can_be_split(spark, monkeypatch):
+    """The plans that write tables, with broadcast off: a hot key must not be one task."""
+    seen = {}
+
+    def spy(module):
+        real = module.written
+
+        def caught(df, label):
+            seen.setdefault(label, []).extend(_skew_can_be_split(df))
+            return real(df, label)
+
+        monkeypatch.setattr(module, "written", caught)
+
+    for module in (components, line_dedup, simhash):
+        spy(module)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = spark.createDataFrame([(0, i) for i in range(1, 50)] + [(100, 101)], "a long, b long")
+        assert components.components(links).count() == 50
+        docs = documents(spark, SMALL).limit(120)
+        line_dedup.drop_lines(docs).count()
+        simhash.near_duplicates(docs).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for label in ("large", "small", "templates", "stars", "mixed"):
+        assert seen[label] and all(seen[label]), (label, seen[label])

@@ -26,14 +26,28 @@ def masked(line: str) -> str:
 
 
 def forms(line: str) -> list[tuple]:
-    """The masked line and its templates that count."""
+    """The masked line and its templates that count: two ranges generalised, or one where no two do."""
     tokens, out = line.split(" "), [(line,)]
     n, depth, ranges = len(tokens), line_dedup.DEPTH, line_dedup.RANGES
-    for i in range(ranges if n >= line_dedup.LEAST_TOKENS else 0):
-        a, b = depth + (n - depth) * i // ranges, depth + (n - depth) * (i + 1) // ranges
-        constant = n - (b - a) - tokens.count(line_dedup.WILD)
-        if b > a and constant * 10 >= n * line_dedup.CONSTANT_TENTHS:
-            out.append((n, i, *tokens[:a], None, *tokens[b:]))
+    if n < line_dedup.LEAST_TOKENS:
+        return out
+    edges = [depth + (n - depth) * i // ranges for i in range(ranges + 1)]
+    size = [b - a for a, b in zip(edges, edges[1:])]
+    least = min(s for s in size if s)
+
+    def counts(length: int) -> bool:
+        return (n - length - tokens.count(line_dedup.WILD)) * 10 >= n * line_dedup.CONSTANT_TENTHS
+
+    def template(*gone: int) -> tuple:
+        own = [t for g in gone for t in range(edges[g], edges[g + 1])]
+        return n, gone, *[None if i in own else t for i, t in enumerate(tokens)]
+
+    for i in range(ranges):
+        if size[i] and counts(size[i]) and not counts(size[i] + least):
+            out.append(template(i))
+        for j in range(i):
+            if size[i] and size[j] and counts(size[i] + size[j]):
+                out.append(template(j, i))
     return out
 
 
