@@ -36,6 +36,10 @@ HEADLINES = (
     "upsert_postgres_rule",
     "upsert_latest",
     "history_merge",
+    "bucketed_merge",
+    "kept_totals",
+    "quarantine_rows",
+    "stratified_split_rows",
     "assemble_features",
     "hash_split_rows",
     "evaluation",

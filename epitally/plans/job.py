@@ -10,7 +10,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from epitally.operators.evaluate import accept_model, error_stats, sample_predictions
-from epitally.operators.quality import observe_profile, require
+from epitally.operators.quality import observe_profile, quarantine, require
 from epitally.operators.summary import global_summary, register_view, top_countries
 from epitally.plans.learning import LearningConfig, LearningResult, run_learning
 from epitally.schema import KEYS
@@ -19,6 +19,7 @@ from epitally.sinks.lake import LakeConfig, export
 from epitally.sinks.models import MODEL_NAME, save_model
 from epitally.sinks.runlog import log_run
 from epitally.sources.landing import read_cases
+from epitally.sources.ledger import new_cases
 from epitally.workspace import discard, written
 
 log = logging.getLogger(__name__)
@@ -46,6 +47,10 @@ class JobConfig:
     jdbc_required: bool = False
     batch_micros: int | None = None
     export_timeout_seconds: float | None = None
+    ledger: str | None = None
+    """Where the files that batches took are entered; None reads all that is landed."""
+    quarantine: bool = False
+    """Whether rows that break a rule of case rows are kept out of everything but the checks."""
 
 
 @dataclass(frozen=True)
@@ -62,6 +67,10 @@ class JobResult:
     model_version: str | None
     exported: DataFrame
     run_id: str
+    quarantined: DataFrame | None
+    """Rows kept out, with the rules they broke; None without a quarantine."""
+    broken_rules: dict[str, int]
+    """How many rows broke each rule; empty without a quarantine."""
     appended: bool | None
     """Whether the database took all rows; None without a database. False may mean some."""
 
@@ -96,6 +105,10 @@ def run_job(
 
     The frames of the result read the batch's tables; ``close()`` it when they are no longer
     needed. A batch that fails cleans up itself.
+
+    With a ``ledger`` only files are read that no earlier batch took, and they are entered last,
+    when all exports are done: a batch that fails reads them again. With ``quarantine`` the
+    checks cover all rows, and reports, learning and exports the good ones.
     """
     learning_config = config.learning
     if cross_validation is not None:
@@ -108,8 +121,20 @@ def run_job(
             return table
 
         run_id = uuid.uuid4().hex
-        scanned, seen = observe_profile(read_cases(spark, config.landing, layout=config.layout))
-        cases = keep(written(scanned, "cases"))
+        taken = None
+        if config.ledger is None:
+            landed = read_cases(spark, config.landing, layout=config.layout)
+        else:
+            taken = new_cases(spark, config.landing, config.ledger, run_id, layout=config.layout)
+            landed = taken.cases
+        scanned, seen = observe_profile(landed)
+        parts = None
+        if config.quarantine:
+            parts = quarantine(scanned)
+            cases = keep(parts.good)
+            log.info("Quarantined %d of %d rows", parts.bad_rows, parts.rows)
+        else:
+            cases = keep(written(scanned, "cases"))
         checks = seen.checks(spark)
         warnings = require(checks)
         for name in warnings:
@@ -163,7 +188,11 @@ def run_job(
             model_version=version,
             exported=exported,
             run_id=run_id,
+            quarantined=None if parts is None else parts.bad,
+            broken_rules={} if parts is None else parts.by_rule,
             appended=appended,
         )
+        if taken is not None:
+            taken.commit()
         stack.pop_all()
         return result

@@ -114,3 +114,45 @@ def test_run_log_appends(spark, shared):
 def test_generated_rows_keep_all_rules(spark):
     assert valid_rows(spark, 30).count() == 30
     assert quarantine(valid_rows(spark, 30)).bad_rows == 0
+
+
+def test_batches_with_a_ledger_take_each_file_once(spark, shared):
+    rows = snapshot(spark, SMALL)
+    config = config_for(shared, ledger=f"{shared}/ledger", lake=lake.LakeConfig(f"{shared}/lake", mode="append"))
+    main = f"{shared}/lake/main/epidemic_countries"
+    seen = []
+    for part in range(2):
+        to_raw(rows.where(F.col("population") % 2 == part)).write.mode("append").json(f"{shared}/landing")
+        with pytest.raises(OSError, match="full"), patch(
+            "epitally.plans.job.export", side_effect=OSError("full")
+        ):
+            run_job(spark, config)
+        # A batch that failed has entered nothing, so this one reads the same files.
+        result = run_job(spark, config)
+        seen.append(result.summary.first()["total_countries"])
+        schema = result.exported.schema
+        result.close()
+    assert seen == [75, 75]
+    assert lake.read_main(spark, main, schema).count() == 150
+    assert lake.read_main(spark, main, schema).select("country").distinct().count() == 150
+    with pytest.raises(QualityError, match="empty"):
+        run_job(spark, config)
+
+
+def test_a_batch_with_quarantine_keeps_bad_rows_out(spark, shared):
+    rows = snapshot(spark, SMALL)
+    bad = F.col("population") % 10 == 0
+    to_raw(rows.withColumn("deaths", F.when(bad, -1).otherwise(F.col("deaths")))).write.json(
+        f"{shared}/landing"
+    )
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    result = run_job(spark, config_for(shared, quarantine=True))
+    checks = {r.check: r.value for r in result.checks.collect()}
+    wrong = result.broken_rules["deaths_negative"]
+    assert wrong == 15 and checks["non_empty"] == 150
+    kept_out = result.quarantined.count()
+    assert result.summary.first()["total_countries"] == 150 - kept_out and kept_out >= wrong
+    assert result.exported.count() == 150 - kept_out
+    assert result.quarantined.where("array_contains(broken, 'deaths_negative')").count() == wrong
+    result.close()
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
