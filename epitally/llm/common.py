@@ -30,14 +30,15 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_rows: str | None = BATCH_ROWS) -> None:
     """Give the executors this package's code, once for each application.
 
-    Spark serves the archive to every executor, later ones included. Also keeps the batches
-    sent to Python small.
+    Spark serves the archive to every executor, later ones included. A session that still has
+    Spark's default number of rows in a batch to Python gets ``batch_rows``, for all its queries;
+    None leaves the session as it is.
     """
-    if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
-        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+    if batch_rows is not None and spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, batch_rows)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]

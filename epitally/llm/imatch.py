@@ -23,7 +23,7 @@ from epitally.workspace import written
 
 RARE = 2_000
 COMMON = 200
-SUBSETS = 32
+SUBSETS = 64
 DIGITS = 6
 NO_TERM = "-" * DIGITS
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
