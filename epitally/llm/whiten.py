@@ -350,6 +350,33 @@ def null_space(a: list[list[int]], m: int, bits: int, count: int) -> np.ndarray:
     return out * np.sign(out[np.abs(out).argmax(0), np.arange(count)])
 
 
+def components_of(
+    spark: SparkSession, a: list[list[int]], roots: list[tuple[int, int, int]]
+) -> np.ndarray:
+    """The :func:`null_space` of each root side by side; a task for each root."""
+    d = len(a)
+    if not roots:
+        return np.zeros((d, 0))
+    sent = spark.sparkContext.broadcast(a)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                found = null_space(sent.value, int(r["m"]), r["bits"], r["many"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["place"]]), pa.array([found.T.ravel().tolist()])],
+                    names=["place", "vectors"],
+                )
+
+    # Whole numbers of any length go as text.
+    rows = [(i, str(m), bits, many) for i, (m, bits, many) in enumerate(roots)]
+    asked = spark.createDataFrame(rows, "place long, m string, bits int, many int")
+    asked = asked.repartitionById(len(rows), F.col("place").cast("int"))
+    found = asked.mapInArrow(run, "place long, vectors array<double>").collect()
+    ordered = sorted(found, key=lambda r: r.place)
+    return np.concatenate([np.reshape(r.vectors, (-1, d)) for r in ordered]).T
+
+
 @dataclass(frozen=True)
 class Whitening:
     """Exact sums, and the components with the eigenvalues of the covariance, greatest first."""
@@ -366,19 +393,18 @@ def fit(rows: DataFrame, d: int, components: int = COMPONENTS) -> Whitening:
     found = moments(rows, d)
     a, square = found.scatter(), found.n**2
     trace = sum(a[i][i] for i in range(d))
-    values, vectors = [], [np.zeros((d, 0))]
+    spark, roots = rows.sparkSession, []
     if trace:
-        p = characteristic_polynomial(rows.sparkSession, a)
-        for m, bits, count in greatest_roots(p, components):
-            # Whole numbers divide to the nearest double, however large they are.
-            values += [m / (square << bits)] * count
-            vectors.append(null_space(a, m, bits, count))
+        roots = greatest_roots(characteristic_polynomial(spark, a), components)
+    # Whole numbers divide to the nearest double, however large they are.
+    values = [m / (square << bits) for m, bits, many in roots for _ in range(many)]
+    vectors = components_of(spark, a, roots)
     return Whitening(
         found.n,
         found.sums,
         np.array(values[:components]),
-        np.concatenate(vectors, axis=1)[:, :components],
-        trace / square,
+        vectors[:, :components],
+        trace / square if square else 0.0,
     )
 
 
