@@ -45,6 +45,9 @@ def test_write_options(spark):
     assert "createTableColumnTypes" not in MY.write_options(spark.range(1))
 
 
+# Fixed values in the statements below: the contract's column lists, in the contract's order.
+
+
 def test_mysql_statement():
     assert jdbc.merge_statement(MY) == (
         "INSERT INTO epidemic_cases (country, updated, iso2, iso3, continent, population, "
