@@ -72,13 +72,21 @@ def _fingerprint(codes: Column, digest: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of equal digests among the parts in which either text has a term."""
-    both = F.zip_with(a, b, lambda x, y: F.when((x == NO_TERM) & (y == NO_TERM), None).otherwise(
-        (x == y).cast("int")
-    ))
-    said = F.filter(both, lambda x: x.isNotNull())
-    equal = F.size(F.filter(said, lambda x: x == 1))
-    return F.when(a == b, 1.0).when(F.size(a) != F.size(b), 0.0).otherwise(equal / F.size(said))
+    """The share of equal digests among the parts in which either fingerprint has a term.
+
+    Fingerprints without a term of the lexicon are alike only if they are equal.
+    """
+    def part(text: Column, i: Column) -> Column:
+        return F.substring(text, i * DIGITS + 1, F.lit(DIGITS))
+
+    places = F.filter(
+        F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
+        lambda i: ~((part(a, i) == NO_TERM) & (part(b, i) == NO_TERM)),
+    )
+    equal = F.size(F.filter(places, lambda i: part(a, i) == part(b, i)))
+    whole = SUBSETS * DIGITS
+    other = (F.length(a) != whole) | (F.length(b) != whole)
+    return F.when(a == b, 1.0).when(other, 0.0).otherwise(equal / F.size(places))
 
 
 def _place(values: list[int], value: Column, inclusive: bool) -> Column:
@@ -208,8 +216,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
     out = ordered.select(
         "key", "h", "next_key", "next_h", "n_chars", "edited_sha256",
-        _fingerprint(F.col("own"), F.col("digest")).alias("own"),
-        _fingerprint(F.col("other"), F.col("edited_sha256")).alias("other"),
+        # As one text each, which takes less room than a list of short ones.
+        F.array_join(_fingerprint(F.col("own"), F.col("digest")), "").alias("own"),
+        F.array_join(_fingerprint(F.col("other"), F.col("edited_sha256")), "").alias("other"),
     )
     out = written(out, "fingerprints")
     # A text's fingerprint depends on the text alone, so any row with that key and hash will do.
@@ -222,8 +231,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.col("key").alias(key),
         "n_chars",
         "edited_sha256",
-        F.array_join("own", "").alias("fingerprint"),
-        F.array_join("other", "").alias("edited_fingerprint"),
+        F.col("own").alias("fingerprint"),
+        F.col("other").alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
         likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
