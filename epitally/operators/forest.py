@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, pstdev
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from epitally.functions.expressions import hash_bucket
 from epitally.operators.features import assembler
@@ -17,6 +22,9 @@ from epitally.schema import FEATURES
 
 FOLD = "fold"
 
+# Driver memory of a tree node: while it grows, in the finished model and in the model's broadcast.
+NODE_BYTES = 400
+
 
 @dataclass(frozen=True)
 class ForestParams:
@@ -91,6 +99,17 @@ def with_fold(
     return rows.withColumn(fold, hash_bucket(keys, seed, folds).cast("int"))
 
 
+def _most_nodes(rows: int, trees: int, depth: int, least: int) -> int:
+    """The most nodes a forest can get: by its depth, and by leaves of ``least`` rows."""
+    return trees * min(2 ** (depth + 1), 2 * (rows // least) + 1)
+
+
+def _at_once(spark: SparkSession, nodes: int, most: int) -> int:
+    """How many forests of ``nodes`` half of the driver's memory holds, 1 to ``most``."""
+    memory = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return max(1, min(most, memory // 2 // (max(1, nodes) * NODE_BYTES)))
+
+
 def cross_validate(
     train: DataFrame,
     grid: GridParams = GridParams(),
@@ -100,6 +119,9 @@ def cross_validate(
     """Search the grid with k-fold validation; ``bestModel`` is a ``PipelineModel``.
 
     Folds go by a hash of ``keys``, or of the whole row without keys.
+
+    A forest grows in the driver's memory, so of each size only as many are fitted and evaluated
+    at once as that can hold, and at most ``parallelism``. One forest must fit in any case.
     """
     forest = RandomForestRegressor(
         featuresCol="features",
@@ -117,17 +139,51 @@ def cross_validate(
         .build()
     )
     folded = with_fold(train, keys or train.columns, grid.folds, grid.seed)
-    return CrossValidator(
-        estimator=Pipeline(stages=[assembler(features), forest]),
-        estimatorParamMaps=settings,
-        evaluator=RegressionEvaluator(
-            metricName=grid.metric, labelCol="label", predictionCol="prediction"
-        ),
-        numFolds=grid.folds,
-        foldCol=FOLD,
-        parallelism=grid.parallelism,
-        seed=grid.seed,
-    ).fit(folded)
+    spark = train.sparkSession
+    estimator = Pipeline(stages=[assembler(features), forest])
+    evaluator = RegressionEvaluator(
+        metricName=grid.metric, labelCol="label", predictionCol="prediction"
+    )
+    by_setting: list[list[float]] = [[] for _ in settings]
+    for fold in range(grid.folds):
+        fitted = folded.where(F.col(FOLD) != fold).cache()
+        tested = folded.where(F.col(FOLD) == fold).cache()
+        try:
+            rows = fitted.count()
+            if not rows or tested.isEmpty():
+                raise ValueError(f"Fold {fold} has no rows to fit or to test")
+            sizes = defaultdict(list)
+            for i, s in enumerate(settings):
+                of = s[forest.numTrees], s[forest.maxDepth], s[forest.minInstancesPerNode]
+                sizes[_at_once(spark, _most_nodes(rows, *of), grid.parallelism)].append(i)
+
+            def measured(i: int) -> float:
+                return evaluator.evaluate(estimator.fit(fitted, settings[i]).transform(tested))
+
+            for together, members in sorted(sizes.items(), reverse=True):
+                with ThreadPool(together) as pool:
+                    # One setting at a time for each thread, not a share of them.
+                    found = pool.map(inheritable_thread_target(spark)(measured), members, 1)
+                for i, metric in zip(members, found):
+                    by_setting[i].append(metric)
+        finally:
+            fitted.unpersist()
+            tested.unpersist()
+    means = [fmean(m) for m in by_setting]
+    best = means.index((max if evaluator.isLargerBetter() else min)(means))
+    model = CrossValidatorModel(
+        estimator.fit(folded, settings[best]), means, None, [pstdev(m) for m in by_setting]
+    )
+    for param, value in (
+        (model.estimator, estimator),
+        (model.estimatorParamMaps, settings),
+        (model.evaluator, evaluator),
+        (model.numFolds, grid.folds),
+        (model.foldCol, FOLD),
+        (model.seed, grid.seed),
+    ):
+        model.set(param, value)
+    return model
 
 
 def grid_results(model: CrossValidatorModel, spark) -> DataFrame:

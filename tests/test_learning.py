@@ -370,3 +370,40 @@ def test_a_search_depends_on_the_rows_alone(spark, shared):
         found.append(result.search.avgMetrics)
         result.close()
     assert found[0] == pytest.approx(found[1], abs=1e-9)
+
+
+def test_a_search_grows_as_many_forests_as_memory_holds(spark, monkeypatch):
+    from threading import Lock
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    from epitally.operators import forest
+
+    lock, now, most = Lock(), [0], [0]
+    evaluate, fit = RegressionEvaluator.evaluate, forest.Pipeline.fit
+
+    def counted_fit(self, *args):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        return fit(self, *args)
+
+    def counted_evaluate(self, *args):
+        try:
+            return evaluate(self, *args)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(forest.Pipeline, "fit", counted_fit)
+    monkeypatch.setattr(RegressionEvaluator, "evaluate", counted_evaluate)
+    grid = GridParams((3, 4), (2, 3), (1,), folds=2, parallelism=4)
+    train = valid_rows(spark, 90).withColumnRenamed("deaths", "label")
+    free = forest.cross_validate(train, grid, keys=("population",)).avgMetrics
+    # One such node is more than any driver has.
+    monkeypatch.setattr(forest, "NODE_BYTES", 2**50, raising=False)
+    now[0] = most[0] = 0
+    found = forest.cross_validate(train, grid, keys=("population",))
+    assert most[0] == 1
+    assert found.avgMetrics == pytest.approx(free) and len(found.getEstimatorParamMaps()) == 4
+    assert forest.grid_results(found, spark).where("is_best").count() == 1
