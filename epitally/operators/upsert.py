@@ -92,6 +92,9 @@ ON_DUPLICATE = ("error", "latest")
 
 STRATEGIES = ("join", "broadcast")
 
+# Parts of a key's copies when they are reduced in dealt tasks.
+COPY_PARTS = 16
+
 # Largest batch that may be sent whole to every task.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -108,6 +111,7 @@ def one_per_key(
     rule: MergeRule = MYSQL,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """The staged columns with one row per key; null keys fail.
 
@@ -118,6 +122,10 @@ def one_per_key(
     their other values, so the choice never depends on partitioning. Copies of a key are
     reduced before the shuffle, which the join reuses.
 
+    ``partitions`` deals the rows by key to so many tasks instead of the session's number. For
+    ``latest`` the copies of a key are first reduced in parts, so that a key with very many of
+    them is not sorted by one task.
+
     The checks are filters, which leave the key columns and their partitioning alone.
     """
     if on_duplicate not in ON_DUPLICATE:
@@ -127,6 +135,8 @@ def one_per_key(
     # are read instead of being hashed to one task first.
     valid = staging.where(_no_null_keys(rule).otherwise(F.lit(True)))
     if on_duplicate == "error":
+        if partitions:
+            valid = valid.repartition(partitions, *rule.keys)
         within_key = W.partitionBy(*rule.keys).orderBy(*rule.keys)
         repeated = F.raise_error("Staged key occurs more than once").cast("boolean")
         return (
@@ -140,7 +150,17 @@ def one_per_key(
     # A row number kept at 1 limits the rows of a key before the shuffle too. At 586,000 rows it
     # took three quarters of the time of a greatest struct for each key, which is aggregated by
     # sorting on either side of the shuffle.
-    latest = W.partitionBy(*rule.keys).orderBy(*[F.desc(c) for c in (*order_by, *values)])
+    order = [F.desc(c) for c in (*order_by, *values)]
+    latest = W.partitionBy(*rule.keys).orderBy(*order)
+    if partitions:
+        part = F.pmod(F.xxhash64(*order_by, *values), F.lit(COPY_PARTS))
+        valid = (
+            valid.withColumn("_part", part)
+            .repartition(partitions, *rule.keys, "_part")
+            .withColumn("_copy", F.row_number().over(W.partitionBy(*rule.keys, "_part").orderBy(*order)))
+            .where("_copy = 1")
+            .repartition(partitions, *rule.keys)
+        )
     return (
         valid.withColumn("_copy", F.row_number().over(latest))
         .where("_copy = 1")
@@ -172,6 +192,7 @@ def merge(
     rule: MergeRule = MYSQL,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """``target`` with the staged rows merged in, in the target's columns.
 
@@ -181,9 +202,14 @@ def merge(
 
     A single full outer join on the whole key. The key is unique on both sides, so a
     country with very many rows spreads over all join tasks.
+
+    ``partitions`` deals both sides to so many tasks instead of the session's number;
+    :func:`epitally.workspace.tasks_for` has one that keeps a task's memory as rows grow.
     """
     _check_target(target, rule)
-    staged = _staged_columns(one_per_key(staging, rule, on_duplicate, order_by), rule)
+    staged = _staged_columns(one_per_key(staging, rule, on_duplicate, order_by, partitions), rule)
+    if partitions:
+        target = target.repartition(partitions, *rule.keys)
     joined = target.withColumn("_known", F.lit(True)).join(
         staged.withColumn("_staged", F.lit(True)), _same_key(rule), "full_outer"
     )
@@ -264,10 +290,11 @@ def merge_batch(
     order_by: Sequence[str] = (),
     strategy: str = "join",
     max_bytes: int = BROADCAST_BYTES,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The result of :func:`merge` by the strategy asked for; both give the same rows.
 
-    ``join`` shuffles both sides by key. ``broadcast`` sends the batch to every task and leaves
+    ``join`` shuffles both sides by key, to ``partitions`` if given. ``broadcast`` sends the batch to every task and leaves
     the target where it is, which pays for a batch far smaller than the target; the batch is
     measured first, and one of more than ``max_bytes`` is refused. For a broadcast ``staging``
     should be a written table, since it is read three times more.
@@ -275,7 +302,7 @@ def merge_batch(
     if strategy not in STRATEGIES:
         raise ValueError(f"Unsupported strategy={strategy} ({'|'.join(STRATEGIES)})")
     if strategy == "join":
-        return merge(target, staging, rule, on_duplicate, order_by)
+        return merge(target, staging, rule, on_duplicate, order_by, partitions)
     if not fits_broadcast(staging, rule, max_bytes):
         raise ValueError(f"The batch is larger than the {max_bytes} bytes that may be broadcast")
     return _merge_broadcast(target, staging, rule, on_duplicate, order_by)

@@ -413,7 +413,10 @@ def audit_columns(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, base: str, rule: up.MergeRule) -> DataFrame:
-    return up.merge(tb.order_history(spark, base), tb.shipment_batch(spark, base), rule)
+    tasks = tb.shipment_tasks(spark, base)
+    return up.merge(
+        tb.order_history(spark, base), tb.shipment_batch(spark, base), rule, partitions=tasks
+    )
 
 
 def upsert_mysql_rule(spark: SparkSession, base: str) -> DataFrame:
@@ -439,7 +442,8 @@ def upsert_day_counters(spark: SparkSession, base: str) -> DataFrame:
         .withColumn("today_cases", F.col("cases") - F.col("deaths"))
         .withColumn("today_deaths", F.col("deaths"))
     )
-    return up.merge(target, staging, up.WITH_DAY_COUNTERS)
+    tasks = tb.shipment_tasks(spark, base)
+    return up.merge(target, staging, up.WITH_DAY_COUNTERS, partitions=tasks)
 
 
 def upsert_landed_day_counters(spark: SparkSession, base: str) -> DataFrame:
@@ -457,7 +461,10 @@ def upsert_landed_day_counters(spark: SparkSession, base: str) -> DataFrame:
         .withColumn("today_cases", F.col("tests"))
         .withColumn("today_deaths", F.col("critical"))
     )
-    return up.merge(target, up.rename_day_counters(landed), up.WITH_DAY_COUNTERS)
+    tasks = tb.shipment_tasks(spark, base)
+    return up.merge(
+        target, up.rename_day_counters(landed), up.WITH_DAY_COUNTERS, partitions=tasks
+    )
 
 
 def upsert_latest(spark: SparkSession, base: str) -> DataFrame:
@@ -467,12 +474,14 @@ def upsert_latest(spark: SparkSession, base: str) -> DataFrame:
         up.MYSQL,
         on_duplicate="latest",
         order_by=["sequence"],
+        partitions=tb.shipment_tasks(spark, base),
     )
 
 
 def upsert_written_batch(spark: SparkSession, base: str) -> DataFrame:
     batch = written(tb.shipment_batch(spark, base), "batch")
-    return up.merge_batch(tb.order_history(spark, base), batch)
+    tasks = tb.shipment_tasks(spark, base)
+    return up.merge_batch(tb.order_history(spark, base), batch, partitions=tasks)
 
 
 def history_merge(spark: SparkSession, base: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from epitally.operators.upsert import MYSQL, MergeRule, merge
 from epitally.plans.manifest import current, drop_old, names, publish
 from epitally.schema import CASES
-from epitally.workspace import delete, discard, written
+from epitally.workspace import delete, discard, tasks_for, written
 
 DAY = "updated_day"
 VERSION = "v"
@@ -98,7 +98,9 @@ def merge_into_history(
         days = sorted(r[0] for r in found if r[0] is not None)
         number, versions = current(spark, path)
         target = read_history(spark, path, schema, days)
-        merged = merge(target.drop(DAY), batch, rule, on_duplicate, order_by)
+        # Both are files, whose footers have the number of rows.
+        tasks = tasks_for(batch.count() + target.count())
+        merged = merge(target.drop(DAY), batch, rule, on_duplicate, order_by, tasks)
         # A row without a key has no day; it fails in the merge.
         if found:
             version = uuid.uuid4().hex

@@ -4,6 +4,9 @@ They give the operators inputs that grow with the data: one snapshot row per cus
 keyed history from orders, a batch of changes to it from line items, and a daily series from
 events. Line items are counted per order before any join, so one hot order or customer
 reaches a shuffle only as partial counts.
+
+The largest joins are dealt to a number of tasks that grows with the tables' rows, so that a
+task's memory does not.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 
 from epitally.functions.expressions import epoch_millis, null_where, per_million
 from epitally.schema import CASES
+from epitally.workspace import tasks_for
 
 DAY_MILLIS = 86_400_000
 
@@ -45,6 +49,11 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{base}/{name}.parquet")
 
 
+def shipment_tasks(spark: SparkSession, base: str) -> int:
+    """Tasks for the rows of orders and line items; Parquet has their number in its footers."""
+    return tasks_for(sum(table(spark, base, t).count() for t in ("orders", "lineitem")))
+
+
 def _count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
@@ -161,7 +170,11 @@ def _shipments(spark: SparkSession, base: str) -> DataFrame:
         )
     )
     owners = table(spark, base, "orders").select("o_orderkey", "o_custkey")
-    return per_order.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Dealt after the count: an order has a row for each of its months, however many lines.
+    tasks = shipment_tasks(spark, base)
+    return per_order.repartition(tasks, "l_orderkey").join(
+        owners.repartition(tasks, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
 
 
 def _ship_codes(df: DataFrame) -> DataFrame:

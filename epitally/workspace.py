@@ -48,6 +48,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+# Rows that one task of a join sorts and aggregates in some hundred MB; tasks of a small one.
+ROWS_PER_TASK = 400_000
+LEAST_TASKS = 8
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks among which so many narrow rows are dealt, whatever the session's number."""
+    return max(LEAST_TASKS, -(-rows // ROWS_PER_TASK))
+
+
 def discard(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables of :func:`written` that nothing reads any more."""
     for table in tables:
