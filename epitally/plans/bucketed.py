@@ -45,7 +45,11 @@ def _publish(spark: SparkSession, path: str, number: int, version: str, buckets:
 def write_bucketed(
     rows: DataFrame, path: str, buckets: int, keys: Sequence[str] = KEYS
 ) -> None:
-    """Write ``rows`` as the table's new version. Choose buckets of some hundred MB each."""
+    """Write ``rows`` as the table's new version.
+
+    A merge takes a task for each bucket and sorts its rows and the batch's: choose ``buckets`` by
+    :func:`epitally.workspace.tasks_for`, and write the table anew when it has outgrown them.
+    """
     spark = rows.sparkSession
     number, _ = current(spark, path)
     version = uuid.uuid4().hex

@@ -75,8 +75,6 @@ SEARCHED = LearningConfig(
     train_partitions=4,
     grid=GridParams(parallelism=8),
 )
-# A merge keeps this many buckets of the target.
-BUCKETS = 8
 # Fixed value: the largest rmse of an acceptable model.
 RMSE_BOUND = 10_000.0
 
@@ -492,7 +490,8 @@ def history_merge(spark: SparkSession, base: str) -> DataFrame:
 
 def bucketed_merge(spark: SparkSession, base: str) -> DataFrame:
     path = new_path(spark, "bucketed")
-    bucketed.write_bucketed(tb.order_history(spark, base), path, BUCKETS)
+    buckets = tb.shipment_tasks(spark, base)
+    bucketed.write_bucketed(tb.order_history(spark, base), path, buckets)
     return bucketed.merge_into_bucketed(tb.shipment_batch(spark, base), path)
 
 

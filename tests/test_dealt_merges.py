@@ -7,7 +7,7 @@ from conftest import as_dicts, case_rows
 
 from epitally import workspace
 from epitally.operators import upsert as up
-from epitally.plans import catalog, history
+from epitally.plans import bucketed, catalog, history
 from epitally.sources import tables as tb
 from epitally.workspace import tasks_for
 
@@ -38,6 +38,15 @@ def test_merges_are_dealt(spark, base, few_rows, capsys, query):
     assert plan.count(f", {tasks}), REPARTITION_BY_NUM") == (5 if query == "upsert_latest" else 4)
 
 
+def test_buckets_are_dealt(spark, base, few_rows, monkeypatch):
+    found, write = [], bucketed.write_bucketed
+    monkeypatch.setattr(
+        bucketed, "write_bucketed", lambda rows, path, n: found.append(n) or write(rows, path, n)
+    )
+    catalog.bucketed_merge(spark, base)
+    assert found == [tb.shipment_tasks(spark, base)] and found[0] > 8
+
+
 def test_history_is_dealt(spark, base, few_rows, monkeypatch):
     found, merge = [], history.merge
     monkeypatch.setattr(history, "merge", lambda *a: found.append(a[5]) or merge(*a))
