@@ -53,7 +53,7 @@ from epitally.schema import (
 from epitally.sinks import lake, models, runlog
 from epitally.sources import landing, ledger
 from epitally.sources import tables as tb
-from epitally.workspace import exists, new_path, written
+from epitally.workspace import ROWS_PER_TASK, exists, new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -452,7 +452,9 @@ def upsert_landed_day_counters(spark: SparkSession, base: str) -> DataFrame:
         .withColumn("todayCases", F.col("cases") - F.col("deaths"))
         .withColumn("todayDeaths", F.col("deaths"))
     )
-    landing.to_raw(rows).write.json(path)
+    # Compressed: names of fields are most of the text. A compressed file is read by one task.
+    feed = landing.to_raw(rows).write.option("maxRecordsPerFile", ROWS_PER_TASK)
+    feed.json(path, compression="gzip")
     landed = landing.flatten(landing.scan_json(spark, path, layout="lines"), day_counters=True)
     target = (
         tb.order_history(spark, base)

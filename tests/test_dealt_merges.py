@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import as_dicts, case_rows
 
@@ -9,7 +11,7 @@ from epitally import workspace
 from epitally.operators import upsert as up
 from epitally.plans import bucketed, catalog, history
 from epitally.sources import tables as tb
-from epitally.workspace import tasks_for
+from epitally.workspace import file_system, tasks_for
 
 
 @pytest.fixture
@@ -54,6 +56,15 @@ def test_history_is_dealt(spark, base, few_rows, monkeypatch):
     assert len(found) == 2 and found[1] > 8
 
 
+def test_a_landed_feed_is_compressed(spark, base, shared, monkeypatch):
+    monkeypatch.setattr(catalog, "new_path", lambda *_: shared)
+    catalog.upsert_landed_day_counters(spark, base)
+    files, folder = file_system(spark, shared)
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    parts = [n for n in names if n.startswith("part-")]
+    assert parts and all(os.path.splitext(n)[1] == ".gz" for n in parts)
+
+
 @pytest.mark.parametrize("how", up.ON_DUPLICATE)
 def test_a_dealt_merge_gives_the_same_rows(spark, how):
     old = [{"country": f"C{i}", "updated": i % 3, "cases": i} for i in range(20)]
