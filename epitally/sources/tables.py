@@ -3,14 +3,16 @@
 They give the operators inputs that grow with the data: one snapshot row per customer, a
 keyed history from orders, a batch of changes to it from line items, and a daily series from
 events. Line items are counted per order before any join, so one hot order or customer
-reaches a shuffle only as partial counts.
+reaches a join only as partial counts.
 
-The largest joins are dealt to a number of tasks that grows with the tables' rows, so that a
-task's memory does not.
+The largest counts and joins are dealt to a number of tasks that grows with the tables' rows,
+so that a task's memory does not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,12 @@ from epitally.workspace import tasks_for
 
 DAY_MILLIS = 86_400_000
 
+# Parts of a key's rows when they are counted in dealt tasks.
+KEY_PARTS = 16
+
+# The counts of the history and of the changes to it.
+COUNTS = ("cases", "deaths", "recovered", "active", "critical", "tests")
+
 # The columns of the tables read here. Declared, so that naming a table reads
 # no file footers.
 TABLES = {
@@ -54,6 +62,27 @@ def shipment_tasks(spark: SparkSession, base: str) -> int:
     return tasks_for(sum(table(spark, base, t).count() for t in ("orders", "lineitem")))
 
 
+def _line_tasks(spark: SparkSession, base: str) -> int:
+    """Tasks for the rows of line items alone."""
+    return tasks_for(table(spark, base, "lineitem").count())
+
+
+def _in_parts(rows: DataFrame, keys: Sequence[str], tasks: int, *counts: Column) -> DataFrame:
+    """Counts by key and part of it: no more than ``KEY_PARTS`` rows of a key.
+
+    The rows are dealt before they are counted. Counted where they are read, a task would hold
+    all keys of its split, and after the session's shuffle all keys of one of its partitions,
+    however many. A key with very many rows is dealt to several tasks.
+    """
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(KEY_PARTS))
+    dealt = rows.withColumn("_part", part).repartition(tasks, *keys, "_part")
+    return dealt.groupBy(*keys, "_part").agg(*counts).drop("_part")
+
+
+def _summed(counted: DataFrame, *keys: str) -> DataFrame:
+    return counted.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
 def _count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
@@ -134,18 +163,25 @@ def _keyed(df: DataFrame, origin: str) -> DataFrame:
 def order_history(spark: SparkSession, base: str) -> DataFrame:
     """Keyed history: one row per customer and month of ordering."""
     orders = table(spark, base, "orders")
-    counted = (
-        orders.withColumn("updated", _month_millis(orders, "o_orderdate"))
-        .groupBy("o_custkey", "updated")
-        .agg(
-            F.count(F.lit(1)).alias("cases"),
-            _count_if(F.col("o_orderstatus") == "F").alias("deaths"),
-            _count_if(F.col("o_orderstatus") == "O").alias("recovered"),
-            _count_if(F.col("o_orderstatus") == "P").alias("active"),
-            _count_if(F.col("o_orderpriority") == "1-URGENT").alias("critical"),
-            F.count("o_totalprice").alias("tests"),
-        )
+    keys, tasks = ("o_custkey", "updated"), tasks_for(orders.count())
+    in_parts = _in_parts(
+        orders.select(
+            "o_custkey",
+            _month_millis(orders, "o_orderdate").alias("updated"),
+            "o_orderstatus",
+            "o_orderpriority",
+            "o_totalprice",
+        ),
+        keys,
+        tasks,
+        F.count(F.lit(1)).alias("cases"),
+        _count_if(F.col("o_orderstatus") == "F").alias("deaths"),
+        _count_if(F.col("o_orderstatus") == "O").alias("recovered"),
+        _count_if(F.col("o_orderstatus") == "P").alias("active"),
+        _count_if(F.col("o_orderpriority") == "1-URGENT").alias("critical"),
+        F.count("o_totalprice").alias("tests"),
     )
+    counted = _summed(in_parts.repartition(tasks, *keys), *keys)
     # Codes from counts rather than min() of the texts: only fixed-width aggregates hash.
     coded = counted.withColumn(
         "iso2",
@@ -157,22 +193,28 @@ def order_history(spark: SparkSession, base: str) -> DataFrame:
 def _shipments(spark: SparkSession, base: str) -> DataFrame:
     """Counts per order and month of shipping, with the order's customer."""
     lines = table(spark, base, "lineitem")
-    per_order = (
-        lines.withColumn("updated", _month_millis(lines, "l_shipdate"))
-        .groupBy("l_orderkey", "updated")
-        .agg(
-            F.count(F.lit(1)).alias("cases"),
-            _count_if(F.col("l_returnflag") == "R").alias("deaths"),
-            _count_if(F.col("l_returnflag") == "A").alias("recovered"),
-            _count_if(F.col("l_returnflag") == "N").alias("active"),
-            _count_if(F.col("l_linestatus") == "F").alias("critical"),
-            F.count("l_linenumber").alias("tests"),
-        )
+    in_parts = _in_parts(
+        lines.select(
+            "l_orderkey",
+            _month_millis(lines, "l_shipdate").alias("updated"),
+            "l_returnflag",
+            "l_linestatus",
+            "l_linenumber",
+        ),
+        ("l_orderkey", "updated"),
+        _line_tasks(spark, base),
+        F.count(F.lit(1)).alias("cases"),
+        _count_if(F.col("l_returnflag") == "R").alias("deaths"),
+        _count_if(F.col("l_returnflag") == "A").alias("recovered"),
+        _count_if(F.col("l_returnflag") == "N").alias("active"),
+        _count_if(F.col("l_linestatus") == "F").alias("critical"),
+        F.count("l_linenumber").alias("tests"),
     )
     owners = table(spark, base, "orders").select("o_orderkey", "o_custkey")
-    # Dealt after the count: an order has a row for each of its months, however many lines.
+    # Dealt after the count: an order has a row for each part of its months, however many lines.
     tasks = shipment_tasks(spark, base)
-    return per_order.repartition(tasks, "l_orderkey").join(
+    per_order = _summed(in_parts.repartition(tasks, "l_orderkey"), "l_orderkey", "updated")
+    return per_order.join(
         owners.repartition(tasks, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
     )
 
@@ -189,12 +231,10 @@ def shipment_batch(spark: SparkSession, base: str) -> DataFrame:
 
     ``active`` is null on every seventh day number, so merges meet staged nulls.
     """
-    counts = ("cases", "deaths", "recovered", "active", "critical", "tests")
-    merged = (
-        _shipments(spark, base)
-        .groupBy("o_custkey", "updated")
-        .agg(*[F.sum(c).alias(c) for c in counts])
-    )
+    keys = ("o_custkey", "updated")
+    # Dealt before the sums too. A customer's month has a row for each order, not for each line.
+    per_order = _shipments(spark, base).select(*keys, *COUNTS)
+    merged = _summed(per_order.repartition(_line_tasks(spark, base), *keys), *keys)
     staged_null = F.floor(F.col("updated") / DAY_MILLIS) % 7 == 0
     with_nulls = _ship_codes(merged).withColumn("active", null_where("active", staged_null))
     return _contract(_keyed(with_nulls, "SHIPPED"))

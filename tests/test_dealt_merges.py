@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import as_dicts, case_rows
@@ -40,6 +41,69 @@ def test_merges_are_dealt(spark, base, few_rows, capsys, query):
     assert plan.count(f", {tasks}), REPARTITION_BY_NUM") == (5 if query == "upsert_latest" else 4)
 
 
+@pytest.mark.parametrize(
+    "query",
+    [
+        "upsert_all_columns",
+        "upsert_day_counters",
+        "upsert_mysql_rule",
+        "upsert_postgres_rule",
+        "upsert_written_batch",
+    ],
+)
+def test_no_count_is_left_to_the_session(spark, base, few_rows, capsys, query):
+    catalog.QUERIES[query](spark, base).explain()
+    plan = capsys.readouterr().out
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_counts_in_parts_are_whole(spark, shared, few_rows):
+    """A hot order and customer, lines that come twice, and nulls."""
+    day = [datetime(2024, 1, 1), datetime(2024, 1, 31), datetime(2024, 2, 1)]
+    orders = [(i, i % 2, "FOP"[i % 3], 1.0 * i, day[i % 3], "1-URGENT") for i in range(30)]
+    orders += [(30, 1, None, None, day[0], None)]
+    marks = [("R", "F"), ("A", "O"), ("N", None), (None, "F")]
+    lines = [(0 if i % 3 else i % 40, i % 7 or None, *marks[i % 4], day[i % 3]) for i in range(3000)]
+    lines += [(None, 1, "R", "F", day[0])] * 3
+    lines = [(o, None, None, n, None, None, None, None, r, s, d) for o, n, r, s, d in lines]
+    for name, rows in (("orders", orders), ("lineitem", lines)):
+        spark.createDataFrame(rows, tb.TABLES[name]).write.parquet(f"{shared}/{name}.parquet")
+
+    def counts(rows):
+        by_key = {}
+        for customer, when, *flags in rows:
+            found = by_key.setdefault((f"C{customer}", when.month), [0] * 6)
+            for i, flag in enumerate((True, *flags)):
+                found[i] += bool(flag)
+        return by_key
+
+    def found(df):
+        # ``active`` is null by the day number in a batch.
+        return {
+            (r["country"], (datetime(1970, 1, 1) + timedelta(milliseconds=r["updated"])).month): [
+                r[c] for c in tb.COUNTS
+            ]
+            for r in as_dicts(df)
+        }
+
+    placed = counts(
+        (o[1], o[4], o[2] == "F", o[2] == "O", o[2] == "P", o[5] == "1-URGENT", o[3] is not None)
+        for o in orders
+    )
+    assert found(tb.order_history(spark, shared)) == placed
+    owner = {o[0]: o[1] for o in orders}
+    shipped = counts(
+        (owner[x[0]], x[10], x[8] == "R", x[8] == "A", x[8] == "N", x[9] == "F", x[3] is not None)
+        for x in lines
+        if x[0] in owner
+    )
+    batch = found(tb.shipment_batch(spark, shared))
+    assert batch.keys() == shipped.keys()
+    for key, row in batch.items():
+        assert row[3] in (None, shipped[key][3])
+        assert row[:3] + row[4:] == shipped[key][:3] + shipped[key][4:]
+
+
 def test_buckets_are_dealt(spark, base, few_rows, monkeypatch):
     found, write = [], bucketed.write_bucketed
     monkeypatch.setattr(
