@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from epitally.workspace import new_path, written
+from epitally.workspace import new_path, ship_code, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Texts are worked on in slices of about this many bytes, however large the Arrow batch is.
@@ -27,9 +24,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-_shipped: set[str] = set()
-
-
 def ship(spark: SparkSession, batch_rows: str | None = BATCH_ROWS) -> None:
     """Give the executors this package's code, once for each application.
 
@@ -39,13 +33,7 @@ def ship(spark: SparkSession, batch_rows: str | None = BATCH_ROWS) -> None:
     """
     if batch_rows is not None and spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
         spark.conf.set(BATCH_KEY, batch_rows)
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        root = Path(__file__).resolve().parents[2]
-        target = tempfile.mkdtemp(prefix="epitally-")
-        archive = shutil.make_archive(f"{target}/epitally-code", "zip", root, "epitally")
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
+    ship_code(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import weakref
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally.functions.expressions import hash_bucket
+from epitally.operators import trees
 from epitally.operators.features import assembler
 from epitally.schema import FEATURES
+from epitally.workspace import delete, new_path
 
 FOLD = "fold"
 
@@ -110,6 +115,149 @@ def _at_once(spark: SparkSession, nodes: int, most: int) -> int:
     return max(1, min(most, memory // 2 // (max(1, nodes) * NODE_BYTES)))
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        delete(spark, path)
+
+
+class TaskForestModel(RandomForestRegressionModel):
+    """A forest that grew in tasks, and predicts there from compact arrays of its nodes.
+
+    In the driver a large forest takes far less memory so than as MLlib's objects. Whatever else
+    is asked of it, saving included, goes to MLlib's model of the same nodes, loaded then. The
+    nodes stay in the shared folder for as long as the model is in use.
+    """
+
+    def __init__(self, forest: DataFrame, trees_grown: int, features: int) -> None:
+        super().__init__()
+        self._forest, self._trees_grown, self._features = forest, trees_grown, features
+        self._forecaster = self._mllib = None
+        forgets = weakref.finalize(forest, _forget, forest.sparkSession, forest._written_path)
+        forgets.atexit = False
+
+    @property
+    def getNumTrees(self) -> int:
+        return self._trees_grown
+
+    @property
+    def trees(self) -> list:
+        # A property, which PySpark does not read where it lists parameters.
+        return self.in_mllib().trees
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        if self._forecaster is None:
+            self._forecaster = trees.forecaster(dataset.sparkSession, self._forest)
+        values = vector_to_array(self.getFeaturesCol())
+        return dataset.withColumn(self.getPredictionCol(), self._forecaster(values))
+
+    def in_mllib(self) -> RandomForestRegressionModel:
+        if self._mllib is None:
+            spark = self._forest.sparkSession
+            path = new_path(spark, "model")
+            # Names, settings and tree headers of a saved forest come from one of single leaves.
+            zeros = array_to_vector(F.array_repeat(F.lit(0.0), self._features))
+            one = spark.range(0, 1, 1, 1).select(
+                F.lit(0.0).alias(self.getLabelCol()), zeros.alias(self.getFeaturesCol())
+            )
+            leaves = self._copyValues(RandomForestRegressor()).fit(one)
+            try:
+                leaves.save(path)
+                trees.write_nodes(self._forest, f"{path}/data")
+                self._mllib = RandomForestRegressionModel.load(path)
+            finally:
+                delete(spark, path)
+        return self._mllib
+
+    def _call_java(self, name: str, *args):
+        return self.in_mllib()._call_java(name, *args)
+
+    def _to_java(self):
+        return self.in_mllib()._to_java()
+
+
+class TaskForestRegressor(RandomForestRegressor):
+    """MLlib's regressor, whose trees grow whole in tasks if its table fits a task.
+
+    A larger table is left to MLlib.
+    """
+
+    def _fit(self, dataset: DataFrame) -> RandomForestRegressionModel:
+        features = F.size(vector_to_array(self.getFeaturesCol()))
+        rows, width = dataset.agg(F.count(F.lit(1)), F.max(features)).first()
+        if not rows or not trees.fits_a_task(rows, width):
+            return super()._fit(dataset)
+        values, labels = trees.collected(dataset)
+        forest = trees.grown(
+            dataset.sparkSession,
+            trees.binned(values, labels, np.ones(rows, bool), self.getMaxBins()),
+            self.getNumTrees(),
+            self.getMaxDepth(),
+            self.getMinInstancesPerNode(),
+            self.getSeed(),
+        )
+        return self._copyValues(TaskForestModel(forest, self.getNumTrees(), width))
+
+
+def _measured_in_tasks(
+    prepared: DataFrame,
+    settings: Sequence[dict],
+    forest: RandomForestRegressor,
+    grid: GridParams,
+) -> list[list[float]]:
+    """Each setting's metric on each fold, with trees grown in tasks."""
+    values, labels, folds = trees.collected(prepared, FOLD)
+    tables = []
+    for fold in range(grid.folds):
+        tested = folds == fold
+        if tested.all() or not tested.any():
+            raise ValueError(f"Fold {fold} has no rows to fit or to test")
+        tables.append(trees.binned(values, labels, ~tested, forest.getMaxBins()))
+    asked = [(s[forest.numTrees], s[forest.maxDepth], s[forest.minInstancesPerNode]) for s in settings]
+    return trees.measures(prepared.sparkSession, tables, asked, grid.seed, grid.metric)
+
+
+def _measured_in_driver(
+    spark: SparkSession,
+    folded: DataFrame,
+    settings: Sequence[dict],
+    estimator: Pipeline,
+    evaluator: RegressionEvaluator,
+    grid: GridParams,
+) -> list[list[float]]:
+    """Each setting's metric on each fold, with forests that MLlib grows in the driver.
+
+    Of each size only as many are fitted and evaluated at once as its memory can hold, and at
+    most ``parallelism``. One forest must fit in any case.
+    """
+    forest = estimator.getStages()[-1]
+    by_setting: list[list[float]] = [[] for _ in settings]
+    for fold in range(grid.folds):
+        fitted = folded.where(F.col(FOLD) != fold).cache()
+        tested = folded.where(F.col(FOLD) == fold).cache()
+        try:
+            rows = fitted.count()
+            if not rows or tested.isEmpty():
+                raise ValueError(f"Fold {fold} has no rows to fit or to test")
+            sizes = defaultdict(list)
+            for i, s in enumerate(settings):
+                of = s[forest.numTrees], s[forest.maxDepth], s[forest.minInstancesPerNode]
+                sizes[_at_once(spark, _most_nodes(rows, *of), grid.parallelism)].append(i)
+
+            def measured(i: int) -> float:
+                return evaluator.evaluate(estimator.fit(fitted, settings[i]).transform(tested))
+
+            for together, members in sorted(sizes.items(), reverse=True):
+                with ThreadPool(together) as pool:
+                    # One setting at a time for each thread, not a share of them.
+                    found = pool.map(inheritable_thread_target(spark)(measured), members, 1)
+                for i, metric in zip(members, found):
+                    by_setting[i].append(metric)
+        finally:
+            fitted.unpersist()
+            tested.unpersist()
+    return by_setting
+
+
 def cross_validate(
     train: DataFrame,
     grid: GridParams = GridParams(),
@@ -120,10 +268,11 @@ def cross_validate(
 
     Folds go by a hash of ``keys``, or of the whole row without keys.
 
-    A forest grows in the driver's memory, so of each size only as many are fitted and evaluated
-    at once as that can hold, and at most ``parallelism``. One forest must fit in any case.
+    Rows that fit a task are sent to every task, and whole trees grow there; MLlib would need a job
+    for each group of nodes of each of the forests. With more rows MLlib grows the forests, in the
+    driver's memory.
     """
-    forest = RandomForestRegressor(
+    forest = TaskForestRegressor(
         featuresCol="features",
         labelCol="label",
         seed=grid.seed,
@@ -144,31 +293,10 @@ def cross_validate(
     evaluator = RegressionEvaluator(
         metricName=grid.metric, labelCol="label", predictionCol="prediction"
     )
-    by_setting: list[list[float]] = [[] for _ in settings]
-    for fold in range(grid.folds):
-        fitted = folded.where(F.col(FOLD) != fold).cache()
-        tested = folded.where(F.col(FOLD) == fold).cache()
-        try:
-            rows = fitted.count()
-            if not rows or tested.isEmpty():
-                raise ValueError(f"Fold {fold} has no rows to fit or to test")
-            sizes = defaultdict(list)
-            for i, s in enumerate(settings):
-                of = s[forest.numTrees], s[forest.maxDepth], s[forest.minInstancesPerNode]
-                sizes[_at_once(spark, _most_nodes(rows, *of), grid.parallelism)].append(i)
-
-            def measured(i: int) -> float:
-                return evaluator.evaluate(estimator.fit(fitted, settings[i]).transform(tested))
-
-            for together, members in sorted(sizes.items(), reverse=True):
-                with ThreadPool(together) as pool:
-                    # One setting at a time for each thread, not a share of them.
-                    found = pool.map(inheritable_thread_target(spark)(measured), members, 1)
-                for i, metric in zip(members, found):
-                    by_setting[i].append(metric)
-        finally:
-            fitted.unpersist()
-            tested.unpersist()
+    if trees.fits_a_task(folded.count(), len(features)):
+        by_setting = _measured_in_tasks(assembler(features).transform(folded), settings, forest, grid)
+    else:
+        by_setting = _measured_in_driver(spark, folded, settings, estimator, evaluator, grid)
     means = [fmean(m) for m in by_setting]
     best = means.index((max if evaluator.isLargerBetter() else min)(means))
     model = CrossValidatorModel(

@@ -407,3 +407,119 @@ def test_a_search_grows_as_many_forests_as_memory_holds(spark, monkeypatch):
     assert most[0] == 1
     assert found.avgMetrics == pytest.approx(free) and len(found.getEstimatorParamMaps()) == 4
     assert forest.grid_results(found, spark).where("is_best").count() == 1
+
+
+def test_the_whole_search_grows_in_tasks(spark, monkeypatch):
+    """All 27 settings in 3 folds, and not one fit of MLlib's, which takes many jobs each."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from epitally.operators import forest
+
+    fits = []
+    monkeypatch.setattr(RandomForestRegressor, "_fit_java", lambda self, rows: fits.append(self))
+    train = valid_rows(spark, 120).withColumnRenamed("deaths", "label")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    found = forest.cross_validate(train, keys=("population",))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup()) - before
+    assert fits == [] and jobs < 40
+    assert len(found.avgMetrics) == 27 and forest.grid_results(found, spark).count() == 27
+    best = found.getEstimatorParamMaps()[found.avgMetrics.index(min(found.avgMetrics))]
+    fitted = found.bestModel.stages[-1]
+    assert fitted.getNumTrees == best[found.getEstimator().getStages()[-1].numTrees]
+
+
+def test_a_search_measures_what_separate_fits_would(spark):
+    """Settings share trees; each metric is that of the setting's own forest all the same."""
+    from epitally.operators import forest, trees
+
+    grid = GridParams((3, 12), (2, 5), (1, 4), folds=2)
+    train = written(valid_rows(spark, 120).withColumnRenamed("deaths", "label"), "train")
+    found = forest.cross_validate(train, grid, keys=("population",))
+    estimator, names = found.getEstimator(), ("rmse", "mse", "mae", "r2", "var")
+    folded = with_fold(train, ("population",), 2, 42)
+    settings = [s for s in found.getEstimatorParamMaps() if set(s.values()) in ({3, 5, 1}, {12, 2, 4})]
+    measured = {(n, i): [] for n in names for i in range(len(settings))}
+    for fold in range(2):
+        for i, setting in enumerate(settings):
+            model = estimator.fit(folded.where(F.col("fold") != fold), setting)
+            rows = model.transform(folded.where(F.col("fold") == fold)).cache()
+            for n in names:
+                theirs = RegressionEvaluator(metricName=n, labelCol="label").evaluate(rows)
+                measured[n, i].append(theirs)
+            rows.unpersist()
+    values, labels, folds = trees.collected(estimator.getStages()[0].transform(folded), "fold")
+    tables = [trees.binned(values, labels, folds != fold, 32) for fold in range(2)]
+    asked = [tuple(s.values()) for s in settings]
+    for n in names:
+        mine = trees.measures(spark, tables, asked, 42, n)
+        for i in range(len(settings)):
+            assert mine[i] == pytest.approx(measured[n, i], rel=1e-9)
+    for i, setting in enumerate(settings):
+        at = found.getEstimatorParamMaps().index(setting)
+        assert found.avgMetrics[at] == pytest.approx(sum(measured["rmse", i]) / 2, rel=1e-9)
+
+
+@pytest.mark.parametrize("least", [1, 7])
+def test_a_tree_is_the_one_mllib_grows(spark, least):
+    """Without weights and with all features at each node nothing is left to chance."""
+    import numpy as np
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from epitally.operators import trees
+
+    rows = spark.range(700).selectExpr(
+        "pmod(id * 7919, 701) AS a", "pmod(id * id, 13) AS b", "pow(pmod(id * 31, 97), 2) AS c",
+        "IF(id % 9 = 0, id, 0) AS d", "pmod(id * 7919, 701) / 5 + pmod(id * id, 13) * 9 + pmod(hash(id), 997) / 70 AS label",
+    )
+    ready = written(ft.assembler(("a", "b", "c", "d")).transform(rows).select("features", "label"), "ready")
+    theirs = DecisionTreeRegressor(labelCol="label", maxDepth=7, minInstancesPerNode=least).fit(ready)
+    values, labels = trees.collected(ready)
+    data = trees.binned(values, labels, np.ones(700, bool), 32)
+    levels = trees.grow(data, np.ones(700), 0, 42, 7, least, 4)
+    mine = trees.predicted(levels, data, np.arange(700), [7])[0]
+    wanted = [r.prediction for r in theirs.transform(ready).collect()]
+    assert mine.tolist() == pytest.approx(wanted, rel=1e-9)
+
+
+def test_a_forest_grown_in_tasks_is_saved_as_mllibs(spark, shared):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    from epitally.operators.forest import TaskForestRegressor
+    from epitally.sinks import models
+
+    train = valid_rows(spark, 150).withColumnRenamed("deaths", "label")
+    forest = TaskForestRegressor(labelCol="label", numTrees=12, maxDepth=4, seed=7)
+    model = Pipeline(stages=[ft.assembler(), forest]).fit(train)
+    loaded = models.load_model(spark, shared, "grown", models.save_model(model, shared, "grown"))
+    saved = loaded.stages[-1]
+    assert type(saved) is RandomForestRegressionModel
+    assert (saved.getNumTrees, saved.getMaxDepth(), saved.getSeed()) == (12, 4, 7)
+    assert model.stages[-1].totalNumNodes == saved.totalNumNodes > 12
+    assert len(model.stages[-1].trees) == 12
+    mine, theirs = (
+        [r.prediction for r in m.transform(train).orderBy("population").collect()]
+        for m in (model, loaded)
+    )
+    assert mine == pytest.approx(theirs, rel=1e-12) and len(set(mine)) > 12
+
+
+def test_a_table_too_large_for_a_task_is_left_to_mllib(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    from epitally.operators import forest, trees
+
+    monkeypatch.setattr(trees, "TABLE_BYTES", 1000)
+    grid = GridParams((3,), (2, 3), (1,), folds=2)
+    train = valid_rows(spark, 90).withColumnRenamed("deaths", "label")
+    found = forest.cross_validate(train, grid, keys=("population",))
+    assert len(found.avgMetrics) == 2
+    assert type(found.bestModel.stages[-1]) is RandomForestRegressionModel
+
+
+def test_a_search_refuses_a_fold_without_rows(spark):
+    from epitally.operators import forest
+
+    train = valid_rows(spark, 1).withColumnRenamed("deaths", "label")
+    with pytest.raises(ValueError, match="no rows to fit or to test"):
+        forest.cross_validate(train, GridParams((3,), (2,), (1,), folds=2), keys=("population",))
